@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from segmart import fixed_values as fv
 
-INTEGER_TEXT = r"^[+-]?[0-9]+(_[0-9]+)*$"
+INTEGER_TEXT = r"^([+-]?[0-9]+(?:_[0-9]+)*)$"
 EMAIL_START = r"^[^@]+@[^@]+\.[^@]+"
 WHITE_SPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 
@@ -39,10 +39,8 @@ def parse_int(text: Column) -> Column:
     Accepts surrounding white space, a sign and single underscores between digits;
     rejects fractions and exponents.
     """
-    digits = strip(text)
-    return F.when(
-        digits.rlike(INTEGER_TEXT), F.translate(digits, "_", "").try_cast("int")
-    )
+    digits = F.regexp_extract(strip(text), INTEGER_TEXT, 1)
+    return F.translate(digits, "_", "").try_cast("int")
 
 
 def looks_like_email(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segmart.operators.joins import fits_broadcast
+from segmart.operators.joins import fits_broadcast, unmatched
 
 
 def lowest_per_key(df: DataFrame, key: str, id_column: str) -> DataFrame:
@@ -45,7 +45,7 @@ def accepted_rows(target: DataFrame, batch: DataFrame, key: str = "_id") -> Data
     known = target.select(key)
     if fits_broadcast(once.select(key)):
         known = known.join(F.broadcast(once.select(key)), key, "left_semi")
-    fresh = once.join(known, key, "left_anti").select(*batch.columns)
+    fresh = unmatched(once, known, key)
     return fresh.unionByName(batch.where(F.col(key).isNull()))
 
 

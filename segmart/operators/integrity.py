@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segmart import fixed_values as fv
+from segmart.operators.joins import unmatched
 
 
 def pk_violations(df: DataFrame, key: str) -> DataFrame:
@@ -29,7 +30,7 @@ def fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFra
     is one row in it.
     """
     used = child.where(F.col(fk).isNotNull()).groupBy(fk).agg(F.count("*").alias("n_rows"))
-    return used.join(parent.select(F.col(pk).alias(fk)), fk, "left_anti")
+    return unmatched(used, parent.select(F.col(pk).alias(fk)), fk)
 
 
 def length_violations(df: DataFrame, key: str, limits: Mapping[str, int]) -> DataFrame:

@@ -52,6 +52,16 @@ def lookup_join(
     return split_hot_join(rows, lookup, key, how)
 
 
+def unmatched(rows: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """Rows whose key does not occur in `other`; rows with a null key stay.
+
+    An anti join over aggregated rows is moved below the aggregation, and then every
+    row of a hot key takes part in it. This form stays where it is written.
+    """
+    found = other.select(key).withColumn("_found", F.lit(True))
+    return rows.join(found, key, "left").where(F.col("_found").isNull()).select(*rows.columns)
+
+
 def join_with_nothing(rows: DataFrame, lookup: DataFrame, key: str, how: str) -> DataFrame:
     """What `how` yields when the lookup is known to be empty."""
     if how == "left_anti":

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from segmart.operators.joins import unmatched
 from segmart.session import shared_dir
 
 ROW_BITS = 33
@@ -78,6 +79,6 @@ def extend_keys(
 
     Members that no longer occur keep their row, so old facts still resolve.
     """
-    new = members.join(known.select(key), key, "left_anti").select(*members.columns)
+    new = unmatched(members, known, key)
     highest = known.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("top")).scalar()
     return known.unionByName(dense_keys(new, key, id_column, after=highest, id_type=id_type))

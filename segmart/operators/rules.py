@@ -67,18 +67,21 @@ def gender_or_tag(gender: Column) -> Column:
     return F.coalesce(nickname_gender(gender), exact, F.lit(fv.NOT_AVAILABLE))
 
 
-def age_from_text(text: Column) -> Column:
-    """Age of 1 to 120 from text, else null."""
-    number = parse_int(text)
-    return F.when(number.between(1, 120), number)
+def whole_number(value: Column) -> Column:
+    """Whole number from a JSON text, number (cut to whole) or boolean, else null."""
+    number = F.try_variant_get(value, "$", "double").try_cast("int")
+    not_text = F.schema_of_variant(value) != "STRING"
+    return F.coalesce(parse_int(variant_text(value)), F.when(not_text, number))
+
+
+def is_valid_age(number: Column) -> Column:
+    return F.coalesce(number.between(1, 120), F.lit(False))
 
 
 def age_from_variant(age: Column) -> Column:
-    """Age of 1 to 120 from a JSON text, number (cut to whole) or boolean, else null."""
-    number = F.try_variant_get(age, "$", "double").try_cast("int")
-    number = F.when(F.schema_of_variant(age) != "STRING", number)
-    whole = F.coalesce(parse_int(variant_text(age)), number)
-    return F.when(whole.between(1, 120), whole)
+    """Age of 1 to 120 from a JSON value, else null."""
+    number = whole_number(age)
+    return F.when(is_valid_age(number), number)
 
 
 def is_province(address: Column, provinces: Sequence[str] = fv.PROVINCES) -> Column:
@@ -112,6 +115,16 @@ def valid_province_rows(rows: DataFrame, provinces: DataFrame, column: str = "ad
 
 # -- profiles -------------------------------------------------------------------
 
+def emit(rows: DataFrame, passes: Column, *outputs: Column | str) -> DataFrame:
+    """The rows that pass, with the given columns.
+
+    The same as a filter and a projection, but neither moves: values derived in the
+    step before are computed once per row. A filter on them would be pushed below
+    that step, together with a second copy of their expressions.
+    """
+    return rows.select(F.inline(F.when(passes, F.array(F.struct(*outputs)))))
+
+
 def clean_strict(
     landing: DataFrame,
     provinces: Provinces = fv.PROVINCES,
@@ -119,22 +132,27 @@ def clean_strict(
 ) -> DataFrame:
     """Records that pass every rule, flat, in the eight clean columns."""
     rows = parse_documents(landing, column, fv.CLEAN_FIELDS, variants=["age"])
-    rows = mark_known_address(rows, provinces, F.col("address"))
-    age, gender, address = F.col("age"), F.col("gender"), F.col("address")
-    age_is_absent = age.isNull() | is_json_null(age)
+    rows = mark_known_address(rows, provinces, F.col("address")).select(
+        "*",
+        whole_number(F.col("age")).alias("_age"),
+        canonical_gender(F.col("gender")).alias("_gender"),
+        strip(null_if_empty(F.col("address"))).alias("_address"),
+    )
+    age_is_missing = F.col("age").isNull() | is_json_null(F.col("age"))
     passes = (
         is_filled(F.col("_id"))
         & is_filled(F.col("name"))
         & is_filled(F.col("email"))
-        & (~is_filled(gender) | is_known_gender(gender))
-        & (age_is_absent | age_from_variant(age).isNotNull())
-        & (~is_filled(address) | F.col(ADDRESS_KNOWN))
+        & (~is_filled(F.col("gender")) | F.col("_gender").isNotNull())
+        & (age_is_missing | is_valid_age(F.col("_age")))
+        & (F.col("_address").isNull() | F.col(ADDRESS_KNOWN))
     )
-    return rows.where(passes).select(
+    return emit(
+        rows, passes,
         "_id", "name", "email", "phone",
-        canonical_gender(gender).alias("gender"),
-        age_from_variant(age).alias("age"),
-        strip(null_if_empty(address)).alias("address"),
+        F.col("_gender").alias("gender"),
+        F.col("_age").alias("age"),
+        F.col("_address").alias("address"),
         with_default(F.col("occupation"), "").alias("occupation"),
     )
 
@@ -150,18 +168,23 @@ def clean_sentinel(
     an absent occupation gets a marker while a null one stays null.
     """
     rows = parse_documents(landing, column, fv.CLEAN_FIELDS, variants=["age", "occupation"])
-    rows = mark_known_address(rows, provinces, F.col("address"))
+    rows = mark_known_address(rows, provinces, F.col("address")).select(
+        "*",
+        whole_number(F.col("age")).alias("_age"),
+        gender_as_typed(F.col("gender")).alias("_gender"),
+    )
     age, address, occupation = F.col("age"), F.col("address"), F.col("occupation")
     passes = (
-        is_known_gender(F.col("gender"))
-        & (age.isNull() | age_from_variant(age).isNotNull())
+        F.col("_gender").isNotNull()
+        & (age.isNull() | is_valid_age(F.col("_age")))
         & (F.col(ADDRESS_KNOWN) | F.coalesce(address == fv.NOT_AVAILABLE, F.lit(False)))
     )
-    return rows.where(passes).select(
+    return emit(
+        rows, passes,
         with_default(F.col("_id"), fv.NO_ID_TEXT).alias("_id"),
         "name", "email", "phone",
-        gender_as_typed(F.col("gender")).alias("gender"),
-        F.when(age.isNull(), fv.MISSING_AGE).otherwise(age_from_variant(age)).alias("age"),
+        F.col("_gender").alias("gender"),
+        F.when(age.isNull(), fv.MISSING_AGE).otherwise(F.col("_age")).alias("age"),
         strip(address).alias("address"),
         F.when(occupation.isNull(), fv.MISSING_WORD)
         .otherwise(variant_text(occupation)).alias("occupation"),

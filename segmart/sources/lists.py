@@ -26,6 +26,14 @@ def read_city_list(
         return city_list(spark, fallback)
 
 
+def bounded_values(table: DataFrame, max_values: int = 10_000) -> list[str]:
+    """The values of a one-column list on the driver; a longer list is an error."""
+    rows = table.take(max_values + 1)
+    if len(rows) > max_values:
+        raise ValueError(f"more than {max_values} values")
+    return [row[0] for row in rows]
+
+
 def city_list(spark: SparkSession, cities: Sequence[str] = fv.PROVINCES) -> DataFrame:
     return spark.createDataFrame([(c,) for c in cities], "city string")
 
