@@ -40,7 +40,7 @@ def city_list(spark: SparkSession, cities: Sequence[str] = fv.PROVINCES) -> Data
 
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:
     """Two-column table (key, value) from a file that holds one JSON object of texts."""
-    text = spark.read.option("wholetext", "true").text(path)
+    text = spark.read.text(path, wholetext=True)
     return lookup_entries(text, "value")
 
 
