@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from segmart import fixed_values as fv
 
 INTEGER_TEXT = r"^([+-]?[0-9]+(?:_[0-9]+)*)$"
+ID_DIGITS = r"^([0-9]{1,19})$"
 EMAIL_START = r"^[^@]+@[^@]+\.[^@]+"
 WHITE_SPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 
@@ -39,8 +40,21 @@ def parse_int(text: Column) -> Column:
     Accepts surrounding white space, a sign and single underscores between digits;
     rejects fractions and exponents.
     """
-    digits = F.regexp_extract(strip(text), INTEGER_TEXT, 1)
-    return F.translate(digits, "_", "").try_cast("int")
+    return F.translate(matched(strip(text), INTEGER_TEXT), "_", "").try_cast("int")
+
+
+def numeric_id(text: Column) -> Column:
+    """Number of an all-digit id, null for any other text."""
+    return matched(text, ID_DIGITS).try_cast("bigint")
+
+
+def matched(text: Column, pattern: str) -> Column:
+    """First group of the pattern, null without a match.
+
+    Used in front of `try_cast`, which raises and catches an error for each text it
+    cannot read and so is slow on dirty columns.
+    """
+    return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
 
 
 def looks_like_email(text: Column) -> Column:

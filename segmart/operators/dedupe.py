@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from segmart.functions.text import numeric_id
 from segmart.operators.joins import fits_broadcast, unmatched
 
 
@@ -14,7 +15,7 @@ def lowest_per_key(df: DataFrame, key: str, id_column: str) -> DataFrame:
     Null keys form one group. One aggregation whose partial step leaves at most one
     row per key and task, so a key that holds a third of all rows is no hot spot.
     """
-    number = F.col(id_column).try_cast("bigint")
+    number = numeric_id(F.col(id_column))
     rest = [c for c in df.columns if c not in (key, id_column)]
     order = [number.isNull().alias("_text"), number.alias("_number")]
     survivor = F.min(F.struct(*order, id_column, *rest)).alias("_row")

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segmart.functions.lookups import occupation_category, province_region
 from segmart.functions.text import age_bucket
 from segmart.operators.joins import lookup_join
+from segmart.operators.keys import numbered
 from segmart.operators.star import repeated_users
 
+# Age groups, regions and categories come from short fixed lists; a gender that
+# passed a cleaning profile is one of three words, at most in any mix of cases.
+MAX_SEGMENTS = 1_000
+
 AGE, REGION, OCCUPATION, GENDER = "age", "region", "occupation_group", "gender"
 
 
@@ -66,14 +71,9 @@ def union_segments(*insights: DataFrame) -> DataFrame:
 
 
 def with_ids(segments: DataFrame, updated_at: Column | None = None) -> DataFrame:
-    """Add a dense id in the order of (segment_type, description) and the update time.
-
-    One task numbers the segments; their number is bounded by the attribute values
-    of the maps, not by the users.
-    """
-    order = Window.orderBy("segment_type", "description")
-    return segments.select(
-        F.row_number().over(order).cast("bigint").alias("id"),
+    """Add a dense id in the order of (segment_type, description) and the update time."""
+    return numbered(segments, MAX_SEGMENTS, "segment_type", "description").select(
+        F.col("_n").cast("bigint").alias("id"),
         "segment_type", "description", "user_count",
         (F.current_timestamp() if updated_at is None else updated_at).alias("updated_at"),
     )

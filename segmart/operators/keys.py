@@ -19,21 +19,26 @@ def checked_id(number: Column, id_type: str) -> Column:
     return F.when(number > 2**31 - 1, too_large.cast("int")).otherwise(number.try_cast("int"))
 
 
-def bounded_keys(members: DataFrame, key: str, id_column: str, max_members: int) -> DataFrame:
-    """Keys for a list of at most `max_members` members; more of them fail the job.
+def numbered(rows: DataFrame, max_rows: int, *order: str) -> DataFrame:
+    """Rows with column `_n` = 1, 2, ... in the given order; more than `max_rows` fail the job.
 
-    One task numbers the whole list, so this is only for members whose number the
-    cleaning rules bound.
+    One task numbers them all, so this is only for rows whose number the cleaning
+    rules bound. One row beyond the bound is let through to be noticed, no more.
     """
-    number = F.row_number().over(Window.orderBy(key))
-    overflow = F.raise_error(F.lit(f"more than {max_members} members of {key}"))
-    numbered = members.withColumn("_n", number)
-    return numbered.select(
-        F.when(F.col("_n") > max_members, overflow.cast("int")).otherwise(F.col("_n")).alias(id_column),
-        *members.columns,
+    within = rows.limit(max_rows + 1)
+    place = F.row_number().over(Window.orderBy(*order))
+    overflow = F.raise_error(F.lit(f"more than {max_rows} rows of {', '.join(order)}")).cast("int")
+    return within.withColumn("_n", place).withColumn(
+        "_n", F.when(F.col("_n") > max_rows, overflow).otherwise(F.col("_n"))
     )
 
 
+def bounded_keys(members: DataFrame, key: str, id_column: str, max_members: int) -> DataFrame:
+    """Keys for a list of at most `max_members` members; more of them fail the job."""
+    placed = numbered(members, max_members, key)
+    return placed.select(F.col("_n").alias(id_column), *members.columns)
+
+
 def dense_keys(
     members: DataFrame,
     key: str,

@@ -35,7 +35,8 @@ def bounded_values(table: DataFrame, max_values: int = 10_000) -> list[str]:
 
 
 def city_list(spark: SparkSession, cities: Sequence[str] = fv.PROVINCES) -> DataFrame:
-    return spark.createDataFrame([(c,) for c in cities], "city string")
+    """One-column table `city` as a literal of the plan."""
+    return spark.range(1).select(F.explode(F.array(*map(F.lit, cities))).alias("city"))
 
 
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:
@@ -51,4 +52,6 @@ def lookup_entries(df: DataFrame, column: str, *keep: str) -> DataFrame:
 
 
 def lookup_table(spark: SparkSession, mapping: Mapping[str, str]) -> DataFrame:
-    return spark.createDataFrame(list(mapping.items()), "key string, value string")
+    """Two-column table (key, value) as a literal of the plan."""
+    pairs = [F.lit(text) for pair in mapping.items() for text in pair]
+    return spark.range(1).select(F.explode(F.create_map(*pairs)).alias("key", "value"))

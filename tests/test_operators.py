@@ -309,3 +309,13 @@ def test_star_report(spark):
     built["dim_address"] = built["dim_address"].where("province = 'nowhere'")
     broken = integrity.star_report(built).where("n_violations > 0 AND constraint = 'foreign key'")
     assert [r.column for r in broken.collect()] == ["address_id"]
+
+
+def test_too_many_segments_fail(spark):
+    segments = spark.range(1_001).select(
+        F.lit("age").alias("segment_type"), F.col("id").cast("string").alias("description"),
+        F.lit(1).alias("user_count"),
+    )
+    assert insight.with_ids(segments.limit(1_000)).count() == 1_000
+    with pytest.raises(PySparkException):
+        insight.with_ids(segments).collect()
