@@ -76,9 +76,10 @@ def email_slug(name: Column) -> Column:
 
 
 def phone_format(digits: Column) -> Column:
-    """`0912345678` -> `0912 345 678`."""
-    return F.concat_ws(
-        " ", F.substring(digits, 1, 4), F.substring(digits, 5, 3), F.substr(digits, F.lit(8))
+    """`0912345678` -> `0912 345 678`; null for null."""
+    gap = F.lit(" ")
+    return F.concat(
+        F.substring(digits, 1, 4), gap, F.substring(digits, 5, 3), gap, F.substr(digits, F.lit(8))
     )
 
 

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from segmart.session import staged
+
+# Limits of a broadcast side, and the share of the rows that makes a key hot.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 1_000
@@ -23,33 +26,28 @@ def measured_size(df: DataFrame) -> tuple[int, int]:
     return n_rows, n_bytes or 0
 
 
-def fits_broadcast(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> bool:
-    n_rows, n_bytes = measured_size(df)
-    return n_rows <= max_rows and n_bytes <= max_bytes
+def is_small(n_rows: int, n_bytes: int) -> bool:
+    return n_rows <= BROADCAST_ROWS and n_bytes <= BROADCAST_BYTES
 
 
-def lookup_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
-    max_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
+def fits_broadcast(df: DataFrame) -> bool:
+    return is_small(*measured_size(df))
+
+
+def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Join `rows` with a `lookup` that holds each value of `key` at most once.
 
     A lookup of a checked small size is broadcast and `rows` stay where they are; an
-    empty one needs no join. A larger one goes through `split_hot_join`. `how` is left, inner, left_semi or
-    left_anti.
+    empty one needs no join. A larger one goes through `split_hot_join`, and as that
+    reads `rows` three times, its result is written for whatever comes next. `how` is
+    left, inner, left_semi or left_anti.
     """
     n_rows, n_bytes = measured_size(lookup)
     if n_rows == 0:
         return join_with_nothing(rows, lookup, key, how)
-    if n_rows <= max_rows and n_bytes <= max_bytes:
+    if is_small(n_rows, n_bytes):
         return rows.join(F.broadcast(lookup), key, how)
-    return split_hot_join(rows, lookup, key, how)
+    return staged(split_hot_join(rows, lookup, key, how), "joined")
 
 
 def unmatched(rows: DataFrame, other: DataFrame, key: str) -> DataFrame:

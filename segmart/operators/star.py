@@ -10,6 +10,7 @@ from segmart.functions.lookups import occupation_category, province_region
 from segmart.functions.text import age_bucket
 from segmart.operators.joins import lookup_join
 from segmart.operators.keys import bounded_keys, dense_keys, extend_keys
+from segmart.session import staged
 
 # Addresses that passed a cleaning profile: the list, and the two markers.
 MAX_ADDRESSES = len(fv.PROVINCES) + 2
@@ -64,15 +65,17 @@ def keyed_members(
 
 
 def repeated_users(users: DataFrame) -> DataFrame:
-    """(_id, copies) of the ids with more than one (name, email) pair.
+    """(_id, copies) of the ids with more than one (name, email) pair, as a written table.
 
-    Only the id column is shuffled to find ids on several rows; names and e-mails
-    are then compared for those ids alone.
+    Only the id column is shuffled to find ids on several rows, as a rule none; names
+    and e-mails are then compared for those ids alone. Both tables are read by several
+    jobs later on.
     """
-    several = users.where(F.col("_id").isNotNull()).groupBy("_id").agg(F.count("*").alias("n"))
-    several = several.where(F.col("n") > 1).select("_id")
+    per_id = users.where(F.col("_id").isNotNull()).groupBy("_id").agg(F.count("*").alias("n"))
+    several = staged(per_id.where(F.col("n") > 1).select("_id"), "several")
     pairs = lookup_join(users.select("_id", "name", "email"), several, "_id", "left_semi").distinct()
-    return pairs.groupBy("_id").agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
+    copies = pairs.groupBy("_id").agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
+    return copies if several.isEmpty() else staged(copies, "repeated")
 
 
 def fact_rows(

@@ -56,8 +56,9 @@ def email_slug(spark, sf_dir):
 
 
 def phone_format(spark, sf_dir):
-    phone = text.phone_format(F.col("phone"))
-    return users_raw(spark, sf_dir).where("phone <> ''").select("id", phone.alias("phone"))
+    return documents(spark, sf_dir).select(
+        "_id", text.phone_format(F.col("phone")).alias("phone")
+    )
 
 
 def register_date_format(spark, sf_dir):
@@ -249,11 +250,14 @@ def dedupe_email_sentinel(spark, sf_dir):
 
 
 def insert_ignore(spark, sf_dir):
+    """Users as the collection, line items as the batch: known order numbers are rejected."""
     users = users_raw(spark, sf_dir).select("id", "name", "phone")
-    number = F.col("id").cast("bigint")
-    batch = users.where(number % 3 == 0).withColumn("name", F.concat("name", F.lit("*")))
-    again = users.where(number % 9 == 0).withColumn("name", F.concat("name", F.lit("!")))
-    return dedupe.insert_ignore(users.where(number % 2 == 0), batch.unionByName(again), "id")
+    batch = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("id"),
+        F.col("l_returnflag").alias("name"),
+        F.col("l_linestatus").alias("phone"),
+    )
+    return dedupe.insert_ignore(users, batch, "id")
 
 
 def emails(spark, sf_dir):
@@ -265,8 +269,9 @@ def surrogate_keys(spark, sf_dir):
 
 
 def surrogate_keys_incremental(spark, sf_dir):
-    half = documents(spark, sf_dir).where(F.col("_id").cast("bigint") % 2 == 0)
-    known = keys.dense_keys(star.members(half, "email", "email"), "email", "email_id")
+    """Addresses of cleaned users keep their ids, the other addresses come after them."""
+    cleaned = star.members(strict_users(spark, sf_dir), "email", "email")
+    known = keys.dense_keys(cleaned, "email", "email_id")
     return keys.extend_keys(known, emails(spark, sf_dir), "email", "email_id")
 
 
@@ -322,6 +327,12 @@ def segment_insight(spark, sf_dir):
     return insight.segment_insight(user_table(spark, sf_dir)).drop("updated_at")
 
 
+def segment_insight_star(spark, sf_dir):
+    """The same counts from a written star: four insights, one below the other."""
+    built = jobs.staged_star(spark, strict_users(spark, sf_dir), scratch_path(spark, "star"))
+    return insight.segment_insight_from_star(built).drop("updated_at")
+
+
 # -- tables ------------------------------------------------------------------------------------
 
 def partition_scan(spark, sf_dir):
@@ -349,19 +360,24 @@ def star_roundtrip(spark, sf_dir):
 # -- upsert and integrity -----------------------------------------------------------------------
 
 def upsert_dim(spark, sf_dir):
+    """Cleaned users upserted with one row per user of the events."""
     users = star.dim_user(strict_users(spark, sf_dir))
-    number = F.col("user_id").cast("bigint")
-    staging = users.where(number % 3 == 0).withColumn("name", F.concat("name", F.lit(" (new)")))
-    return upsert(users.where(number % 2 == 0), staging, "user_id")
+    seen = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("n"))
+    staging = seen.select(
+        F.col("user_id").cast("string").alias("user_id"),
+        F.concat(F.lit("seen in events: "), "n").alias("name"),
+        F.concat(F.lit("seen"), "user_id", F.lit("@example.com")).alias("email"),
+    )
+    return upsert(users, staging, "user_id")
 
 
 def upsert_fact(spark, sf_dir):
-    users = user_table(spark, sf_dir)
-    group = star.dim_age_group(users)
-    fact = star.fct_user(star.fact_rows(users, star.dim_address(users), age_group=group))
-    number = F.col("user_id").cast("bigint")
-    staging = fact.where(number % 3 == 0).withColumn("gender", F.lit("Other"))
-    return upsert(fact.where(number % 2 == 0), staging, "user_id")
+    """The fact of strictly cleaned users upserted with that of leniently cleaned ones."""
+    strict = user_table(spark, sf_dir)
+    sentinel = staged(dedupe_email_sentinel(spark, sf_dir), "users")
+    group = staged(star.dim_age_group(strict.unionByName(sentinel)), "age-groups")
+    target = star.fct_user(star.fact_rows(strict, age_group=group))
+    return upsert(target, star.fct_user(star.fact_rows(sentinel, age_group=group)), "user_id")
 
 
 def pk_violations(spark, sf_dir):
@@ -373,9 +389,9 @@ def unique_violations(spark, sf_dir):
 
 
 def fk_orphans(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
-    customers = table(spark, sf_dir, "customer").where("c_custkey % 10 <> 0")
-    return integrity.fk_orphans(orders, "o_custkey", customers, "c_custkey")
+    """Orders whose customer did not pass the strict profile."""
+    users = strict_users(spark, sf_dir).select(F.col("_id").try_cast("bigint").alias("user_id"))
+    return integrity.fk_orphans(table(spark, sf_dir, "orders"), "o_custkey", users, "user_id")
 
 
 def length_violations(spark, sf_dir):
@@ -398,6 +414,7 @@ QUERIES = {
         surrogate_keys_incremental,
         dim_user, dim_address, dim_occupation, dim_age_group, fct_user,
         insight_age, insight_region, insight_occupation, insight_gender, segment_insight,
+        segment_insight_star,
         partition_scan, partition_overwrite, star_roundtrip,
         upsert_dim, upsert_fact, pk_violations, unique_violations, fk_orphans,
         length_violations,

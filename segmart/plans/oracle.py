@@ -285,8 +285,7 @@ ORACLE = {
         "SELECT id, " + slug_sql("concat_ws('  ', name, address, occupation)") + " AS slug FROM users_raw",
     ),
     "phone_format": with_(
-        USERS_RAW,
-        "SELECT id, phone[1:4] || ' ' || phone[5:7] || ' ' || phone[8:] AS phone FROM users_raw WHERE phone <> ''",
+        DOCS, "SELECT _id, phone[1:4] || ' ' || phone[5:7] || ' ' || phone[8:] AS phone FROM docs"
     ),
     "register_date_format": """
 SELECT c_custkey, strftime(DATE '2025-07-04' - cast(c_custkey % 1826 AS integer), '%d/%m/%Y') AS register_date
@@ -373,16 +372,12 @@ FROM (SELECT event_id, props, unnest(json_keys(props::json)) AS key FROM events)
     "dedupe_email_sentinel": with_(SENTINEL, f"SELECT * FROM sentinel QUALIFY {SURVIVOR}"),
     "insert_ignore": with_(
         f"""{USERS_RAW},
-numbered AS (SELECT id, name, phone, cast(id AS bigint) AS n FROM users_raw),
 batch AS (
-  SELECT id, name || '*' AS name, phone, n FROM numbered WHERE n % 3 = 0
-  UNION ALL SELECT id, name || '!' AS name, phone, n FROM numbered WHERE n % 9 = 0
-),
-fresh AS (
-  SELECT id, name, phone FROM batch WHERE n % 2 <> 0
-  QUALIFY row_number() OVER (PARTITION BY id ORDER BY name, phone) = 1
+  SELECT cast(l_orderkey AS varchar) AS id, l_returnflag AS name, l_linestatus AS phone FROM lineitem
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_returnflag, l_linestatus) = 1
 )""",
-        "SELECT id, name, phone FROM numbered WHERE n % 2 = 0 UNION ALL SELECT * FROM fresh",
+        "SELECT id, name, phone FROM users_raw UNION ALL "
+        "SELECT * FROM batch WHERE id NOT IN (SELECT id FROM users_raw)",
     ),
     "surrogate_keys": with_(
         DOCS,
@@ -390,10 +385,9 @@ fresh AS (
         "FROM (SELECT DISTINCT email FROM docs WHERE email IS NOT NULL)",
     ),
     "surrogate_keys_incremental": with_(
-        f"""{DOCS},
+        f"""{USERS},
 known AS (
-  SELECT row_number() OVER (ORDER BY email) AS email_id, email FROM
-  (SELECT DISTINCT email FROM docs WHERE email IS NOT NULL AND cast(_id AS bigint) % 2 = 0)
+  SELECT row_number() OVER (ORDER BY email) AS email_id, email FROM (SELECT DISTINCT email FROM users)
 ),
 fresh AS (
   SELECT (SELECT max(email_id) FROM known) + row_number() OVER (ORDER BY email) AS email_id, email FROM
@@ -414,6 +408,10 @@ fresh AS (
         INSIGHTS,
         "SELECT row_number() OVER (ORDER BY segment_type, description NULLS FIRST) AS id, * FROM segments",
     ),
+    "segment_insight_star": with_(
+        INSIGHTS,
+        "SELECT row_number() OVER (ORDER BY segment_type, description NULLS FIRST) AS id, * FROM segments",
+    ),
     # tables
     "partition_scan": with_(DATED, f"SELECT {CLEAN}, dt FROM dated WHERE dt = DATE '2025-07-01'"),
     "partition_overwrite": with_(
@@ -429,15 +427,29 @@ fresh AS (
     ),
     # upsert and integrity
     "upsert_dim": with_(
-        STAR,
-        "SELECT user_id, CASE WHEN cast(user_id AS bigint) % 3 = 0 THEN name || ' (new)' ELSE name END AS name, email "
-        "FROM dim_user WHERE cast(user_id AS bigint) % 2 = 0 OR cast(user_id AS bigint) % 3 = 0",
+        f"""{STAR},
+staging AS (
+  SELECT cast(user_id AS varchar) AS user_id, 'seen in events: ' || count(*) AS name,
+    'seen' || user_id || '@example.com' AS email
+  FROM events GROUP BY user_id
+)""",
+        "SELECT * FROM staging UNION ALL SELECT * FROM dim_user WHERE user_id NOT IN (SELECT user_id FROM staging)",
     ),
     "upsert_fact": with_(
-        STAR,
-        "SELECT user_id, address_id, age_group_id, "
-        "CASE WHEN cast(user_id AS bigint) % 3 = 0 THEN 'Other' ELSE gender END AS gender "
-        "FROM fct_user WHERE cast(user_id AS bigint) % 2 = 0 OR cast(user_id AS bigint) % 3 = 0",
+        f"""{STRICT},
+{SENTINEL.removeprefix(AGED + ",")},
+users AS (SELECT * FROM strict QUALIFY {SURVIVOR}),
+lenient AS (SELECT * FROM sentinel QUALIFY {SURVIVOR}),
+both_users AS (
+  SELECT 1 AS rank, _id AS user_id, {AGE_GROUP.format('age')} AS description, gender FROM lenient
+  UNION ALL SELECT 2, _id, {AGE_GROUP.format('age')}, gender FROM users
+),
+age_groups AS (
+  SELECT cast(row_number() OVER (ORDER BY description) AS integer) AS age_group_id, description
+  FROM (SELECT DISTINCT description FROM both_users)
+)""",
+        "SELECT user_id, age_group_id, gender FROM both_users JOIN age_groups USING (description) "
+        "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY rank) = 1",
     ),
     "pk_violations": """
 SELECT l_orderkey, count(*) AS n_rows FROM lineitem GROUP BY l_orderkey
@@ -446,11 +458,11 @@ HAVING count(*) > 1 OR l_orderkey IS NULL""",
         DOCS,
         "SELECT email, count(*) AS n_rows FROM docs WHERE email IS NOT NULL GROUP BY email HAVING count(*) > 1",
     ),
-    "fk_orphans": """
-SELECT o_custkey, count(*) AS n_rows FROM orders
-WHERE o_custkey IS NOT NULL
-  AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_custkey % 10 <> 0)
-GROUP BY o_custkey""",
+    "fk_orphans": with_(
+        USERS,
+        "SELECT o_custkey, count(*) AS n_rows FROM orders WHERE o_custkey IS NOT NULL "
+        "AND NOT EXISTS (SELECT 1 FROM users WHERE cast(_id AS bigint) = o_custkey) GROUP BY o_custkey",
+    ),
     "length_violations": """
 SELECT p_partkey, 'p_name' AS column_name, cast(length(p_name) AS integer) AS n_chars, 9 AS max_chars
 FROM part WHERE length(p_name) > 9

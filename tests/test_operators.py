@@ -133,12 +133,13 @@ def skewed(spark):
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
 @pytest.mark.parametrize("lookup_size", ["small", "large", "empty"])
-def test_lookup_join(spark, skewed, how, lookup_size):
+def test_lookup_join(spark, skewed, how, lookup_size, monkeypatch):
     rows, lookup = skewed
     if lookup_size == "empty":
         lookup = lookup.where("key = 'nothing'")
-    limits = {"max_rows": 10} if lookup_size == "large" else {}
-    got = joins.lookup_join(rows, lookup, "key", how, **limits)
+    if lookup_size == "large":
+        monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
+    got = joins.lookup_join(rows, lookup, "key", how)
     assert got.count() > 0 or (lookup_size == "empty" and how in ("inner", "left_semi"))
     wanted = rows.join(lookup, "key", how)
     assert got.select(*wanted.columns).exceptAll(wanted).isEmpty()
@@ -151,12 +152,16 @@ def test_hot_keys_are_few(skewed):
     assert joins.hot_keys(rows, "key", share=2).isEmpty()
 
 
-def test_measured_size(spark):
+def test_measured_size(spark, monkeypatch):
     df = spark.createDataFrame([("ab", 1), ("ấ", 2), (None, 3)], "s string, n int")
     assert joins.measured_size(df) == (3, 2 + 3 + 3 * 8)
     assert joins.measured_size(df.limit(0)) == (0, 0)
-    assert joins.fits_broadcast(df, max_rows=3) and not joins.fits_broadcast(df, max_rows=2)
-    assert not joins.fits_broadcast(df, max_bytes=10)
+    assert joins.fits_broadcast(df)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 28)
+    assert not joins.fits_broadcast(df)
+    monkeypatch.undo()
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 2)
+    assert not joins.fits_broadcast(df)
 
 
 def test_unmatched_keeps_null_keys(spark):
@@ -218,6 +223,32 @@ def test_repeated_id_fans_out_as_an_inner_join(spark):
     assert ("age", "31-45", 6) in direct and ("gender", None, 3) in direct
 
 
+def test_star_beyond_every_broadcast_limit(spark, monkeypatch):
+    """All lookups, the upsert keys and the province list take the way of large tables."""
+    users = users_of(
+        spark,
+        *[user(str(i // 2), f"e{i}", age=i % 90, occupation=f"job {i % 7}") for i in range(60)],
+        *[user("hot", f"h{i}", address=None, occupation="") for i in range(30)],
+        user(None, "none"),
+    )
+    small = star_of(users)
+    small_insight = rows_without_time(insight.segment_insight(users))
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    large = star_of(users)
+    assert small["fct_user"].count() == 30 * 4 + 30 * 30
+    for name in small:
+        assert Counter(large[name].collect()) == Counter(small[name].collect())
+    assert rows_without_time(insight.segment_insight(users)) == small_insight
+    target, staging = users.select("email", "age"), users.where("age > 40").select("email", F.lit(1).alias("age"))
+    merged = Counter(upsert(target, staging, "email").collect())
+    assert merged == Counter((r.email, 1 if r.age > 40 else r.age) for r in users.collect())
+    assert dedupe.insert_ignore(target, staging, "email").count() == users.count()
+
+
+def rows_without_time(segments):
+    return Counter(segments.drop("updated_at").collect())
+
+
 def test_same_pair_twice_is_one_dim_user_row(spark):
     users = users_of(spark, user("1", "a", age=10), user("1", "a", age=40))
     assert star.repeated_users(users).isEmpty()

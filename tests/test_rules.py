@@ -1,11 +1,12 @@
 """Truth tables of the cleaning profiles."""
 
 import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from segmart.operators import rules
+from segmart.operators import joins, rules
 from segmart.sources import lists
 
 GOOD = {
@@ -200,6 +201,14 @@ def test_sentinel_keeps_missing_name_and_email(landing):
     assert (row["name"], row["email"]) == (None, None)
 
 
+@pytest.mark.parametrize("profile", [rules.clean_strict, rules.clean_sentinel, rules.tag_columns])
+def test_province_table_too_large_to_broadcast(spark, landing, monkeypatch, profile):
+    rows = landing(*[changed(_id=str(i), address=a) for i, a in enumerate([" Cà Mau ", "Atlantis", ABSENT, "Gia Lai"] * 5)])
+    wanted = Counter(profile(rows).collect())
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    assert Counter(profile(rows, lists.city_list(spark)).collect()) == wanted
+
+
 def test_tag_keeps_extra_keys_and_types(landing):
     record = changed(age="30", phone=912, occupation=None, register_date="04/07/2025", score=1.5, tags=["a"])
     row = rules.clean_tag(landing(record)).first()
