@@ -2,7 +2,6 @@
 
 from datetime import date
 
-import pytest
 from pyspark.sql import functions as F
 
 from segmart import fixed_values as fv
@@ -24,16 +23,20 @@ def test_strip(spark):
     assert apply(spark, text.strip, values) == ["a b", "a", "a", "", "", None]
 
 
-@pytest.mark.parametrize(
-    "raw, number",
-    [
-        (" 18 ", 18), ("+5", 5), ("-5", -5), ("1_8", 18), ("120", 120), ("007", 7), (" 42\t", 42),
-        ("", None), ("  ", None), ("abc", None), ("18.7", None), ("1e1", None), ("1__8", None),
-        ("_18", None), ("18_", None), ("- 5", None), ("123456789012", None), (None, None),
-    ],
-)
-def test_parse_int(spark, raw, number):
-    assert apply(spark, text.parse_int, [raw]) == [number]
+NUMBERS = {
+    " 18 ": 18, "+5": 5, "-5": -5, "1_8": 18, "120": 120, "007": 7, " 42\t": 42,
+    "": None, "  ": None, "abc": None, "18.7": None, "1e1": None, "1__8": None, "_18": None,
+    "18_": None, "- 5": None, "123456789012": None, None: None,
+}
+
+
+def test_parse_int(spark):
+    assert apply(spark, text.parse_int, list(NUMBERS)) == list(NUMBERS.values())
+
+
+def test_numeric_id(spark):
+    values = ["7", "007", "9223372036854775807", "9223372036854775808", "+7", " 7", "a1", "", None]
+    assert apply(spark, text.numeric_id, values) == [7, 7, 9223372036854775807] + [None] * 6
 
 
 def test_age_bucket(spark):
