@@ -80,7 +80,13 @@ FOREIGN_KEYS = {
 
 
 def star_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(constraint, table, column, n_violations) for every constraint of the star."""
+    """(constraint, table, column, n_violations) for every constraint of the star.
+
+    Keys are compared as INT, as the target holds them: `7` and `07` are one key, and
+    a text that is no INT is both an integer violation and a missing key.
+    """
+    typed = {name: with_int_keys(tables[name], fv.INTEGER_KEYS[name]) for name in PRIMARY_KEYS}
+
     def row(kind: str, table: str, column: str, found: DataFrame) -> DataFrame:
         return found.agg(F.count("*").alias("n_violations")).select(
             F.lit(kind).alias("constraint"), F.lit(table).alias("table"),
@@ -89,9 +95,9 @@ def star_report(tables: Mapping[str, DataFrame]) -> DataFrame:
 
     report = [row("unique", "dim_user", "email", unique_violations(tables["dim_user"], "email"))]
     for name, key in PRIMARY_KEYS.items():
-        report.append(row("primary key", name, key, pk_violations(tables[name], key)))
+        report.append(row("primary key", name, key, pk_violations(typed[name], key)))
     for fk, name in FOREIGN_KEYS.items():
-        orphans = fk_orphans(tables["fct_user"], fk, tables[name], fk)
+        orphans = fk_orphans(typed["fct_user"], fk, typed[name], fk)
         report.append(row("foreign key", "fct_user", fk, orphans))
     for name, limits in fv.LENGTH_LIMITS.items():
         for column, limit in limits.items():

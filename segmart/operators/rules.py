@@ -78,9 +78,8 @@ def is_valid_age(number: Column) -> Column:
     return F.coalesce(number.between(1, 120), F.lit(False))
 
 
-def age_from_variant(age: Column) -> Column:
-    """Age of 1 to 120 from a JSON value, else null."""
-    number = whole_number(age)
+def valid_age(number: Column) -> Column:
+    """The number where it is an age, else null."""
     return F.when(is_valid_age(number), number)
 
 
@@ -195,8 +194,9 @@ TAG_VARIANTS = ("_id", "name", "phone", "age", "occupation")
 
 
 def tag_rows(landing: DataFrame, provinces: Provinces, column: str) -> DataFrame:
-    """Landing rows with the parsed `document` and the address mark; no row is lost."""
+    """Landing rows with the parsed `document`, its age and the address mark; no row is lost."""
     rows = try_parse_documents(landing, column, fv.CLEAN_FIELDS, TAG_VARIANTS)
+    rows = rows.withColumn("_age", whole_number(F.col("document.age")))
     return mark_known_address(rows, provinces, F.col("document.address"))
 
 
@@ -211,7 +211,7 @@ def tagged_text() -> dict[str, Column]:
         return F.when(value.isNull(), fv.NOT_AVAILABLE).otherwise(text)
 
     address = with_default(F.col("document.address"), fv.NOT_AVAILABLE)
-    age = age_from_variant(F.col("document.age")).cast("string")
+    age = valid_age(F.col("_age")).cast("string")
     return {
         "_id": F.when(F.col("document").isNotNull(), or_tag("_id", fv.NO_ID_TEXT)),
         "name": or_tag("name"),
@@ -234,7 +234,7 @@ def tagged_record() -> Column:
     """
     tag = F.lit(fv.NOT_AVAILABLE).cast("variant")
     typed = {f: F.coalesce(F.col(f"document.{f}"), tag) for f in ("name", "phone", "occupation")}
-    typed["age"] = F.coalesce(age_from_variant(F.col("document.age")).cast("variant"), tag)
+    typed["age"] = F.coalesce(valid_age(F.col("_age")).cast("variant"), tag)
     fields = {**tagged_text(), **typed}
     unreadable = {"id" if f == "_id" else f: F.lit(fv.NOT_AVAILABLE) for f in fv.CLEAN_FIELDS}
     return F.when(

@@ -207,8 +207,8 @@ def rule_age(spark, sf_dir):
     return rows.select(
         "_id",
         docs.variant_text(F.col("age")).alias("age_text"),
-        rules.age_from_variant(F.col("age")).alias("age"),
-    )
+        rules.whole_number(F.col("age")).alias("number"),
+    ).select("_id", "age_text", rules.valid_age(F.col("number")).alias("age"))
 
 
 def rule_address(spark, sf_dir):

@@ -336,7 +336,12 @@ def test_star_report(spark):
         ("length", "fct_user", "gender"): 1,
         ("integer", "dim_user", "user_id"): 1,
         ("integer", "fct_user", "user_id"): 1,
+        ("primary key", "dim_user", "user_id"): 1,
+        ("primary key", "fct_user", "user_id"): 1,
     }
+    same = star_of(users_of(spark, user("7", "a"), user("07", "b")))
+    found = integrity.star_report(same).where("n_violations > 0").collect()
+    assert {(r.constraint, r["table"]) for r in found} == {("primary key", "dim_user"), ("primary key", "fct_user")}
     built["dim_address"] = built["dim_address"].where("province = 'nowhere'")
     broken = integrity.star_report(built).where("n_violations > 0 AND constraint = 'foreign key'")
     assert [r.column for r in broken.collect()] == ["address_id"]
