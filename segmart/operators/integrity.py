@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,6 +80,26 @@ FOREIGN_KEYS = {
 }
 
 
+REPORT_SCHEMA = ("constraint", "table", "column", "n_violations")
+
+
+def row_check_counts(name: str, table: DataFrame) -> DataFrame:
+    """Report rows of the length and integer checks of one table, from a single scan."""
+    counts = {
+        ("length", column): F.count_if(F.char_length(column) > limit)
+        for column, limit in fv.LENGTH_LIMITS[name].items()
+    }
+    for column in fv.INTEGER_KEYS[name]:
+        lost = to_int_key(F.col(column)).isNull() & F.col(column).isNotNull()
+        counts["integer", column] = F.count_if(lost)
+    totals = table.agg(*[count.alias("_".join(check)) for check, count in counts.items()])
+    rows = []
+    for kind, column in counts:
+        values = (F.lit(kind), F.lit(name), F.lit(column), F.col(f"{kind}_{column}"))
+        rows.append(F.struct(*[v.alias(field) for v, field in zip(values, REPORT_SCHEMA)]))
+    return totals.select(F.inline(F.array(*rows)))
+
+
 def star_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(constraint, table, column, n_violations) for every constraint of the star.
 
@@ -88,25 +109,14 @@ def star_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     typed = {name: with_int_keys(tables[name], fv.INTEGER_KEYS[name]) for name in PRIMARY_KEYS}
 
     def row(kind: str, table: str, column: str, found: DataFrame) -> DataFrame:
-        return found.agg(F.count("*").alias("n_violations")).select(
-            F.lit(kind).alias("constraint"), F.lit(table).alias("table"),
-            F.lit(column).alias("column"), "n_violations",
-        )
+        counted = found.agg(F.count("*").alias("n"))
+        return counted.select(*map(F.lit, (kind, table, column)), "n").toDF(*REPORT_SCHEMA)
 
     report = [row("unique", "dim_user", "email", unique_violations(tables["dim_user"], "email"))]
     for name, key in PRIMARY_KEYS.items():
         report.append(row("primary key", name, key, pk_violations(typed[name], key)))
+        report.append(row_check_counts(name, tables[name]))
     for fk, name in FOREIGN_KEYS.items():
         orphans = fk_orphans(typed["fct_user"], fk, typed[name], fk)
         report.append(row("foreign key", "fct_user", fk, orphans))
-    for name, limits in fv.LENGTH_LIMITS.items():
-        for column, limit in limits.items():
-            found = length_violations(tables[name], PRIMARY_KEYS[name], {column: limit})
-            report.append(row("length", name, column, found))
-    for name, columns in fv.INTEGER_KEYS.items():
-        for column in columns:
-            report.append(row("integer", name, column, int_violations(tables[name], [column])))
-    result = report[0]
-    for other in report[1:]:
-        result = result.unionByName(other)
-    return result
+    return reduce(DataFrame.unionByName, report)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from segmart import fixed_values as fv
 from segmart.operators import dedupe, insight, integrity, joins, keys, star
 from segmart.operators.upsert import DuplicateKeyError, upsert, upsert_parquet
+from segmart.session import staged
 
 USER_SCHEMA = fv.CLEAN_SCHEMA
 
@@ -329,7 +330,7 @@ def test_lengths_and_integers(spark):
 
 def test_star_report(spark):
     users = users_of(spark, user("1", "a"), user("2", "b", gender="x" * 21), user("z", "c"))
-    built = star_of(users)
+    built = {name: staged(df, name) for name, df in star_of(users).items()}
     clean = {(r.constraint, r["table"], r.column): r.n_violations for r in integrity.star_report(built).collect()}
     assert len(clean) == 1 + 5 + 4 + 8 + 8
     assert {k: n for k, n in clean.items() if n} == {
@@ -339,7 +340,7 @@ def test_star_report(spark):
         ("primary key", "dim_user", "user_id"): 1,
         ("primary key", "fct_user", "user_id"): 1,
     }
-    same = star_of(users_of(spark, user("7", "a"), user("07", "b")))
+    same = {name: staged(df, name) for name, df in star_of(users_of(spark, user("7", "a"), user("07", "b"))).items()}
     found = integrity.star_report(same).where("n_violations > 0").collect()
     assert {(r.constraint, r["table"]) for r in found} == {("primary key", "dim_user"), ("primary key", "fct_user")}
     built["dim_address"] = built["dim_address"].where("province = 'nowhere'")
