@@ -2,11 +2,29 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from segmart.llm import exact_dedup, quality_rules
-from segmart.llm.common import documents, small_or_shuffled
+from segmart.llm import exact_dedup, packing, quality_rules, token_files
+from segmart.llm.common import documents
+from segmart.llm.tokens import Vocabulary
+from segmart.session import scratch_path
+
+
+def vocabulary() -> Vocabulary:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return Vocabulary.read(path, public_tokenizers.PATTERN)
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.token_pieces(documents(spark, sf_dir), vocabulary()))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    folder = scratch_path(spark, "token-files")
+    manifest = token_files.write_token_files(docs, folder, vocabulary())
+    return token_files.read_token_files(manifest, folder, docs.schema["doc_id"].dataType)
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +45,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {query.__name__: query for query in (op8_exact_dedup, op10_quality_rules)}
+QUERIES = {
+    query.__name__: query
+    for query in (op1_best_fit_packing, op7_token_files, op8_exact_dedup, op10_quality_rules)
+}
 
 ORACLE = {
     "op8_exact_dedup": r"""
