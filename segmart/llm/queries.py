@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from segmart.llm import exact_dedup, packing, quality_rules, token_files
+from segmart.llm import bpe, exact_dedup, packing, quality_rules, token_files
 from segmart.llm.common import documents
 from segmart.llm.tokens import Vocabulary
 from segmart.session import scratch_path
@@ -20,6 +20,12 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(documents(spark, sf_dir), vocabulary()))
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ranks = bpe.Ranks.read(path, public_tokenizers.PATTERN)
+    return bpe.round_trip_digests(documents(spark, sf_dir), ranks)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     folder = scratch_path(spark, "token-files")
@@ -47,7 +53,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: query
-    for query in (op1_best_fit_packing, op7_token_files, op8_exact_dedup, op10_quality_rules)
+    for query in (op1_best_fit_packing, op2_byte_bpe, op7_token_files, op8_exact_dedup, op10_quality_rules)
 }
 
 ORACLE = {
