@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from segmart.llm import bpe, exact_dedup, jaccard_join, packing, quality_rules, token_files
+from segmart.llm import bpe, exact_dedup, jaccard_join, packing, quality_rules, substring_dedup, token_files
 from segmart.llm.common import documents
 from segmart.llm.tokens import Vocabulary
 from segmart.session import scratch_path
@@ -26,6 +26,11 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(documents(spark, sf_dir), ranks)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = substring_dedup.repeated_spans(documents(spark, sf_dir))
+    return spans.select("doc_id", "start", "stop", "n_words", "keep_id")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     folder = scratch_path(spark, "token-files")
@@ -58,7 +63,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: query
-    for query in (op1_best_fit_packing, op2_byte_bpe, op7_token_files, op8_exact_dedup, op9_ngram_jaccard, op10_quality_rules)
+    for query in (op1_best_fit_packing, op2_byte_bpe, op3_substring_dedup, op7_token_files, op8_exact_dedup, op9_ngram_jaccard, op10_quality_rules)
 }
 
 ORACLE = {
