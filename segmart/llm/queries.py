@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from segmart.llm import bpe, exact_dedup, jaccard_join, packing, quality_rules, substring_dedup, token_files, toxicity
+from segmart.llm import bpe, exact_dedup, jaccard_join, packing, quality_classifier, quality_rules, substring_dedup, token_files, toxicity
 from segmart.llm.common import documents
 from segmart.llm.tokens import Vocabulary
 from segmart.session import scratch_path
@@ -35,6 +35,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select("doc_id", "start", "stop", "n_words", "keep_id")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.quality(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -71,7 +75,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: query
-    for query in (op1_best_fit_packing, op2_byte_bpe, op3_substring_dedup, op6_toxicity, op7_token_files, op8_exact_dedup, op9_ngram_jaccard, op10_quality_rules)
+    for query in (op1_best_fit_packing, op2_byte_bpe, op3_substring_dedup, op4_quality_classifier, op6_toxicity, op7_token_files, op8_exact_dedup, op9_ngram_jaccard, op10_quality_rules)
 }
 
 ORACLE = {
