@@ -160,7 +160,8 @@ class Similarity:
             ends = np.append(starts[1:], n)
             sizes = ends - starts
             segment = sums[ends] - sums[starts]
-            salt = (np.arange(segments, dtype=_U) + _U(1)) * _U(_ODD[6]) + _U((band + 1) * _ODD[7] & (2**64 - 1))
+            own = _U((band + 1) * _ODD[7] & (2**64 - 1))
+            salt = (np.arange(segments, dtype=_U) + _U(1)) * _U(_ODD[6]) + own
             found.append(mixed(segment + salt)[sizes > 0])
             if deletions:
                 owner = np.repeat(np.arange(deletions), sizes[:deletions])
@@ -261,7 +262,10 @@ def _bits(x: str, y: str) -> F.Column:
 def jaccard_components(
     docs: DataFrame, rule: Similarity, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """doc_id, n_shingles and component_id, the least doc_id that links reach, per document."""
+    """doc_id, n_shingles and component_id, the least doc_id that links reach, per document.
+
+    `key` tells rows with equal ids apart.
+    """
     rows = id_and_text(docs, id_col, text_col)
     rows = rows.withColumn("key", row_key(F.col("doc_id"), F.col("text")))
     indexed = _indexed(rows, rule)
@@ -318,15 +322,34 @@ def jaccard_components(
 
 def _with_components(indexed: DataFrame, labels: DataFrame) -> DataFrame:
     """Least doc_id per component; documents without shingles stay alone."""
-    labelled = indexed.where("size > 0").select("doc_id", "size", "node").join(
+    labelled = indexed.where("size > 0").select("doc_id", "key", "size", "node").join(
         small_or_shuffled(labels), "node", "left"
-    ).select("doc_id", "size", F.coalesce("label", "node").alias("label"))
-    labelled = staged(labelled, "labelled")
-    least = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n"))
+    )
+    label = F.coalesce("label", "node").alias("label")
+    labelled = staged(labelled.select("doc_id", "key", "size", label), "labelled")
+    least = labelled.groupBy("label").agg(
+        F.min("doc_id").alias("component_id"), F.count("*").alias("n")
+    )
     grouped = staged(least.where("n > 1").drop("n"), "grouped")
-    found = labelled.join(small_or_shuffled(grouped), "label", "left")
-    alone = indexed.where("size = 0").select("doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return found.select(
+    found = labelled.join(small_or_shuffled(grouped), "label", "left").select(
         "doc_id", F.col("size").alias("n_shingles"),
-        F.coalesce("component_id", "doc_id").alias("component_id"),
-    ).unionAll(alone)
+        F.coalesce("component_id", "doc_id").alias("component_id"), "key",
+    )
+    alone = indexed.where("size = 0").select(
+        "doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"), "key"
+    )
+    return found.unionAll(alone)
+
+
+def without_near_copies(
+    docs: DataFrame, rule: Similarity, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of `docs` that have the least id of their component, all columns as they were.
+
+    Linked rows with that same id stay together.
+    """
+    found = jaccard_components(docs, rule, id_col, text_col)
+    others = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    dropped = staged(others.select(F.col("key").alias("_dropped_key")).distinct(), "near-copies")
+    key = row_key(docs[id_col], F.coalesce(docs[text_col], F.lit("")))
+    return docs.join(small_or_shuffled(dropped), key == F.col("_dropped_key"), "left_anti")

@@ -5,7 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from segmart.llm import bpe, exact_dedup, jaccard_join, packing, quality_classifier, quality_rules, substring_dedup, token_files, toxicity
+from segmart.llm import (
+    bpe, exact_dedup, jaccard_join, packing, quality_classifier, quality_rules, substring_dedup,
+    token_files, toxicity,
+)
 from segmart.llm.common import documents
 from segmart.llm.tokens import Vocabulary
 from segmart.session import scratch_path
@@ -60,7 +63,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     rule = jaccard_join.Similarity(k=3, percent=90)
-    return jaccard_join.jaccard_components(documents(spark, sf_dir), rule)
+    return jaccard_join.jaccard_components(documents(spark, sf_dir), rule).drop("key")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +78,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: query
-    for query in (op1_best_fit_packing, op2_byte_bpe, op3_substring_dedup, op4_quality_classifier, op6_toxicity, op7_token_files, op8_exact_dedup, op9_ngram_jaccard, op10_quality_rules)
+    for query in (
+        op1_best_fit_packing, op2_byte_bpe, op3_substring_dedup, op4_quality_classifier,
+        op6_toxicity, op7_token_files, op8_exact_dedup, op9_ngram_jaccard, op10_quality_rules,
+    )
 }
 
 ORACLE = {
