@@ -5,7 +5,9 @@ from __future__ import annotations
 import contextlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,6 +104,27 @@ def bytes_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return column.cast(pa.large_binary() if large else pa.binary()).to_pylist()
 
 
+class WordHashes(dict):
+    """64-bit hashes of recent words; emptied when it is full."""
+
+    LIMIT = 400_000
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
+_word_hashes = WordHashes()
+
+
+def hashed_words(text: bytes) -> np.ndarray:
+    """The hashes of a text's words, A-Z in lower case, in their order."""
+    tokens = text.lower().split()
+    return np.fromiter(map(_word_hashes.__getitem__, tokens), np.uint64, len(tokens))
+
+
 def small_or_shuffled(df: DataFrame) -> DataFrame:
     """A join side marked for broadcast if its measured size allows it."""
     return F.broadcast(df) if fits_broadcast(df) else df

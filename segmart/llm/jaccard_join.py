@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segmart.llm.common import (
-    bytes_of, id_and_text, map_batches, row_key, small_or_shuffled, staged_batches,
+    bytes_of, hashed_words, id_and_text, map_batches, row_key, small_or_shuffled, staged_batches,
 )
 from segmart.llm.components import components
 from segmart.session import staged
@@ -46,7 +46,6 @@ from segmart.session import staged
 BAND_WIDTH = 2  # in steps of the largest size ratio that a link allows
 ROOM = 2  # weight of uninformative segments that the allocation makes up for
 SEGMENT_SIZE = 4  # shingles that a segment should have
-CACHED_WORDS = 400_000
 SKETCH = ("s0", "s1", "s2", "s3")
 
 # Odd multipliers for hashing.
@@ -66,26 +65,12 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(33))
 
 
-class WordHashes(dict):
-    """Hashes of recent words; emptied when it is full."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_word_hashes = WordHashes()
-
-
 def shingle_set(text: bytes, k: int) -> np.ndarray:
     """The sorted distinct hashes of a text's k-word shingles, A-Z in lower case."""
-    tokens = text.lower().split()
-    n = len(tokens)
+    hashes = hashed_words(text)
+    n = len(hashes)
     if not n:
         return np.empty(0, _U)
-    hashes = np.fromiter(map(_word_hashes.__getitem__, tokens), _U, n)
     width = min(n, k)
     total = np.full(n - width + 1, width, _U)
     for j in range(width):

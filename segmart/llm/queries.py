@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from segmart.llm import (
-    bpe, exact_dedup, jaccard_join, packing, quality_classifier, quality_rules, substring_dedup,
-    token_files, toxicity,
+    bpe, exact_dedup, jaccard_join, lm_scoring, packing, quality_classifier, quality_rules,
+    substring_dedup, token_files, toxicity,
 )
 from segmart.llm.common import documents
 from segmart.llm.tokens import Vocabulary
@@ -42,6 +42,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(documents(spark, sf_dir), vocabulary())
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -80,7 +84,7 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_best_fit_packing, op2_byte_bpe, op3_substring_dedup, op4_quality_classifier,
-        op6_toxicity, op7_token_files, op8_exact_dedup, op9_ngram_jaccard, op10_quality_rules,
+        op5_lm_scoring, op6_toxicity, op7_token_files, op8_exact_dedup, op9_ngram_jaccard, op10_quality_rules,
     )
 }
 
