@@ -1,6 +1,7 @@
 """Substring de-duplication by hashing units of text.
 
-A unit is a sentence, or what a line holds behind its last sentence end. Units are
+A unit is a sentence of `UNIT_WORDS` words or more with the shorter ones that follow it;
+short sentences alone repeat everywhere and would be most of the work. Units are
 normalised (lower case, single spaces) and hashed to 128 bits, and the digests are
 grouped over all documents. Of equal units the earliest stays, ranked by document and
 place. A run of consecutive units that are all later occurrences and together have
@@ -10,7 +11,8 @@ and stay. Passages that start or end inside a sentence lose all but their torn u
 Offsets are characters of the original text, so removals can be traced and undone.
 
 Defined results: null and empty texts have no units and stay empty. Rows equal in id and
-text are one document and keep or lose the same spans. A null id ranks after all others.
+text are one document and keep or lose the same spans. Null ids rank after all others;
+documents with equal ids rank together, and what one has first the other keeps as well.
 A unit that repeats within its own document counts as a later occurrence too.
 """
 
@@ -31,8 +33,25 @@ from segmart.llm.common import (
 )
 from segmart.session import staged
 
-MIN_WORDS = 20
-UNIT = re.compile(r"\S(?:[^\n.!?]|[.!?](?=[^\s.!?]))*[.!?]*")
+MIN_WORDS = 15
+UNIT_WORDS = 6
+SENTENCE = re.compile(r"\S(?:[^\n.!?]|[.!?](?=[^\s.!?]))*[.!?]*")
+
+
+def units_of(text: str) -> Iterator[tuple[int, int, list[str]]]:
+    """Start, stop and words of each unit."""
+    start, stop, tokens = 0, 0, []
+    for match in SENTENCE.finditer(text):
+        found = match.group().lower().split()
+        if tokens and len(found) >= UNIT_WORDS:
+            yield start, stop, tokens
+            tokens = []
+        if not tokens:
+            start = match.start()
+        tokens += found
+        stop = match.end()
+    if tokens:
+        yield start, stop, tokens
 
 
 def _units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -49,10 +68,9 @@ def _units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             owner, numbers, digests = [], [], []
             for row, text in enumerate(texts_of(batch, "text")):
-                for unit, match in enumerate(UNIT.finditer(text)):
-                    tokens = match.group().lower().split()
+                for unit, (start, stop, tokens) in enumerate(units_of(text)):
                     owner.append(row)
-                    numbers += (unit, match.start(), match.end(), len(tokens))
+                    numbers += (unit, start, stop, len(tokens))
                     digests.append(xxhash.xxh3_128_digest(" ".join(tokens)))
             taken = pa.array(owner, pa.int64())
             table = np.array(numbers, np.int32).reshape(-1, 4)
@@ -72,23 +90,19 @@ def repeated_spans(
 ) -> DataFrame:
     """The spans to remove: doc_id, key, start, stop, n_words, and the document kept in its place."""
     units = _units(docs, id_col, text_col)
+    rows = units.where("unit = 0").groupBy("key").agg(F.count("*").alias("n"))
+    if not rows.where("n > 1").isEmpty():
+        units = units.dropDuplicates(["key", "unit"])
     digest = ["d1", "d2"]
-    counts = units.groupBy(*digest).agg(F.count("*").alias("n"))
-    shared = staged(counts.where("n > 1").drop("n"), "shared-units")
-    repeats = staged(
-        units.join(small_or_shuffled(shared), digest).drop("n")
-        .dropDuplicates(["doc_id", "key", "unit"]),
-        "repeated-units",
-    )
-    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key", "unit")
-    first = staged(repeats.groupBy(*digest).agg(F.min(rank).alias("first")), "first-units")
-    later = (
-        repeats.join(small_or_shuffled(first), digest)
-        .where(~F.col("first").eqNullSafe(rank))
-        .select("doc_id", "key", "unit", "start", "stop", "n_words", F.col("first.doc_id").alias("keep_id"))
-    )
-    place = F.row_number().over(Window.partitionBy("doc_id", "key").orderBy("unit"))
-    runs = later.withColumn("run", F.col("unit") - place).groupBy("doc_id", "key", "run").agg(
+    # Both sides are shuffled by digest at every size; adaptive execution splits hot ones.
+    counts = units.groupBy(*digest).agg(F.count("*").alias("n"), F.min("doc_id").alias("keep_id"))
+    repeats = units.join(counts.where("n > 1").drop("n"), digest)
+    document = Window.partitionBy("doc_id", "key")
+    within = F.row_number().over(Window.partitionBy("doc_id", "key", *digest).orderBy("unit"))
+    placed = repeats.withColumn("within", within)
+    later = placed.where(~(F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("within") == 1)))
+    numbered = later.withColumn("run", F.col("unit") - F.row_number().over(document.orderBy("unit")))
+    runs = numbered.groupBy("doc_id", "key", "run").agg(
         F.min("start").alias("start"), F.max("stop").alias("stop"),
         F.sum("n_words").alias("n_words"), F.min("keep_id").alias("keep_id"),
     )
