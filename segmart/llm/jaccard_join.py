@@ -12,8 +12,8 @@ leaves room for a few of them; a set with more also indexes the shingles of its
 under the order of the hashes. Of two linked sets, either one is within that room and
 they agree on a segment that is not empty, or neither is and their prefixes meet.
 
-Sets with the same index entry are compared with the least of them first, which settles
-large groups of copies in linear work. Pairs that are still in different components are
+Sets with the same index entry are compared with the least of them first, and then with
+another member, which settles large groups of copies in linear work. Pairs that are still in different components are
 compared if their parity sketches, a lower bound on the difference, allow a link. Every
 comparison is exact on the shingle sets. Hash collisions: two different shingles of a
 pair of documents, or two different sets, have a chance of about 1 in 10^19 each.
@@ -244,6 +244,28 @@ def _bits(x: str, y: str) -> F.Column:
     )
 
 
+def _open_pairs(rest: DataFrame, involved: DataFrame, rule: Similarity) -> DataFrame:
+    """The pairs (u, v) of different components that share an entry and may link.
+
+    A pair that shares several entries comes out at the least of them only, and only if
+    sizes and sketches allow a link: the other pairs of a group are not produced.
+    """
+    own = rest.groupBy("node").agg(F.sort_array(F.collect_set("entry")).alias("entries"))
+    wide = staged(rest.join(involved.drop("key"), "node").join(own, "node"), "rest")
+    total = F.col("x.size") + F.col("y.size")
+    allowed = F.floor(total * (100 - rule.percent) / (100 + rule.percent))
+    first_shared = F.array_min(F.array_intersect("x.entries", "y.entries"))
+    return wide.alias("x").join(
+        wide.alias("y"),
+        (F.col("x.entry") == F.col("y.entry"))
+        & (F.col("x.node") < F.col("y.node"))
+        & (F.col("x.label") != F.col("y.label"))
+        & (100 * F.least("x.size", "y.size") >= rule.percent * F.greatest("x.size", "y.size"))
+        & (_bits("x", "y") <= allowed)
+        & (F.col("x.entry") == first_shared),
+    ).select(F.col("x.node").alias("u"), F.col("y.node").alias("v"))
+
+
 def jaccard_components(
     docs: DataFrame, rule: Similarity, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -278,30 +300,32 @@ def jaccard_components(
     links = _linked(stars.distinct(), sets, rule)
     labels = components(links)
 
-    place = members.join(small_or_shuffled(labels), "node", "left").select(
-        "entry", "node", F.coalesce("label", "node").alias("label")
-    )
-    open_entries = place.groupBy("entry").agg(F.min("label").alias("a"), F.max("label").alias("b"))
-    open_entries = staged(open_entries.where("a < b").select("entry"), "open")
-    if not open_entries.isEmpty():
-        rest = staged(
-            place.join(small_or_shuffled(open_entries), "entry", "left_semi")
-            .join(involved.drop("key"), "node"),
-            "rest",
+    def placed() -> DataFrame:
+        """Index entries that are shared by nodes of different components, and these nodes."""
+        place = members.join(small_or_shuffled(labels), "node", "left").select(
+            "entry", "node", F.coalesce("label", "node").alias("label")
         )
-        total = F.col("x.size") + F.col("y.size")
-        allowed = F.floor(total * (100 - rule.percent) / (100 + rule.percent))
-        open_pairs = rest.alias("x").join(
-            rest.alias("y"),
-            (F.col("x.entry") == F.col("y.entry"))
-            & (F.col("x.node") < F.col("y.node"))
-            & (F.col("x.label") != F.col("y.label"))
-            & (100 * F.least("x.size", "y.size") >= rule.percent * F.greatest("x.size", "y.size"))
-            & (_bits("x", "y") <= allowed),
-        ).select(F.col("x.node").alias("u"), F.col("y.node").alias("v"))
-        more = _linked(open_pairs.distinct(), sets, rule)
-        if not more.isEmpty():
-            labels = components(links.unionAll(more))
+        entry = place.groupBy("entry").agg(F.min("label").alias("a"), F.max("label").alias("b"))
+        still_open = staged(entry.where("a < b").select("entry"), "open")
+        return staged(place.join(small_or_shuffled(still_open), "entry", "left_semi"), "placed")
+
+    rest = placed()
+    # A second star around another member joins most of what the first left apart.
+    second = rest.groupBy("entry").agg(
+        F.min(F.struct(F.xxhash64("node").alias("order"), "node", "label")).alias("lead")
+    )
+    across = rest.join(small_or_shuffled(second), "entry").where(F.col("label") != F.col("lead.label"))
+    across = across.select(
+        F.least("lead.node", "node").alias("u"), F.greatest("lead.node", "node").alias("v")
+    )
+    more = _linked(across.distinct(), sets, rule)
+    if not more.isEmpty():
+        links = links.unionAll(more)
+        labels = components(links)
+        rest = placed()
+    more = _linked(_open_pairs(rest, involved, rule), sets, rule)
+    if not more.isEmpty():
+        labels = components(links.unionAll(more))
     return _with_components(indexed, labels)
 
 
