@@ -43,11 +43,12 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("--users", required=True)
     load.add_argument("--landing", required=True)
     load.add_argument("--append", action="store_true")
+    load.add_argument("--single-line", action="store_true", help="no line breaks inside values")
 
     clean = commands.add_parser("clean", help="landing files to the cleaned table")
     clean.add_argument("--landing", required=True)
     clean.add_argument("--clean", required=True)
-    clean.add_argument("--profile", choices=("strict", "sentinel", "tag"), default="strict")
+    clean.add_argument("--profile", choices=("strict", "sentinel", "tag", "tag_flat"), default="strict")
     clean.add_argument("--provinces", help="CSV with a city column; the built-in list if not given")
     clean.add_argument("--run-date", type=date.fromisoformat, default=date.today())
     clean.add_argument("--overwrite", choices=("dynamic", "static"), default="dynamic")
@@ -57,6 +58,9 @@ def parser() -> argparse.ArgumentParser:
     star.add_argument("--clean", required=True)
     star.add_argument("--star", required=True)
     star.add_argument("--known", help="star of an earlier run whose ids are kept")
+    star.add_argument("--regions", help="JSON object of province to region; built-in if not given")
+    star.add_argument("--categories", help="JSON object of occupation to category")
+    star.add_argument("--repeated", choices=("stop", "aside"), default="stop", help="ids with several names")
     star.add_argument("--run-date", type=date.fromisoformat, default=date.today())
 
     check = commands.add_parser("check", help="list violated constraints")
@@ -87,7 +91,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         users = synthetic.synth_users(spark, dict(args.counts), args.as_of, cities)
         write_users_csv(users, args.out)
     elif args.command == "load":
-        jobs.load_job(spark, args.users, args.landing, args.append)
+        jobs.load_job(spark, args.users, args.landing, args.append, not args.single_line)
     elif args.command == "clean":
         provinces = lists.read_city_list(spark, args.provinces) if args.provinces else fv.PROVINCES
         jobs.clean_job(
@@ -95,7 +99,8 @@ def main(argv: Sequence[str] | None = None) -> None:
             args.overwrite, multi_line=not args.single_line,
         )
     elif args.command == "star":
-        jobs.star_job(spark, args.clean, args.star, args.run_date, args.known)
+        maps = [p and lists.read_lookup(spark, p) for p in (args.regions, args.categories)]
+        jobs.star_job(spark, args.clean, args.star, args.run_date, args.known, *maps, args.repeated)
     elif args.command == "check":
         jobs.failed_constraints(spark, args.star).show(100, truncate=False)
     elif args.command == "merge":

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from segmart.functions.text import numeric_id
 from segmart.operators.joins import fits_broadcast, unmatched
+from segmart.session import staged
 
 
 def lowest_per_key(df: DataFrame, key: str, id_column: str) -> DataFrame:
@@ -33,9 +34,11 @@ def accepted_rows(target: DataFrame, batch: DataFrame, key: str = "_id") -> Data
 
     Keys the target holds are left out; of a key repeated in the batch the lowest
     row goes in. Rows without a key cannot collide and all go in. Appending the
-    result leaves the target's own files untouched. A batch of a checked small size
-    is broadcast to the target, which is then scanned but not shuffled.
+    result leaves the target's own files untouched. The batch is written first, as
+    several jobs read it. A batch of a checked small size is broadcast to the target,
+    which is then scanned but not shuffled.
     """
+    batch = staged(batch, "batch")
     keyed = batch.where(F.col(key).isNotNull())
     rest = [c for c in batch.columns if c != key]
     if rest:
@@ -43,11 +46,14 @@ def accepted_rows(target: DataFrame, batch: DataFrame, key: str = "_id") -> Data
         once = lowest.select(*[key if c == key else F.col(f"_row.{c}").alias(c) for c in batch.columns])
     else:
         once = keyed.distinct()
+    keyless = batch.where(F.col(key).isNull())
+    if target.isEmpty():
+        return once.unionByName(keyless)
     known = target.select(key)
-    if fits_broadcast(once.select(key)):
+    if fits_broadcast(keyed.select(key)):
         known = known.join(F.broadcast(once.select(key)), key, "left_semi")
-    fresh = unmatched(once, known, key)
-    return fresh.unionByName(batch.where(F.col(key).isNull()))
+    # A key that the target repeats must not be a hot key of the join below.
+    return unmatched(once, known.distinct(), key).unionByName(keyless)
 
 
 def insert_ignore(target: DataFrame, batch: DataFrame, key: str = "_id") -> DataFrame:

@@ -7,13 +7,8 @@ from pyspark.sql import functions as F
 
 from segmart.functions.lookups import occupation_category, province_region
 from segmart.functions.text import age_bucket
-from segmart.operators.joins import lookup_join
-from segmart.operators.keys import numbered
-from segmart.operators.star import repeated_users
-
-# Age groups, regions and categories come from short fixed lists; a gender that
-# passed a cleaning profile is one of three words, at most in any mix of cases.
-MAX_SEGMENTS = 1_000
+from segmart.operators.keys import dense_keys
+from segmart.operators.star import described
 
 AGE, REGION, OCCUPATION, GENDER = "age", "region", "occupation_group", "gender"
 
@@ -27,11 +22,6 @@ def segment(counts: DataFrame, segment_type: str, description: str) -> DataFrame
     )
 
 
-def users_in(fact: DataFrame) -> Column:
-    """Number of fact rows; rows of `fact_rows` count as often as they stand for."""
-    return F.sum("copies") if "copies" in fact.columns else F.count("user_id")
-
-
 def count_by_dimension(
     fact: DataFrame, dimension: DataFrame, key: str, attribute: str, segment_type: str
 ) -> DataFrame:
@@ -40,7 +30,7 @@ def count_by_dimension(
     The fact is counted by its integer key first, so the join sees one row per
     member and not one per user.
     """
-    per_member = fact.groupBy(key).agg(users_in(fact).alias("n"))
+    per_member = fact.groupBy(key).agg(F.count("user_id").alias("n"))
     joined = per_member.join(dimension.select(key, attribute), key, "left")
     return segment(joined.groupBy(attribute).agg(F.sum("n").alias("user_count")), segment_type, attribute)
 
@@ -58,7 +48,7 @@ def insight_occupation(fact: DataFrame, dim_occupation: DataFrame) -> DataFrame:
 
 
 def insight_gender(fact: DataFrame) -> DataFrame:
-    counts = fact.groupBy("gender").agg(users_in(fact).alias("user_count"))
+    counts = fact.groupBy("gender").agg(F.count("user_id").alias("user_count"))
     return segment(counts, GENDER, "gender")
 
 
@@ -72,9 +62,9 @@ def union_segments(*insights: DataFrame) -> DataFrame:
 
 def with_ids(segments: DataFrame, updated_at: Column | None = None) -> DataFrame:
     """Add a dense id in the order of (segment_type, description) and the update time."""
-    return numbered(segments, MAX_SEGMENTS, "segment_type", "description").select(
-        F.col("_n").cast("bigint").alias("id"),
-        "segment_type", "description", "user_count",
+    keyed = dense_keys(segments, ("segment_type", "description"), "id", id_type="bigint")
+    return keyed.select(
+        "id", "segment_type", "description", "user_count",
         (F.current_timestamp() if updated_at is None else updated_at).alias("updated_at"),
     )
 
@@ -93,29 +83,37 @@ def segment_insight_from_star(tables: dict[str, DataFrame], updated_at: Column |
     )
 
 
-def segment_insight(users: DataFrame, updated_at: Column | None = None) -> DataFrame:
+def segment_insight(
+    users: DataFrame,
+    updated_at: Column | None = None,
+    regions: DataFrame | None = None,
+    categories: DataFrame | None = None,
+) -> DataFrame:
     """The four insights straight from cleaned users, in one pass.
 
     The keys of the star lead from a value to a member and back, so the attributes
     are computed from the values and no dimension is joined. Users are first counted
-    per combination of the four attributes; the few combinations are then summed up
-    per attribute. An id with several (name, email) pairs counts once per pair for
-    each of its rows, as in the fact.
+    per combination of values; the few combinations are then described and summed up
+    per attribute. `regions` and `categories` replace the built-in maps.
     """
-    address, occupation = F.col("address"), F.col("occupation")
-    described = users.where(F.col("_id").isNotNull()).select(
-        "_id",
-        age_bucket(F.col("age")).alias(AGE),
-        F.when(address.isNotNull(), province_region(address)).alias(REGION),
-        F.when(occupation.isNotNull(), occupation_category(occupation)).alias(OCCUPATION),
-        F.col("gender").alias(GENDER),
+    valued = users.where(F.col("_id").isNotNull()).select(
+        age_bucket(F.col("age")).alias(AGE), "address", "occupation", F.col("gender").alias(GENDER)
     )
-    weighted = lookup_join(described, repeated_users(users), "_id")
-    kinds = (AGE, REGION, OCCUPATION, GENDER)
-    combinations = weighted.groupBy(*kinds).agg(F.sum(F.coalesce("copies", F.lit(1))).alias("n"))
-    pairs = [F.struct(F.lit(k).alias("segment_type"), F.col(k).alias("description")) for k in kinds]
+    combinations = valued.groupBy(AGE, "address", "occupation", GENDER).agg(F.count("*").alias("n"))
+    address, occupation = F.col("address"), F.col("occupation")
+    named = described(combinations, "address", REGION, province_region(address), regions)
+    named = described(named, "occupation", OCCUPATION, occupation_category(occupation), categories)
+    pairs = [
+        F.struct(F.lit(AGE).alias("segment_type"), F.col(AGE).alias("description")),
+        F.struct(F.lit(REGION).alias("segment_type"), F.when(address.isNotNull(), F.col(REGION)).alias("description")),
+        F.struct(
+            F.lit(OCCUPATION).alias("segment_type"),
+            F.when(occupation.isNotNull(), F.col(OCCUPATION)).alias("description"),
+        ),
+        F.struct(F.lit(GENDER).alias("segment_type"), F.col(GENDER).alias("description")),
+    ]
     counts = (
-        combinations.select(F.inline(F.array(*pairs)), "n")
+        named.select(F.inline(F.array(*pairs)), "n")
         .groupBy("segment_type", "description")
         .agg(F.sum("n").alias("user_count"))
     )

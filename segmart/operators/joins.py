@@ -17,8 +17,11 @@ HOT_SHARE = 1_000
 def measured_size(df: DataFrame) -> tuple[int, int]:
     """Row count and approximate data bytes, measured by one aggregate over `df`."""
     def width(field: T.StructField) -> Column:
-        if isinstance(field.dataType, T.StringType):
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             return F.coalesce(F.octet_length(field.name), F.lit(0))
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            as_text = F.to_json(F.struct(F.col(field.name)))  # a map or array alone may be null
+            return F.coalesce(F.octet_length(as_text), F.lit(0))
         return F.lit(8)
 
     row_bytes = sum((width(f) for f in df.schema.fields), F.lit(0))
@@ -61,7 +64,8 @@ def unmatched(rows: DataFrame, other: DataFrame, key: str) -> DataFrame:
 
 
 def join_with_nothing(rows: DataFrame, lookup: DataFrame, key: str, how: str) -> DataFrame:
-    """What `how` yields when the lookup is known to be empty."""
+    """What `how` yields when the lookup is known to be empty, columns as a join has them."""
+    rows = rows.select(key, *[c for c in rows.columns if c != key])
     if how == "left_anti":
         return rows
     if how in ("left_semi", "inner"):

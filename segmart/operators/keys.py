@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,34 +21,14 @@ def checked_id(number: Column, id_type: str) -> Column:
     return F.when(number > 2**31 - 1, too_large.cast("int")).otherwise(number.try_cast("int"))
 
 
-def numbered(rows: DataFrame, max_rows: int, *order: str) -> DataFrame:
-    """Rows with column `_n` = 1, 2, ... in the given order; more than `max_rows` fail the job.
-
-    One task numbers them all, so this is only for rows whose number the cleaning
-    rules bound. One row beyond the bound is let through to be noticed, no more.
-    """
-    within = rows.limit(max_rows + 1)
-    place = F.row_number().over(Window.orderBy(*order))
-    overflow = F.raise_error(F.lit(f"more than {max_rows} rows of {', '.join(order)}")).cast("int")
-    return within.withColumn("_n", place).withColumn(
-        "_n", F.when(F.col("_n") > max_rows, overflow).otherwise(F.col("_n"))
-    )
-
-
-def bounded_keys(members: DataFrame, key: str, id_column: str, max_members: int) -> DataFrame:
-    """Keys for a list of at most `max_members` members; more of them fail the job."""
-    placed = numbered(members, max_members, key)
-    return placed.select(F.col("_n").alias(id_column), *members.columns)
-
-
 def dense_keys(
     members: DataFrame,
-    key: str,
+    key: str | Sequence[str],
     id_column: str,
     after: int | Column = 0,
     id_type: str = "int",
 ) -> DataFrame:
-    """Keys `after`+1, `after`+2, ... for any number of distinct members.
+    """Keys `after`+1, `after`+2, ... for any number of distinct members, null keys first.
 
     One range shuffle sorts the members over all tasks. Each row notes its place
     within its task, the checkpoint freezes task numbers and places, and one total
@@ -54,9 +36,10 @@ def dense_keys(
     the number of tasks. The broadcast offsets have one row per task.
     """
     shared_dir(members.sparkSession)
+    order = [key] if isinstance(key, str) else list(key)
     placed = (
-        members.repartitionByRange(key)
-        .sortWithinPartitions(key)
+        members.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())
         .checkpoint()
     )

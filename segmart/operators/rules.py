@@ -274,4 +274,12 @@ def tag_columns(
     return rows.select(*[value.alias(field) for field, value in tagged_text().items()])
 
 
-PROFILES = {"strict": clean_strict, "sentinel": clean_sentinel, "tag": clean_tag}
+def clean_tag_flat(landing: DataFrame, provinces: Provinces = fv.PROVINCES) -> DataFrame:
+    """The tagged records in the columns of the cleaned table; an age that is a marker is null."""
+    rows = tag_columns(landing, provinces)
+    return rows.withColumn("age", parse_int(F.col("age")))
+
+
+PROFILES = {
+    "strict": clean_strict, "sentinel": clean_sentinel, "tag": clean_tag, "tag_flat": clean_tag_flat,
+}

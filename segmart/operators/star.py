@@ -9,13 +9,7 @@ from segmart import fixed_values as fv
 from segmart.functions.lookups import occupation_category, province_region
 from segmart.functions.text import age_bucket
 from segmart.operators.joins import lookup_join
-from segmart.operators.keys import bounded_keys, dense_keys, extend_keys
-from segmart.session import staged
-
-# Addresses that passed a cleaning profile: the list, and the two markers.
-MAX_ADDRESSES = len(fv.PROVINCES) + 2
-MAX_AGE_GROUPS = len(fv.AGE_GROUPS)
-COPIES_PER_BLOCK = 1_000
+from segmart.operators.keys import dense_keys, extend_keys
 
 
 def dim_user(users: DataFrame) -> DataFrame:
@@ -29,53 +23,62 @@ def members(users: DataFrame, column: str | Column, name: str) -> DataFrame:
     return users.select(value.alias(name)).where(F.col(name).isNotNull()).distinct()
 
 
+def described(
+    keyed: DataFrame, natural_key: str, name: str, fixed: Column, lookup: DataFrame | None
+) -> DataFrame:
+    """Add the attribute `name`: from a (key, value) table of any size, else from the fixed map."""
+    if lookup is None:
+        return keyed.withColumn(name, fixed)
+    entries = lookup.groupBy(F.col("key").alias(natural_key)).agg(F.min("value").alias(name))
+    joined = lookup_join(keyed, entries, natural_key)
+    return joined.select(*keyed.columns, F.coalesce(name, F.lit(fv.OTHER)).alias(name))
+
+
 def dim_address(
-    users: DataFrame, max_members: int | None = MAX_ADDRESSES, known: DataFrame | None = None
+    users: DataFrame, known: DataFrame | None = None, regions: DataFrame | None = None
 ) -> DataFrame:
-    """(address_id, province, region). `max_members=None` lifts the bound of a fixed list.
+    """(address_id, province, region) for any number of provinces.
 
-    With `known`, an earlier dim_address, old members keep their ids.
+    With `known`, an earlier dim_address, old members keep their ids. `regions` is a
+    (key, value) table in place of the built-in map.
     """
-    provinces = members(users, "address", "province")
-    keyed = keyed_members(provinces, "province", "address_id", max_members, known)
-    return keyed.withColumn("region", province_region(F.col("province")))
+    keyed = keyed_members(members(users, "address", "province"), "province", "address_id", known)
+    return described(keyed, "province", "region", province_region(F.col("province")), regions)
 
 
-def dim_occupation(users: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """(occupation_id, occupation_name, category). Occupations are free text, so unbounded."""
+def dim_occupation(
+    users: DataFrame, known: DataFrame | None = None, categories: DataFrame | None = None
+) -> DataFrame:
+    """(occupation_id, occupation_name, category); `categories` replaces the built-in map."""
     names = members(users, "occupation", "occupation_name")
-    keyed = keyed_members(names, "occupation_name", "occupation_id", None, known)
-    return keyed.withColumn("category", occupation_category(F.col("occupation_name")))
+    keyed = keyed_members(names, "occupation_name", "occupation_id", known)
+    fixed = occupation_category(F.col("occupation_name"))
+    return described(keyed, "occupation_name", "category", fixed, categories)
 
 
 def dim_age_group(users: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(age_group_id, description)."""
     groups = members(users, age_bucket(F.col("age")), "description")
-    return keyed_members(groups, "description", "age_group_id", MAX_AGE_GROUPS, known)
+    return keyed_members(groups, "description", "age_group_id", known)
 
 
-def keyed_members(
-    new: DataFrame, key: str, id_column: str, max_members: int | None, known: DataFrame | None
-) -> DataFrame:
+def keyed_members(new: DataFrame, key: str, id_column: str, known: DataFrame | None) -> DataFrame:
     if known is not None:
         return extend_keys(known.select(id_column, key), new, key, id_column)
-    if max_members is not None:
-        return bounded_keys(new, key, id_column, max_members)
     return dense_keys(new, key, id_column)
 
 
-def repeated_users(users: DataFrame) -> DataFrame:
-    """(_id, copies) of the ids with more than one (name, email) pair, as a written table.
+def repeated_ids(users: DataFrame) -> DataFrame:
+    """The ids (`_id`) with more than one (name, email) pair.
 
-    Only the id column is shuffled to find ids on several rows, as a rule none; names
-    and e-mails are then compared for those ids alone. Both tables are read by several
-    jobs later on.
+    The target's primary key forbids them. Least and greatest pair combine on the map
+    side, so an id that holds a third of all rows is no hot spot.
     """
-    per_id = users.where(F.col("_id").isNotNull()).groupBy("_id").agg(F.count("*").alias("n"))
-    several = staged(per_id.where(F.col("n") > 1).select("_id"), "several")
-    pairs = lookup_join(users.select("_id", "name", "email"), several, "_id", "left_semi").distinct()
-    copies = pairs.groupBy("_id").agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
-    return copies if several.isEmpty() else staged(copies, "repeated")
+    pair = F.struct("name", "email")
+    per_id = users.where(F.col("_id").isNotNull()).groupBy("_id").agg(
+        F.min(pair).alias("least"), F.max(pair).alias("greatest")
+    )
+    return per_id.where(~F.col("least").eqNullSafe(F.col("greatest"))).select("_id")
 
 
 def fact_rows(
@@ -84,11 +87,11 @@ def fact_rows(
     occupation: DataFrame | None = None,
     age_group: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per user row: user_id, the ids of the given dimensions, gender and `copies`.
+    """One row per user row with an id: user_id, the ids of the given dimensions, gender.
 
-    `copies` is the number of dim_user rows with the same id, which is how often an
-    inner join with dim_user repeats the row. Only repeated ids are joined in, and
-    as a rule there are none, so users are not shuffled and nothing multiplies.
+    Every such id is in dim_user, so the inner join with it keeps just these rows. It
+    would multiply the rows of an id with several (name, email) pairs; here no row is
+    ever multiplied, and `repeated_ids` names such ids.
     """
     rows = users.where(F.col("_id").isNotNull()).select(
         "_id", "gender",
@@ -106,29 +109,14 @@ def fact_rows(
         if dimension is not None:
             rows = lookup_join(rows, dimension.select(natural_key, id_column), natural_key)
             ids.append(id_column)
-    rows = lookup_join(rows, repeated_users(users), "_id")
-    return rows.select(
-        F.col("_id").alias("user_id"), *ids, "gender", F.coalesce("copies", F.lit(1)).alias("copies")
-    )
-
-
-def fct_user(rows: DataFrame) -> DataFrame:
-    """The fact table: each row of `fact_rows` as often as `copies` says.
-
-    Where ids are unique, as the target's primary key asks, this changes nothing.
-    Repeats come in blocks, so no long array is built for an id that occurs very often.
-    """
-    columns = [c for c in rows.columns if c != "copies"]
-    last_block = F.floor((F.col("copies") - 1) / COPIES_PER_BLOCK)
-    blocks = rows.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)).alias("block"))
-    in_block = F.least(F.lit(COPIES_PER_BLOCK), F.col("copies") - F.col("block") * COPIES_PER_BLOCK)
-    return blocks.select(*columns, F.explode(F.array_repeat(F.lit(True), in_block.cast("int")))).select(*columns)
+    return rows.select(F.col("_id").alias("user_id"), *ids, "gender")
 
 
 def flat_star(tables: dict[str, DataFrame]) -> DataFrame:
-    """The fact with the attributes of all its dimensions.
+    """The fact with the attributes of all its dimensions, one row per fact row.
 
-    The fact meets dim_user on the user id; the other dimensions are lookups.
+    The fact meets dim_user on the user id, of which the least (name, email) counts; the
+    other dimensions are lookups.
     """
     flat = tables["fct_user"]
     for name, key in (
@@ -137,4 +125,5 @@ def flat_star(tables: dict[str, DataFrame]) -> DataFrame:
         ("dim_age_group", "age_group_id"),
     ):
         flat = lookup_join(flat, tables[name], key)
-    return flat.join(tables["dim_user"], "user_id")
+    one = tables["dim_user"].groupBy("user_id").agg(F.min(F.struct("name", "email")).alias("u"))
+    return flat.join(one.select("user_id", "u.name", "u.email"), "user_id")

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmart.operators.integrity import pk_violations
-from segmart.operators.joins import fits_broadcast
+from segmart import fixed_values as fv
+from segmart.operators.integrity import int_violations, pk_violations, with_int_keys
+from segmart.operators.joins import fits_broadcast, lookup_join
+from segmart.operators.keys import extend_keys
+from segmart.session import staged
 
 
 class DuplicateKeyError(ValueError):
@@ -17,9 +20,11 @@ def upsert(target: DataFrame, staging: DataFrame, key: str, check: bool = True)
     """The target with rows of known keys replaced and rows of new keys added.
 
     Staging rows must have unique non-null keys, as a conflict clause asks; the
-    check shuffles only their key column. Staging keys of a checked small size are
-    broadcast, and then a target of any size is filtered in place.
+    check shuffles only their key column. The staging rows are written first, as several
+    jobs read them. Staging keys of a checked small size are broadcast, and then a target
+    of any size is filtered in place.
     """
+    staging = staged(staging, "staging")
     if check and not pk_violations(staging, key).isEmpty():
         raise DuplicateKeyError(f"staging rows repeat or lack {key}")
     keys = staging.select(key)
@@ -39,6 +44,16 @@ def upsert_parquet(
     merged.write.mode("overwrite").parquet(out_path)
 
 
+def int_keyed(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The star tables with integer keys; a key that is no integer is an error."""
+    for name, columns in fv.INTEGER_KEYS.items():
+        if name in tables and not int_violations(tables[name], columns).isEmpty():
+            raise ValueError(f"keys of {name} that are no INT")
+    return {
+        name: with_int_keys(table, fv.INTEGER_KEYS.get(name, ())) for name, table in tables.items()
+    }
+
+
 STAR_KEYS = {
     "dim_user": "user_id",
     "dim_address": "address_id",
@@ -48,17 +63,53 @@ STAR_KEYS = {
 }
 
 
+# Natural key of each dimension whose ids are given out per star.
+NATURAL_KEYS = {
+    "dim_address": "province",
+    "dim_occupation": "occupation_name",
+    "dim_age_group": "description",
+}
+
+
+def rekeyed(target: dict[str, DataFrame], staging: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The staging star with the target's ids for known members, and new ids for the others.
+
+    Ids of two stars built apart stand for different members; replaced by id alone, facts
+    of the target would change their meaning.
+    """
+    result = dict(staging)
+    fact = staging["fct_user"]
+    for name, natural in NATURAL_KEYS.items():
+        key, dimension = STAR_KEYS[name], staging[name]
+        known = target[name].select(key, natural)
+        ids = staged(extend_keys(known, dimension.select(natural), natural, key), "ids")
+        result[name] = staged(lookup_join(dimension.drop(key), ids, natural).select(*dimension.columns), name)
+        new = dimension.select(key, natural).join(result[name].select(F.col(key).alias("_new"), natural), natural)
+        fact = lookup_join(fact, new.select(key, "_new"), key).withColumn(key, F.col("_new")).drop("_new")
+    result["fct_user"] = fact.select(*staging["fct_user"].columns)
+    return result
+
+
 def upsert_star(
     target: dict[str, DataFrame], staging: dict[str, DataFrame]
 ) -> dict[str, DataFrame]:
     """Upsert the five star tables, dimensions before the fact.
 
-    All checks come before the first result, so a faulty batch changes no table.
+    User ids are compared as the integers the target declares, and ids of the other
+    dimensions by the members they stand for. All checks come before the first result,
+    so a faulty batch changes no table.
     """
+    types = {name: dict(table.dtypes) for name, table in target.items()}
+    target, staging = int_keyed(target), int_keyed(staging)
+    staging = rekeyed(target, staging)
     for name, key in STAR_KEYS.items():
         if not pk_violations(staging[name], key).isEmpty():
             raise DuplicateKeyError(f"staging rows of {name} repeat or lack {key}")
-    return {
+    merged = {
         name: upsert(target[name], staging[name], key, check=False)
         for name, key in STAR_KEYS.items()
     }
+    return {
+        name: table.select(*[F.col(c).cast(types[name][c]).alias(c) for c in table.columns])
+        for name, table in merged.items()
+    }

@@ -11,7 +11,7 @@ from segmart import fixed_values as fv
 from segmart.functions import documents as docs
 from segmart.functions import lookups, text
 from segmart.operators import dedupe, insight, integrity, keys, rules, star
-from segmart.operators.upsert import upsert
+from segmart.operators.upsert import upsert, upsert_star
 from segmart.plans import fixture, jobs
 from segmart.plans.fixture import landing, table, users_raw
 from segmart.session import scratch_path, staged
@@ -285,6 +285,46 @@ def dim_address(spark, sf_dir):
     return star.dim_address(strict_users(spark, sf_dir))
 
 
+def dim_address_wide(spark, sf_dir):
+    """Addresses from a column of many values, with their regions."""
+    users = table(spark, sf_dir, "part").select(F.col("p_name").alias("address"))
+    return star.dim_address(users)
+
+
+def region_map(spark, sf_dir):
+    """A map of the parts' names to their brands, written to a JSON file and read back."""
+    pairs = table(spark, sf_dir, "part").groupBy("p_name").agg(F.min("p_brand").alias("value"))
+    entries = F.map_from_entries(F.collect_list(F.struct("p_name", "value")))
+    path = scratch_path(spark, "regions")
+    pairs.agg(F.to_json(entries).alias("value")).write.text(path)
+    return lists.read_lookup(spark, path)
+
+
+def province_region_table(spark, sf_dir):
+    """Regions from a map that is read from a file."""
+    users = table(spark, sf_dir, "part").select(F.concat("p_name", F.when(F.col("p_partkey") % 3 == 0, "?").otherwise("")).alias("address"))
+    return star.dim_address(users, regions=region_map(spark, sf_dir))
+
+
+def star_from_tag(spark, sf_dir):
+    """Tagged rows written flat, read back by date and counted per segment."""
+    root = scratch_path(spark, "tagged")
+    tables.write_run_date(jobs.cleaned(landing(spark, sf_dir), "tag_flat"), root, FIRST_DATE)
+    users = tables.read_run_date(spark, root, FIRST_DATE)
+    return insight.segment_insight(users).drop("updated_at")
+
+
+def merge_star(spark, sf_dir):
+    """Stars of the users with even and with odd ids, built apart, merged and flattened."""
+    users = user_table(spark, sf_dir)
+    odd = F.col("_id").try_cast("bigint") % 2 == 1
+    halves = [
+        jobs.build_star(spark, users.where(half), scratch_path(spark, "half")) for half in (odd, ~odd)
+    ]
+    natural = ("province", "region", "occupation_name", "category", "description")
+    return star.flat_star(upsert_star(*halves)).select("user_id", "name", "email", "gender", *natural)
+
+
 def dim_occupation(spark, sf_dir):
     return star.dim_occupation(strict_users(spark, sf_dir))
 
@@ -295,27 +335,25 @@ def dim_age_group(spark, sf_dir):
 
 def fct_user(spark, sf_dir):
     users = user_table(spark, sf_dir)
-    rows = star.fact_rows(
-        users, star.dim_address(users), star.dim_occupation(users), star.dim_age_group(users)
-    )
-    return star.fct_user(rows)
+    dimensions = star.dim_address(users), star.dim_occupation(users), star.dim_age_group(users)
+    return star.fact_rows(users, *[staged(d, "dimension") for d in dimensions])
 
 
 def insight_age(spark, sf_dir):
     users = user_table(spark, sf_dir)
-    dimension = star.dim_age_group(users)
+    dimension = staged(star.dim_age_group(users), "dimension")
     return insight.insight_age(star.fact_rows(users, age_group=dimension), dimension)
 
 
 def insight_region(spark, sf_dir):
     users = user_table(spark, sf_dir)
-    dimension = star.dim_address(users)
+    dimension = staged(star.dim_address(users), "dimension")
     return insight.insight_region(star.fact_rows(users, address=dimension), dimension)
 
 
 def insight_occupation(spark, sf_dir):
     users = user_table(spark, sf_dir)
-    dimension = star.dim_occupation(users)
+    dimension = staged(star.dim_occupation(users), "dimension")
     return insight.insight_occupation(star.fact_rows(users, occupation=dimension), dimension)
 
 
@@ -376,8 +414,8 @@ def upsert_fact(spark, sf_dir):
     strict = user_table(spark, sf_dir)
     sentinel = staged(dedupe_email_sentinel(spark, sf_dir), "users")
     group = staged(star.dim_age_group(strict.unionByName(sentinel)), "age-groups")
-    target = star.fct_user(star.fact_rows(strict, age_group=group))
-    return upsert(target, star.fct_user(star.fact_rows(sentinel, age_group=group)), "user_id")
+    target = star.fact_rows(strict, age_group=group)
+    return upsert(target, star.fact_rows(sentinel, age_group=group), "user_id")
 
 
 def pk_violations(spark, sf_dir):
@@ -412,10 +450,10 @@ QUERIES = {
         valid_province_join,
         dedupe_email, dedupe_email_sentinel, insert_ignore, surrogate_keys,
         surrogate_keys_incremental,
-        dim_user, dim_address, dim_occupation, dim_age_group, fct_user,
+        dim_user, dim_address, dim_address_wide, province_region_table, dim_occupation, dim_age_group, fct_user,
         insight_age, insight_region, insight_occupation, insight_gender, segment_insight,
         segment_insight_star,
-        partition_scan, partition_overwrite, star_roundtrip,
+        star_from_tag, partition_scan, partition_overwrite, star_roundtrip, merge_star,
         upsert_dim, upsert_fact, pk_violations, unique_violations, fk_orphans,
         length_violations,
     )

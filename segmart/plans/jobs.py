@@ -14,6 +14,7 @@ from segmart.operators import star
 from segmart.operators.dedupe import accepted_rows, dedupe_email
 from segmart.operators.insight import segment_insight_from_star
 from segmart.operators.integrity import star_report, with_int_keys
+from segmart.operators.joins import lookup_join
 from segmart.operators.rules import PROFILES, Provinces
 from segmart.operators.upsert import upsert_star
 from segmart.session import staged
@@ -25,15 +26,23 @@ DEDUPED_PROFILES = ("strict", "sentinel")
 
 
 def load_job(
-    spark: SparkSession, users_csv: str, landing_path: str, append: bool = False
+    spark: SparkSession,
+    users_csv: str,
+    landing_path: str,
+    append: bool = False,
+    multi_line: bool = True,
 ) -> None:
     """User CSV files to landing files of JSON documents, each user id at most once.
 
-    With `append`, ids that the landing files already hold are left out.
+    A row without an id gets a unique one, as a document store would give it. With
+    `append`, ids that the landing files already hold are left out. Files without line
+    breaks inside values are split over tasks with `multi_line=False`.
     """
-    users = read_users_csv(spark, users_csv).withColumn("id", null_if_blank(F.col("id")))
+    users = read_users_csv(spark, users_csv, multi_line)
+    users = users.withColumn("id", F.coalesce(null_if_blank(F.col("id")), F.expr("uuid()")))
     if append:
-        held = parse_documents(read_landing(spark, landing_path), fv.LANDING_COLUMN, ["_id"])
+        landing = read_landing(spark, landing_path, multi_line=multi_line)
+        held = parse_documents(landing, fv.LANDING_COLUMN, ["_id"])
         held = held.withColumnRenamed("_id", "id").where("id IS NOT NULL")
     else:
         held = spark.createDataFrame([], "id string")
@@ -62,17 +71,26 @@ def clean_job(
     """Landing files to the cleaned table's partition of the run date."""
     landing = read_landing(spark, landing_path, multi_line=multi_line)
     records = cleaned(landing, profile, provinces)
-    tables.write_by_date(tables.with_load_date(records, run_date), clean_root, overwrite)
+    if overwrite == "dynamic":
+        tables.write_run_date(records, clean_root, run_date or date.today())
+    else:
+        tables.write_by_date(tables.with_load_date(records, run_date), clean_root, overwrite)
 
 
 def build_star(
-    spark: SparkSession, users: DataFrame, star_root: str, known_root: str | None = None
+    spark: SparkSession,
+    users: DataFrame,
+    star_root: str,
+    known_root: str | None = None,
+    regions: DataFrame | None = None,
+    categories: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Write the five star tables and read them back.
 
     `users` should be a table, since several jobs scan it. Dimensions are written
     before the fact, so the fact joins files whose size is cheap to measure. With
-    `known_root`, the star of an earlier run, its members keep their ids.
+    `known_root`, the star of an earlier run, its members keep their ids. `regions` and
+    `categories` are (key, value) tables in place of the built-in maps.
     """
     if known_root is not None and known_root.rstrip("/") == star_root.rstrip("/"):
         raise ValueError("the known star is still being read: give another output root")
@@ -81,16 +99,16 @@ def build_star(
         known = tables.read_tables(spark, known_root, ("dim_address", "dim_occupation", "dim_age_group"))
     dimensions = {
         "dim_user": star.dim_user(users),
-        "dim_address": star.dim_address(users, known=known.get("dim_address")),
-        "dim_occupation": star.dim_occupation(users, known=known.get("dim_occupation")),
-        "dim_age_group": star.dim_age_group(users, known=known.get("dim_age_group")),
+        "dim_address": star.dim_address(users, known.get("dim_address"), regions),
+        "dim_occupation": star.dim_occupation(users, known.get("dim_occupation"), categories),
+        "dim_age_group": star.dim_age_group(users, known.get("dim_age_group")),
     }
     tables.write_tables(dimensions, star_root)
     built = tables.read_tables(spark, star_root, tuple(dimensions))
     rows = star.fact_rows(
         users, built["dim_address"], built["dim_occupation"], built["dim_age_group"]
     )
-    tables.write_tables({"fct_user": star.fct_user(rows)}, star_root)
+    tables.write_tables({"fct_user": rows}, star_root)
     return tables.read_tables(spark, star_root)
 
 
@@ -100,10 +118,26 @@ def star_job(
     star_root: str,
     run_date: date | None = None,
     known_root: str | None = None,
+    regions: DataFrame | None = None,
+    categories: DataFrame | None = None,
+    repeated: str = "stop",
 ) -> dict[str, DataFrame]:
-    """One date of the cleaned table to the star tables and the segment insight."""
+    """One date of the cleaned table to the star tables and the segment insight.
+
+    Ids with several (name, e-mail) pairs break the target's primary key. With
+    `repeated="stop"` they end the job before anything is written; with "aside" all
+    their rows go to the folder `users_aside` and the star is built from the others.
+    """
     users = tables.read_run_date(spark, clean_root, run_date)
-    built = build_star(spark, users, star_root, known_root)
+    several = staged(star.repeated_ids(users), "repeated")
+    if not several.isEmpty():
+        if repeated != "aside":
+            found = [row["_id"] for row in several.take(5)]
+            raise ValueError(f"ids with several names or e-mails, such as {found}")
+        aside = lookup_join(users, several, "_id", "left_semi")
+        tables.write_tables({"users_aside": aside.select(*users.columns)}, star_root)
+        users = staged(lookup_join(users, several, "_id", "left_anti").select(*users.columns), "users")
+    built = build_star(spark, users, star_root, known_root, regions, categories)
     insight = segment_insight_from_star(built)
     tables.write_tables({tables.INSIGHT_TABLE: insight}, star_root)
     return tables.read_tables(spark, star_root, (*tables.STAR_TABLES, tables.INSIGHT_TABLE))
@@ -146,6 +180,9 @@ def merge_job(spark: SparkSession, target_root: str, staging_root: str, out_root
         tables.read_tables(spark, target_root), tables.read_tables(spark, staging_root)
     )
     tables.write_tables(merged, out_root)
+    failed = failed_constraints(spark, out_root).collect()  # one row per constraint at most
+    if failed:
+        raise ValueError(f"the merged star breaks constraints: {[row.asDict() for row in failed]}")
 
 
 def staged_star(spark: SparkSession, users: DataFrame, star_root: str) -> dict[str, DataFrame]:

@@ -404,6 +404,29 @@ fresh AS (
         name: with_(INSIGHTS, f"SELECT * FROM {name}")
         for name in ("insight_age", "insight_region", "insight_occupation", "insight_gender")
     },
+    "dim_address_wide": f"""
+SELECT cast(row_number() OVER (ORDER BY p_name) AS integer) AS address_id, p_name AS province,
+  {case_of('p_name', fv.PROVINCE_REGION, fv.OTHER)} AS region
+FROM (SELECT DISTINCT p_name FROM part WHERE p_name IS NOT NULL)""",
+    "province_region_table": f"""
+WITH addresses AS (
+  SELECT DISTINCT p_name || CASE WHEN p_partkey % 3 = 0 THEN '?' ELSE '' END AS province FROM part
+),
+regions AS (SELECT p_name AS province, min(p_brand) AS region FROM part GROUP BY p_name)
+SELECT cast(row_number() OVER (ORDER BY province) AS integer) AS address_id, province,
+  coalesce(region, {quoted(fv.OTHER)}) AS region
+FROM addresses LEFT JOIN regions USING (province) WHERE province IS NOT NULL""",
+    "star_from_tag": with_(
+        f"""{TAGGED},
+tag_segments AS (
+  SELECT 'age' AS segment_type, {AGE_GROUP.format('good_age')} AS description FROM tagged
+  UNION ALL SELECT 'region', {case_of('address', fv.PROVINCE_REGION, fv.OTHER)} FROM tagged
+  UNION ALL SELECT 'occupation_group', {case_of('occupation', fv.OCCUPATION_CATEGORY, fv.OTHER)} FROM tagged
+  UNION ALL SELECT 'gender', gender FROM tagged
+)""",
+        "SELECT row_number() OVER (ORDER BY segment_type, description NULLS FIRST) AS id, segment_type, "
+        "description, count(*) AS user_count FROM tag_segments GROUP BY segment_type, description",
+    ),
     "segment_insight": with_(
         INSIGHTS,
         "SELECT row_number() OVER (ORDER BY segment_type, description NULLS FIRST) AS id, * FROM segments",
@@ -425,6 +448,14 @@ fresh AS (
         "LEFT JOIN dim_occupation USING (occupation_id) LEFT JOIN dim_age_group USING (age_group_id) "
         "JOIN dim_user USING (user_id)",
     ),
+    "merge_star": with_(
+        STAR,
+        "SELECT user_id, name, email, gender, province, region, "
+        "occupation_name, category, description "
+        "FROM fct_user LEFT JOIN dim_address USING (address_id) "
+        "LEFT JOIN dim_occupation USING (occupation_id) LEFT JOIN dim_age_group USING (age_group_id) "
+        "JOIN dim_user USING (user_id)",
+    ),
     # upsert and integrity
     "upsert_dim": with_(
         f"""{STAR},

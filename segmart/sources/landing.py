@@ -53,8 +53,9 @@ def write_landing(
 
 
 def read_users_csv(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
-    """User CSV rows with the nine raw columns in their usual order."""
-    return read_csv(spark, path, multi_line).select(*fv.RAW_USER_FIELDS)
+    """User CSV rows: the nine raw columns in their usual order, then all further ones."""
+    rows = read_csv(spark, path, multi_line)
+    return rows.select(*fv.RAW_USER_FIELDS, *[c for c in rows.columns if c not in fv.RAW_USER_FIELDS])
 
 
 def write_users_csv(

@@ -35,6 +35,11 @@ def write_by_date(
     writer.partitionBy(DATE_COLUMN).parquet(root)
 
 
+def write_run_date(df: DataFrame, root: str, run_date: date) -> None:
+    """Replace one date's partition by `df`, also where `df` is empty; other dates stay."""
+    df.write.mode("overwrite").parquet(f"{root}/{DATE_COLUMN}={run_date.isoformat()}")
+
+
 def read_run_date(
     spark: SparkSession,
     root: str,
@@ -44,9 +49,15 @@ def read_run_date(
 ) -> DataFrame:
     """Rows of one date partition; a date that was never written is an error.
 
+    So are files that lack a column of the schema: the reader would fill it with nulls.
     Only the directory of that date is listed, whatever the number of dates.
     """
     run_date = run_date or date.today()
+    held = set(spark.read.parquet(f"{root}/{DATE_COLUMN}={run_date.isoformat()}").columns)
+    wanted = spark.createDataFrame([], schema).columns
+    missing = [name for name in wanted if name not in held]
+    if missing:
+        raise ValueError(f"the files of {root} for {run_date} lack {missing}: they hold {sorted(held)}")
     reader = spark.read.option("basePath", root).schema(f"{schema}, {DATE_COLUMN} date")
     rows = reader.parquet(f"{root}/{DATE_COLUMN}={run_date.isoformat()}")
     return rows if keep_date else rows.drop(DATE_COLUMN)

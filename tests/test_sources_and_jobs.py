@@ -284,6 +284,28 @@ def test_load_appends_new_ids_only(spark, job_run, tmp_path, sf_dir):
     assert held.count() == 151 and held.where("_id = 'new'").count() == 1
 
 
+def test_foreign_tables_stale_dates_and_further_columns(spark, job_run, tmp_path, sf_dir):
+    root, star_root = str(tmp_path / "clean"), str(tmp_path / "star")
+    jobs.clean_job(spark, job_run["landing"], root, "tag", DAY_1)
+    with pytest.raises(ValueError, match="lack"):
+        jobs.star_job(spark, root, star_root, DAY_1)
+    jobs.clean_job(spark, job_run["landing"], root, "tag_flat", DAY_1)
+    assert tables.read_run_date(spark, root, DAY_1).count() == 150
+    with pytest.raises(ValueError, match="several"):
+        jobs.star_job(spark, root, star_root, DAY_1)  # rows without id share a marker
+    csv, landing = str(tmp_path / "csv"), str(tmp_path / "landing")
+    extra = fixture.users_raw(spark, sf_dir).where("id < '3'").withColumn("extra", F.lit("kept"))
+    extra = extra.withColumn("id", F.when(F.col("id") == "1", "").otherwise(F.col("id")))
+    extra.write.options(**landing_files.QUOTING).csv(csv)
+    jobs.load_job(spark, csv, landing, multi_line=False)
+    held = docs.parse_documents(landing_files.read_landing(spark, landing), fv.LANDING_COLUMN, ["_id", "extra"])
+    assert held.where("extra = 'kept' AND _id IS NOT NULL").count() == extra.count()
+    none = str(tmp_path / "none")
+    landing_files.write_landing(spark.createDataFrame([("broken",)], "document string"), none)
+    jobs.clean_job(spark, none, root, "strict", DAY_1)
+    assert tables.read_run_date(spark, root, DAY_1).isEmpty()
+
+
 @pytest.mark.parametrize("profile, n_rows", [("sentinel", 68), ("tag", 150)])
 def test_other_profiles(spark, job_run, tmp_path, profile, n_rows):
     root = str(tmp_path / "clean")
