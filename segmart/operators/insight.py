@@ -89,7 +89,14 @@ def segment_insight(
     regions: DataFrame | None = None,
     categories: DataFrame | None = None,
 ) -> DataFrame:
-    """The four insights straight from cleaned users, in one pass.
+    """The four insights straight from cleaned users, with ids and the update time."""
+    return with_ids(segment_counts(users, regions, categories), updated_at)
+
+
+def segment_counts(
+    users: DataFrame, regions: DataFrame | None = None, categories: DataFrame | None = None
+) -> DataFrame:
+    """Users per segment straight from cleaned users, in one pass.
 
     The keys of the star lead from a value to a member and back, so the attributes
     are computed from the values and no dimension is joined. Users are first counted
@@ -112,9 +119,8 @@ def segment_insight(
         ),
         F.struct(F.lit(GENDER).alias("segment_type"), F.col(GENDER).alias("description")),
     ]
-    counts = (
+    return (
         named.select(F.inline(F.array(*pairs)), "n")
         .groupBy("segment_type", "description")
         .agg(F.sum("n").alias("user_count"))
     )
-    return with_ids(counts, updated_at)

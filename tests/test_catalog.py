@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from segmart.operators import insight
 from segmart.plans import catalog, oracle
 
 TABLES = (
@@ -71,7 +72,7 @@ def test_dedupe_shuffles_once_and_combines_first(spark, sf_dir):
 
 
 def test_insight_scans_once(spark, sf_dir):
-    plan = final_plan(catalog.segment_insight(spark, sf_dir))
+    plan = final_plan(insight.segment_counts(catalog.user_table(spark, sf_dir)))
     assert plan.count("FileScan") == 1 and "Join" not in plan
     scanned = re.search(r"ReadSchema: struct<(.*?)>", plan).group(1)
     assert "phone" not in scanned and "email" not in scanned
