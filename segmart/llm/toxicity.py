@@ -7,8 +7,8 @@ cut into overlapping windows over its whole length; a window's distance is the b
 the toxic dictionary saves. A logistic model over the largest distances and the share of
 windows beyond the calibrated threshold gives the probability.
 
-Dictionaries come from one half of the learning sample, threshold and weights from the
-other. Defined results: null and empty texts have distance 0 everywhere and score low.
+Dictionaries come from two thirds of the learning sample, threshold and weights from the
+rest. Defined results: null and empty texts have distance 0 everywhere and score low.
 Repeated rows get a row each. Without labelled rows every score is 0.5.
 """
 
@@ -36,17 +36,22 @@ WINDOW_LOG = 17  # so that all of a dictionary is within reach
 DICTIONARY_BYTES = 64 << 10
 MIN_MATCH = 5
 MIN_SHARE = 0.02
+MIN_DOCS = 4
 RATIO = 20.0
+PART_RATIO = 4.0
+PART_BYTES = 9
 PUNCTUATION = b".,;:!?'\"()[]|"
 TOP = 3
 CUT = 0.7  # the score that the best cut of the calibration half is moved to
 
 
 def document_counts(texts: list[bytes]) -> Counter[bytes]:
-    """In how many texts each word occurs, in lower case and without punctuation around it."""
+    """In how many texts each word and each beginning of a word occurs, in lower case."""
     counts: Counter[bytes] = Counter()
     for text in texts:
-        counts.update({word.strip(PUNCTUATION) for word in text.lower().split()})
+        words = {word.strip(PUNCTUATION) for word in text.lower().split()}
+        starts = {b" " + word[: MIN_MATCH - 1] for word in words} | {word[:6] for word in words}
+        counts.update(words | starts)
     return counts
 
 
@@ -61,9 +66,9 @@ def unlike(texts: list[bytes]) -> list[bytes]:
 
 
 def telling_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """Words many times more frequent in toxic documents, the most frequent last."""
+    """Words, and beginnings of words, many times more frequent in toxic documents, the most frequent last."""
     found, others = document_counts(toxic), document_counts(ordinary)
-    least = max(3, MIN_SHARE * len(toxic))
+    least = max(MIN_DOCS, MIN_SHARE * len(toxic))
 
     def rate(word: bytes) -> float:
         return found[word] * max(1, len(ordinary)) / ((others[word] + 0.5) * max(1, len(toxic)))
@@ -72,30 +77,31 @@ def telling_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
     return sorted(telling, key=lambda w: (found[w], w))
 
 
-def telling_parts(words: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """The parts of telling words that ordinary text hardly has, each once, in the same order.
+def telling_parts(words: list[bytes], toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
+    """The parts of telling words that ordinary text has less, each once, in the same order.
 
-    A word is cut back to the places where its byte n-grams are rare in ordinary documents;
-    a common ending, say, would save bytes in any text.
+    A word loses the ends whose byte n-grams are as frequent in ordinary documents; a
+    common ending would save bytes in any text.
     """
-    seen: Counter[bytes] = Counter()
-    wanted = {w[i : i + MIN_MATCH] for w in words for i in range(len(w) - MIN_MATCH + 1)}
-    for text in ordinary:
-        low = text.lower()
-        seen.update({low[i : i + MIN_MATCH] for i in range(len(low) - MIN_MATCH + 1)} & wanted)
-    most = len(ordinary) * MIN_SHARE / RATIO
+    spaced = [b" " + word.lstrip() for word in words]
+    wanted = {w[i : i + MIN_MATCH] for w in spaced for i in range(len(w) - MIN_MATCH + 1)}
+    seen: list[Counter[bytes]] = []
+    for texts in (toxic, ordinary):
+        seen.append(Counter())
+        for text in texts:
+            low = text.lower()
+            seen[-1].update({low[i : i + MIN_MATCH] for i in range(len(low) - MIN_MATCH + 1)} & wanted)
+
+    def telling(gram: bytes) -> bool:
+        rate = seen[0][gram] * max(1, len(ordinary)) / ((seen[1][gram] + 0.5) * max(1, len(toxic)))
+        return rate >= PART_RATIO
+
     parts: dict[bytes, None] = {}
-    for word in words:
-        padded = b" " + word if len(word) < MIN_MATCH else word
-        rare = [seen[padded[i : i + MIN_MATCH]] <= most for i in range(len(padded) - MIN_MATCH + 1)]
-        i = 0
-        while i < len(rare):
-            j = i
-            while j < len(rare) and rare[j]:
-                j += 1
-            if j > i:
-                parts[padded[i : j + MIN_MATCH - 1]] = None
-            i = j + 1
+    for padded in spaced:
+        places = range(len(padded) - MIN_MATCH + 1)
+        told = [i for i in places if telling(padded[i : i + MIN_MATCH])]
+        if told:
+            parts[padded[told[0] : max(told[-1] + MIN_MATCH, told[0] + PART_BYTES)]] = None
     return list(parts)
 
 
@@ -158,14 +164,15 @@ def features_of(saved: np.ndarray, threshold: int) -> np.ndarray:
 
 
 def fit(sample: list[tuple[bytes, int]]) -> ToxicityModel:
-    """Dictionaries from every other text of the sample, calibration on the rest."""
-    dictionary, calibration = sample[::2], sample[1::2]
+    """Dictionaries from two thirds of the sample, calibration on the rest."""
+    calibration = sample[::3]
+    dictionary = [pair for i, pair in enumerate(sample) if i % 3]
     toxic = unlike([text for text, label in dictionary if label])
     ordinary = unlike([text for text, label in dictionary if not label])
     pieces = [t.lower()[i : i + 256] for t in ordinary for i in range(0, len(t), 256)]
     base = trained(pieces, DICTIONARY_BYTES)
     # In front of the shared content: offsets into that are then the same for both.
-    parts = telling_parts(telling_words(toxic, ordinary), ordinary)
+    parts = telling_parts(telling_words(toxic, ordinary), toxic, ordinary)
     text = b" ".join([b"", *parts, b""])[-DICTIONARY_BYTES:]
     model = ToxicityModel(base, text + base, 1, fit_logistic(np.zeros((0, TOP + 2)), np.zeros(0)))
     compressors = model.compressors()
