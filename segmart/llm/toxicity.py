@@ -188,7 +188,7 @@ def fit(sample: list[tuple[bytes, int]]) -> ToxicityModel:
 def _best_cut(logits: np.ndarray, labels: np.ndarray) -> float:
     """Where to cut the logits: most hits, with a false alarm rate counting double."""
     if len(set(labels.tolist())) < 2:
-        return 0.0
+        return float(np.log(CUT / (1 - CUT)))  # nothing to cut: scores stay as they are
     values = np.unique(logits)
     cuts = np.concatenate([values[:1] - 1, (values[1:] + values[:-1]) / 2])
     hits = 1 - np.searchsorted(np.sort(logits[labels == 1]), cuts) / (labels == 1).sum()
