@@ -291,8 +291,14 @@ def test_foreign_tables_stale_dates_and_further_columns(spark, job_run, tmp_path
         jobs.star_job(spark, root, star_root, DAY_1)
     jobs.clean_job(spark, job_run["landing"], root, "tag_flat", DAY_1)
     assert tables.read_run_date(spark, root, DAY_1).count() == 150
+    row = ("An", "e", "p", "Male", 20, "An Giang", "Job")
+    users = spark.createDataFrame([("1", *row), ("2", *row), ("2", "Bo", *row[1:])], fv.CLEAN_SCHEMA)
+    tables.write_run_date(users, root, DAY_1)
     with pytest.raises(ValueError, match="several"):
-        jobs.star_job(spark, root, star_root, DAY_1)  # rows without id share a marker
+        jobs.star_job(spark, root, star_root, DAY_1)
+    built = jobs.star_job(spark, root, star_root, DAY_1, repeated="aside")
+    assert [r.user_id for r in built["fct_user"].collect()] == ["1"]
+    assert spark.read.parquet(f"{star_root}/users_aside").count() == 2
     csv, landing = str(tmp_path / "csv"), str(tmp_path / "landing")
     extra = fixture.users_raw(spark, sf_dir).where("id < '3'").withColumn("extra", F.lit("kept"))
     extra = extra.withColumn("id", F.when(F.col("id") == "1", "").otherwise(F.col("id")))
