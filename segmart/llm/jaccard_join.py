@@ -45,7 +45,7 @@ from segmart.session import staged
 
 BAND_WIDTH = 2  # in steps of the largest size ratio that a link allows
 ROOM = 2  # weight of uninformative segments that the allocation makes up for
-SEGMENT_SIZE = 4  # shingles that a segment should have
+SEGMENT_SIZE = 3  # shingles that a segment should have
 SKETCH = ("s0", "s1", "s2", "s3")
 
 # Odd multipliers for hashing.
@@ -305,8 +305,13 @@ def jaccard_components(
         place = members.join(small_or_shuffled(labels), "node", "left").select(
             "entry", "node", F.coalesce("label", "node").alias("label")
         )
-        entry = place.groupBy("entry").agg(F.min("label").alias("a"), F.max("label").alias("b"))
-        still_open = staged(entry.where("a < b").select("entry"), "open")
+        entry = place.groupBy("entry").agg(
+            F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("n"),
+            F.bit_xor(F.xxhash64("node")).alias("f"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("g"),
+        )
+        # Of entries with the very same nodes one is enough.
+        alike = entry.where("a < b").groupBy("n", "f", "g").agg(F.min("entry").alias("entry"))
+        still_open = staged(alike.select("entry"), "open")
         return staged(place.join(small_or_shuffled(still_open), "entry", "left_semi"), "placed")
 
     rest = placed()
