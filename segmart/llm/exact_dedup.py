@@ -5,7 +5,8 @@ document whose group holds nobody else is finished there. The full hash is compu
 a second read, for the documents of groups that are still shared after the prefix.
 
 Defined results: a null text counts as empty, and empty texts are equal to each other.
-Rows equal in id and text are one document: one result row, whose `copies` counts them.
+Rows equal in id and normalised text are one document: one result row, whose `copies`
+counts them and whose `key` tells it from others of the same id.
 A null id ranks after all others. An empty table gives an empty result.
 """
 
@@ -20,14 +21,18 @@ from segmart.session import staged
 PREFIX_CHARS = 256
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, the normalised text and a key of both."""
+    rows = id_and_text(docs, id_col, text_col)
+    rows = rows.select("doc_id", normalised(F.col("text")).alias("norm"))
+    return rows.select("doc_id", row_key(F.col("doc_id"), F.col("norm")).alias("key"), "norm")
+
+
 def exact_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = PREFIX_CHARS
 ) -> DataFrame:
-    """doc_id, keep_id, group_size, kept and copies per document."""
-    rows = id_and_text(docs, id_col, text_col).select(
-        "doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"),
-        normalised(F.col("text")).alias("norm"),
-    )
+    """doc_id, key, keep_id, group_size, kept and copies per document."""
+    rows = _keyed(docs, id_col, text_col)
     signature = staged(
         rows.select(
             "doc_id", "key", F.length("norm").alias("length"),
@@ -36,7 +41,7 @@ def exact_groups(
         "signatures",
     )
     # A document alone at its level is finished; min() over one row is that row.
-    alone = [F.min("doc_id").alias("doc_id"), F.count("*").alias("n")]
+    alone = [F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), F.count("*").alias("n")]
     lengths = staged(signature.groupBy("length").agg(*alone), "lengths")
     shared_lengths = lengths.where("n > 1").select("length")
     level_two = signature.join(small_or_shuffled(shared_lengths), "length", "left_semi")
@@ -50,31 +55,40 @@ def exact_groups(
     )
     members = (
         rows.join(small_or_shuffled(suspects), "key", "left_semi")
-        .select("doc_id", F.sha2("norm", 256).alias("digest"))
-        .groupBy("digest", "doc_id").agg(F.count("*").alias("copies"))
+        .select("doc_id", "key", F.sha2("norm", 256).alias("digest"))
+        .groupBy("digest", "doc_id").agg(F.min("key").alias("key"), F.count("*").alias("copies"))
     )
     members = staged(members, "members")
     groups = members.groupBy("digest").agg(
         F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size")
     )
     resolved = members.join(small_or_shuffled(groups), "digest").select(
-        "doc_id", "keep_id", "group_size",
+        "doc_id", "key", "keep_id", "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "copies",
     )
     one = F.lit(1).cast("bigint")
-    finished = lengths.where("n = 1").select("doc_id").unionAll(
-        prefixes.where("n = 1").select("doc_id")
+    finished = lengths.where("n = 1").select("doc_id", "key").unionAll(
+        prefixes.where("n = 1").select("doc_id", "key")
     ).select(
-        "doc_id", F.col("doc_id").alias("keep_id"), one.alias("group_size"),
+        "doc_id", "key", F.col("doc_id").alias("keep_id"), one.alias("group_size"),
         F.lit(True).alias("kept"), one.alias("copies"),
     )
     return finished.unionAll(resolved)
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and the SHA-256 of the normalised text, one row per document."""
-    rows = id_and_text(docs, id_col, text_col)
-    return rows.select("doc_id", F.sha2(normalised(F.col("text")), 256).alias("text_sha256"))
+    """doc_id, key and the SHA-256 of the normalised text, one row per row of `docs`."""
+    rows = _keyed(docs, id_col, text_col)
+    return rows.select("doc_id", "key", F.sha2("norm", 256).alias("text_sha256"))
+
+
+def groups_with_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, keep_id, group_size, kept and text_sha256, one row per row of `docs`."""
+    groups = exact_groups(docs, id_col, text_col).alias("g")
+    hashed = digests(docs, id_col, text_col).alias("d")
+    # Ids may be null or repeated; the key holds the text too.
+    same = (F.col("g.key") == F.col("d.key")) & F.col("g.doc_id").eqNullSafe(F.col("d.doc_id"))
+    return groups.join(hashed, same).select("g.doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

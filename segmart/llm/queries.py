@@ -58,11 +58,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    groups = exact_dedup.exact_groups(docs)
-    return groups.join(exact_dedup.digests(docs), "doc_id").select(
-        "doc_id", "keep_id", "group_size", "kept", "text_sha256"
-    )
+    return exact_dedup.groups_with_digests(documents(spark, sf_dir))
 
 
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
