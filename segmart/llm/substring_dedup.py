@@ -6,7 +6,15 @@ normalised (lower case, single spaces) and hashed to 128 bits, and the digests a
 grouped over all documents. Of equal units the earliest stays, ranked by document and
 place. A run of consecutive units that are all later occurrences and together have
 `min_words` words is a repeated passage and is removed; shorter runs are common phrases
-and stay. Passages that start or end inside a sentence lose all but their torn units.
+and stay. Passages below `PASSAGE_WORDS` words that start or end inside a unit lose all
+but their torn units.
+
+Longer passages are found wherever they start and end, also without any sentence: of equal
+windows of `PASSAGE_WORDS` words the earliest stays, and all words of the later ones are
+removed. Each window has the least hash of its runs of `ANCHOR_WORDS` words as anchor;
+equal windows have equal anchors, so only windows whose anchor occurs at several places
+are hashed and grouped. Within a document a window is later if it does not overlap the first.
+Spans of both kinds that overlap are one.
 
 Offsets are characters of the original text, so removals can be traced and undone.
 
@@ -19,6 +27,7 @@ A unit that repeats within its own document counts as a later occurrence too.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,12 +38,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segmart.llm.common import (
-    id_and_text, map_batches, row_key, small_or_shuffled, staged_batches, texts_of,
+    WordHashes, id_and_text, map_batches, row_key, small_or_shuffled, staged_batches, texts_of,
 )
 from segmart.session import staged
 
 MIN_WORDS = 15
 UNIT_WORDS = 6
+PASSAGE_WORDS = 50
+ANCHOR_WORDS = 16
+FLUSH_ROWS = 200_000
+WORD = re.compile(r"\S+")
 SENTENCE = re.compile(r"\S(?:[^\n.!?]|[.!?](?=[^\s.!?]))*[.!?]*")
 
 
@@ -54,13 +67,11 @@ def units_of(text: str) -> Iterator[tuple[int, int, list[str]]]:
         yield start, stop, tokens
 
 
-def _units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per unit: document, number, bounds, word count and digest."""
-    rows = id_and_text(docs, id_col, text_col)
-    rows = rows.withColumn("key", row_key(F.col("doc_id"), F.col("text")))
+def _units(rows: DataFrame) -> DataFrame:
+    """One row per unit: document, number, bounds, first and last word, word count and digest."""
     schema = T.StructType([
         rows.schema["doc_id"], T.StructField("key", T.LongType()),
-        *[T.StructField(name, T.IntegerType()) for name in ("unit", "start", "stop", "n_words")],
+        *[T.StructField(name, T.IntegerType()) for name in ("unit", "start", "stop", "first", "last", "n_words")],
         T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType()),
     ])
 
@@ -68,16 +79,18 @@ def _units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             owner, numbers, digests = [], [], []
             for row, text in enumerate(texts_of(batch, "text")):
+                starts = [match.start() for match in WORD.finditer(text)]
                 for unit, (start, stop, tokens) in enumerate(units_of(text)):
                     owner.append(row)
-                    numbers += (unit, start, stop, len(tokens))
+                    first, last = bisect_right(starts, start) - 1, bisect_left(starts, stop) - 1
+                    numbers += (unit, start, stop, first, last, len(tokens))
                     digests.append(xxhash.xxh3_128_digest(" ".join(tokens)))
             taken = pa.array(owner, pa.int64())
-            table = np.array(numbers, np.int32).reshape(-1, 4)
+            table = np.array(numbers, np.int32).reshape(-1, 6)
             halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(taken), batch.column(1).take(taken),
-                 *[pa.array(np.ascontiguousarray(table[:, j])) for j in range(4)],
+                 *[pa.array(np.ascontiguousarray(table[:, j])) for j in range(6)],
                  *[pa.array(np.ascontiguousarray(halves[:, j])) for j in range(2)]],
                 names=schema.names,
             )
@@ -85,13 +98,168 @@ def _units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return staged_batches(map_batches(rows.select("doc_id", "key", "text"), cut, schema), "units")
 
 
+_hashes = WordHashes()
+_ODD = np.uint64(0xD6E8FEB86659FD93)
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_powers: dict[int, np.ndarray] = {}
+
+
+def _powers_of(base: int, n: int) -> np.ndarray:
+    """Powers 0 to n-1 at least, modulo 2**64."""
+    if len(_powers.get(base, ())) < n:
+        factors = np.full(max(4096, 2 * n), base, np.uint64)
+        factors[0] = 1
+        _powers[base] = np.cumprod(factors, dtype=np.uint64)
+    return _powers[base]
+
+
+def _run_hashes(words: np.ndarray, n: int, base: int) -> np.ndarray:
+    """The hash of every run of n words, from the words' own."""
+    size = len(words)
+    sums = np.zeros(size + 1, np.uint64)
+    np.cumsum(words * _powers_of(base, size)[:size], dtype=np.uint64, out=sums[1:])
+    back = _powers_of(pow(base, -1, 1 << 64), size)[: size - n + 1]
+    return (sums[n:] - sums[:-n]) * back
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(32))) * _ODD
+    return values ^ (values >> np.uint64(29))
+
+
+def _least(values: np.ndarray, n: int) -> np.ndarray:
+    """The least of every n consecutive values."""
+    span = 1
+    while 2 * span <= n:
+        values = np.minimum(values[:-span], values[span:])
+        span *= 2
+    rest = n - span
+    return np.minimum(values[:-rest], values[rest:]) if rest else values
+
+
+def anchors_of(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes, hashes of all runs of `ANCHOR_WORDS`, and the anchor of each window."""
+    words = text.lower().split()
+    hashes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    if len(hashes) < PASSAGE_WORDS:
+        return hashes, np.empty(0, np.uint64), np.empty(0, np.uint64)
+    runs = _mixed(_run_hashes(hashes, ANCHOR_WORDS, _BASES[0]))
+    return hashes, runs, _least(runs, PASSAGE_WORDS - ANCHOR_WORDS + 1)
+
+
+def _anchors(rows: DataFrame) -> DataFrame:
+    """key, anchor and the places it has in the document, one row per document and anchor."""
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner, found, places = [], [], []
+            for row, text in enumerate(texts_of(batch)):
+                _, runs, least = anchors_of(text)
+                own = np.unique(least)
+                runs = np.sort(runs)
+                places.append(np.searchsorted(runs, own, "right") - np.searchsorted(runs, own))
+                found.append(own)
+                owner.append(np.full(len(own), row))
+            found = np.concatenate([*found, np.empty(0, np.uint64)])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(np.concatenate([*owner, np.empty(0, np.int64)]))),
+                 pa.array(found.view(np.int64)),
+                 pa.array(np.concatenate([*places, np.empty(0, np.int64)]).astype(np.int32))],
+                names=["key", "anchor", "places"],
+            )
+
+    found = map_batches(rows.select("key", "text"), find, "key bigint, anchor bigint, places int")
+    return staged_batches(found, "anchors")
+
+
+def windows_of(text: str, anchors: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of the windows with one of these anchors: first word, bounds, if it is a later one here, digest."""
+    hashes, _, least = anchors_of(text)
+    place = np.flatnonzero(np.isin(least, anchors))
+    if not len(place):
+        none = np.empty(0, np.int64)
+        return none, none, none, none, none, none
+    d1 = _run_hashes(hashes, PASSAGE_WORDS, _BASES[0])[place]
+    d2 = _run_hashes(_mixed(hashes), PASSAGE_WORDS, _BASES[1])[place]
+    _, index, inverse = np.unique(d1, return_index=True, return_inverse=True)
+    again = place - place[index[inverse]] >= PASSAGE_WORDS
+    bounds = np.array([match.span() for match in WORD.finditer(text)], np.int64)
+    return (
+        place, bounds[place, 0], bounds[place + PASSAGE_WORDS - 1, 1], again,
+        d1.view(np.int64), d2.view(np.int64),
+    )
+
+
+def _windows(rows: DataFrame, distinct: bool) -> DataFrame:
+    """One row per window whose anchor has several places in the corpus."""
+    anchors = _anchors(rows)
+    if distinct:
+        anchors = anchors.dropDuplicates(["key", "anchor"])
+        rows = rows.dropDuplicates(["key"])
+    shared = anchors.groupBy("anchor").agg(F.sum("places").alias("n")).where("n > 1").select("anchor")
+    wanted = anchors.join(shared, "anchor").groupBy("key").agg(F.collect_list("anchor").alias("anchors"))
+    schema = T.StructType([
+        rows.schema["doc_id"], T.StructField("key", T.LongType()),
+        *[T.StructField(name, T.IntegerType()) for name in ("first", "start", "stop")],
+        T.StructField("again", T.BooleanType()),
+        T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType()),
+    ])
+    types = [pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64()]
+
+    def joined(batch: pa.RecordBatch, owner: list[int], parts: list[tuple]) -> pa.RecordBatch:
+        taken = pa.array(np.repeat(owner, [len(part[0]) for part in parts]).astype(np.int64))
+        columns = [np.concatenate(column) for column in zip(*parts, strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0).take(taken), batch.column(1).take(taken),
+             *[pa.array(c).cast(t) for c, t in zip(columns, types, strict=True)]],
+            names=schema.names,
+        )
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner, parts, n = [], [], 0
+            for row, text in enumerate(texts_of(batch)):
+                own = batch.column(3)[row].values.to_numpy().view(np.uint64)
+                part = windows_of(text, own)
+                if len(part[0]):
+                    owner.append(row)
+                    parts.append(part)
+                    n += len(part[0])
+                if n >= FLUSH_ROWS:
+                    yield joined(batch, owner, parts)
+                    owner, parts, n = [], [], 0
+            if parts:
+                yield joined(batch, owner, parts)
+
+    texts = rows.join(wanted, "key").select("doc_id", "key", "text", "anchors")
+    return staged_batches(map_batches(texts, cut, schema), "windows")
+
+
+def _passages(rows: DataFrame, distinct: bool) -> DataFrame:
+    """Runs of words in windows that an earlier place has: bounds, first and last word, keep_id."""
+    windows = _windows(rows, distinct)
+    digest = ["d1", "d2"]
+    counts = windows.groupBy(*digest).agg(F.count("*").alias("n"), F.min("doc_id").alias("keep_id"))
+    repeats = windows.join(counts.where("n > 1").drop("n"), digest)
+    later = repeats.where(~F.col("doc_id").eqNullSafe(F.col("keep_id")) | F.col("again"))
+    places = Window.partitionBy("doc_id", "key").orderBy("first")
+    gap = F.coalesce(F.col("first") - F.lag("first").over(places) > PASSAGE_WORDS, F.lit(True))
+    numbered = later.withColumn("gap", gap.cast("int")).withColumn("run", F.sum("gap").over(places))
+    return numbered.groupBy("doc_id", "key", "run").agg(
+        F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("first").alias("first"),
+        (F.max("first") + (PASSAGE_WORDS - 1)).alias("last"), F.min("keep_id").alias("keep_id"),
+    ).drop("run")
+
+
 def repeated_spans(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS
 ) -> DataFrame:
     """The spans to remove: doc_id, key, start, stop, n_words, and the document kept in its place."""
-    units = _units(docs, id_col, text_col)
-    rows = units.where("unit = 0").groupBy("key").agg(F.count("*").alias("n"))
-    if not rows.where("n > 1").isEmpty():
+    rows = id_and_text(docs, id_col, text_col)
+    rows = rows.withColumn("key", row_key(F.col("doc_id"), F.col("text")))
+    units = _units(rows)
+    per_document = units.where("unit = 0").groupBy("key").agg(F.count("*").alias("n"))
+    distinct = not per_document.where("n > 1").isEmpty()
+    if distinct:
         units = units.dropDuplicates(["key", "unit"])
     digest = ["d1", "d2"]
     # Both sides are shuffled by digest at every size; adaptive execution splits hot ones.
@@ -103,10 +271,23 @@ def repeated_spans(
     later = placed.where(~(F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("within") == 1)))
     numbered = later.withColumn("run", F.col("unit") - F.row_number().over(document.orderBy("unit")))
     runs = numbered.groupBy("doc_id", "key", "run").agg(
+        F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("first").alias("first"),
+        F.max("last").alias("last"), F.sum("n_words").alias("n_words"), F.min("keep_id").alias("keep_id"),
+    ).drop("run").withColumn("passage", F.lit(False))
+    passages = _passages(rows, distinct).withColumn("n_words", F.expr("cast(last - first + 1 as bigint)"))
+    spans = runs.unionByName(passages.withColumn("passage", F.lit(True))).where(F.col("n_words") >= min_words)
+    # Runs do not overlap each other, nor do passages.
+    before = document.orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
+    apart = F.coalesce(F.col("start") >= F.max("stop").over(before), F.lit(True)).cast("int")
+    merged = spans.withColumn("apart", apart).withColumn(
+        "span", F.sum("apart").over(document.orderBy("start", "stop"))
+    ).groupBy("doc_id", "key", "span").agg(
         F.min("start").alias("start"), F.max("stop").alias("stop"),
-        F.sum("n_words").alias("n_words"), F.min("keep_id").alias("keep_id"),
+        F.when(F.max("passage"), (F.max("last") - F.min("first") + 1).cast("bigint"))
+        .otherwise(F.sum("n_words")).alias("n_words"),
+        F.min("keep_id").alias("keep_id"),
     )
-    return runs.where(F.col("n_words") >= min_words).drop("run")
+    return merged.drop("span")
 
 
 def without_repeats(

@@ -140,6 +140,48 @@ def test_spans_equal_brute_force(docs):
     assert sorted((r.doc_id, r.start, r.stop, r.n_words) for r in found) == brute_spans(pairs, substring_dedup.MIN_WORDS)
 
 
+def brute_words(pairs, min_words=substring_dedup.MIN_WORDS, size=50):
+    """Numbers of the words in windows that an earlier place has, or in runs of repeated units."""
+    order = sorted(pairs, key=lambda p: (p[0] is None, p[0] or 0))
+    seen, gone = {}, set()
+    for doc_id, text in order:
+        words = text.lower().split()
+        for i in range(len(words) - size + 1):
+            owner, place = seen.setdefault(tuple(words[i : i + size]), (doc_id, i))
+            if owner != doc_id or i - place >= size:
+                gone |= {(doc_id, j) for j in range(i, i + size)}
+    return gone | covered_words(pairs, [(i, a, b) for i, a, b, _ in brute_spans(pairs, min_words)])
+
+
+def covered_words(pairs, spans):
+    places = {i: [m.span() for m in re.finditer(r"\S+", text)] for i, text in pairs}
+    return {(i, n) for i, a, b in spans for n, (x, y) in enumerate(places[i]) if x < b and y > a}
+
+
+def test_long_repeats_are_found_wherever_they_start_and_end(docs):
+    rng = random.Random(8)
+    lines = "\n".join(" ".join(f"item{i}x{j}" for j in range(4)) for i in range(20))
+    torn = " ".join(f"Torn{i}" for i in range(70))
+    sentences = f"{' '.join(f'end{i}' for i in range(30))}. {' '.join(f'go{i}' for i in range(30))}"
+    small = [f"v{i}" for i in range(4)]
+    loose = lambda i, n: " ".join(f"own{i}w{j}" for j in range(n))
+    pairs = []
+    for i, passage in enumerate([lines, torn, sentences] * 4):
+        inner = " ".join(passage.split(" ")[rng.randrange(3) :]) if i > 8 else passage
+        pairs.append((i, f"{loose(i, 9)} start of {i}: {inner.upper() if i == 5 else inner} {loose(100 + i, rng.choice([3, 80]))}"))
+    pairs.append((20, " ".join(rng.choice(small) for _ in range(400))))
+    pairs.append((21, "same again " * 100))
+    pairs.append((22, f"{loose(22, 7)} {loose(23, 60)} {loose(24, 5)} {loose(23, 60)} tail"))
+    pairs.append((23, " ".join(f"own23w{j}" for j in range(49))))  # one word below the size
+    pairs.append((24, " ".join(f"own23w{j}" for j in range(50))))
+    found = substring_dedup.repeated_spans(docs(*pairs)).collect()
+    spans = [(r.doc_id, r.start, r.stop) for r in found]
+    wanted = brute_words(pairs)
+    assert covered_words(pairs, spans) == wanted
+    assert sum(r.n_words for r in found) == len(wanted)
+    assert {i for i, _ in wanted} >= {3, 4, 5, 6, 7, 8, 21, 22, 24} and 23 not in {i for i, _ in wanted}
+
+
 def test_passages_are_cut_where_they_repeat(docs):
     first, second = f"Before é\U0001f642 x. {PASSAGE} After.", f"Other start without end {PASSAGE}\nTail"
     rows = docs((1, first), (2, second), (3, None), (4, ""), (5, "A short one."), (6, "A short one."))
