@@ -126,3 +126,17 @@ def test_base_scores_equal_counts_by_hand(docs, odd_docs, vocabulary, monkeypatc
     assert all(r.score < 0 and math.isfinite(r.score) for r in rows)
     assert len(rows) == len(set(texts))
     assert lm_scoring.lm_scores(docs(), vocabulary).collect() == []
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 3])
+def test_rounds_train_on_every_window_of_every_document(rounds):
+    random = np.random.default_rng(3)
+    texts = [random.integers(0, attention.CLASSES, n) for n in [1, 5, 16, 17, 40, *range(1, 60), 900]]
+    every = attention.windows_of(texts)
+    parts = [lm_scoring.windows_of_round(texts, i, rounds) for i in range(rounds)]
+    for name in ("inputs", "targets", "target_mask", "owner"):
+        wanted = sorted(np.asarray(row).tobytes() for row in getattr(every, name))
+        assert sorted(np.asarray(row).tobytes() for part in parts for row in getattr(part, name)) == wanted
+    if rounds > 1:  # a document's windows have the same round in any block
+        alone = lm_scoring.windows_of_round(texts[4:5], 1, rounds)
+        assert np.array_equal(parts[1].inputs[parts[1].owner == 4], alone.inputs)
