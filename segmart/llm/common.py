@@ -105,11 +105,14 @@ def bytes_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
 
 
 class WordHashes(dict):
-    """64-bit hashes of recent words; emptied when it is full."""
+    """64-bit hashes of recent words, but for very long ones; emptied when it is full."""
 
     LIMIT = 400_000
+    LONGEST = 64
 
     def __missing__(self, word: bytes) -> int:
+        if len(word) > self.LONGEST:
+            return xxhash.xxh3_64_intdigest(word)
         if len(self) >= self.LIMIT:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
@@ -119,6 +122,10 @@ class WordHashes(dict):
 _word_hashes = WordHashes()
 
 
+# The hash of one word.
+word_hash = _word_hashes.__getitem__
+
+
 def hashed_words(text: bytes) -> np.ndarray:
     """The hashes of a text's words, A-Z in lower case, in their order."""
     tokens = text.lower().split()

@@ -10,16 +10,17 @@ import __spark_entry__ as entry_points
 from segmart.llm.queries import ORACLE, QUERIES
 
 
-def test_ten_operators_and_the_pipeline():
+def test_thirteen_operators_and_the_pipeline():
     names = entry_points.queries()
-    assert [sum(name.startswith(f"op{n}_") for name in names) for n in range(1, 11)] == [1] * 10
+    assert [sum(name.startswith(f"op{n}_") for name in names) for n in range(1, 14)] == [1] * 13
     assert "pipeline" in names and set(QUERIES) <= set(names)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, sf_dir, name):
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    for table in ("documents", "benchmark", "embeddings"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     wanted = connection.sql(ORACLE[name])
     got = QUERIES[name](spark, sf_dir)
     columns = sorted(got.columns)
