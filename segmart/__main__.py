@@ -6,6 +6,8 @@
     python -m segmart star     --clean clean --star star
     python -m segmart check    --star star
     python -m segmart merge    --target star_old --staging star --out star_new
+    python -m segmart version  --star star --root star_versions
+    python -m segmart merge    --root star_versions --staging star_new
     python -m segmart publish  --star star --url jdbc:... --properties props.json
 """
 
@@ -17,9 +19,9 @@ from collections.abc import Sequence
 from datetime import date
 
 from segmart import fixed_values as fv
-from segmart.plans import jobs
+from segmart.plans import jobs, versioned
 from segmart.session import build_session
-from segmart.sources import lists, synthetic
+from segmart.sources import lists, synthetic, tables
 from segmart.sources.jdbc import JdbcTarget
 from segmart.sources.landing import write_users_csv
 
@@ -66,10 +68,16 @@ def parser() -> argparse.ArgumentParser:
     check = commands.add_parser("check", help="list violated constraints")
     check.add_argument("--star", required=True)
 
+    version = commands.add_parser("version", help="first version of a versioned star")
+    version.add_argument("--star", required=True)
+    version.add_argument("--root", required=True, help="folder of the versions")
+
     merge = commands.add_parser("merge", help="upsert one star into another")
-    merge.add_argument("--target", required=True)
+    into = merge.add_mutually_exclusive_group(required=True)
+    into.add_argument("--root", help="versioned star that gets a further version")
+    into.add_argument("--target", help="star that stays as it is; the merged one goes to --out")
     merge.add_argument("--staging", required=True)
-    merge.add_argument("--out", required=True)
+    merge.add_argument("--out")
 
     publish = commands.add_parser("publish", help="star to a relational target")
     publish.add_argument("--star", required=True)
@@ -103,7 +111,13 @@ def main(argv: Sequence[str] | None = None) -> None:
         jobs.star_job(spark, args.clean, args.star, args.run_date, args.known, *maps, args.repeated)
     elif args.command == "check":
         jobs.failed_constraints(spark, args.star).show(100, truncate=False)
+    elif args.command == "version":
+        versioned.create_version(spark, args.root, tables.read_tables(spark, args.star))
+    elif args.command == "merge" and args.root:
+        versioned.merge_version(spark, args.root, tables.read_tables(spark, args.staging))
     elif args.command == "merge":
+        if not args.out:
+            raise SystemExit("merge --target needs --out")
         jobs.merge_job(spark, args.target, args.staging, args.out)
     elif args.command == "publish":
         properties = {}

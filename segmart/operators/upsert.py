@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmart import fixed_values as fv
 from segmart.operators.integrity import int_violations, pk_violations, with_int_keys
 from segmart.operators.joins import fits_broadcast, lookup_join
-from segmart.operators.keys import extend_keys
+from segmart.operators.keys import checked_id, dense_keys
 from segmart.session import staged
 
 
@@ -46,9 +48,13 @@ def upsert_parquet(
 
 def int_keyed(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The star tables with integer keys; a key that is no integer is an error."""
-    for name, columns in fv.INTEGER_KEYS.items():
-        if name in tables and not int_violations(tables[name], columns).isEmpty():
-            raise ValueError(f"keys of {name} that are no INT")
+    checked = [(name, columns) for name, columns in fv.INTEGER_KEYS.items() if name in tables]
+    wrong = [
+        int_violations(tables[name], columns).select(F.lit(name).alias("table"), "column_name")
+        for name, columns in checked
+    ]
+    if wrong and (found := reduce(DataFrame.unionByName, wrong).first()):
+        raise ValueError(f"keys of {found['table']}.{found['column_name']} that are no INT")
     return {
         name: with_int_keys(table, fv.INTEGER_KEYS.get(name, ())) for name, table in tables.items()
     }
@@ -71,21 +77,52 @@ NATURAL_KEYS = {
 }
 
 
+def merged_ids(target: dict[str, DataFrame], staging: dict[str, DataFrame]) -> DataFrame:
+    """(dimension, member, staged_id, id): the target's ids of known members, and new ids for the others.
+
+    The three dimensions go through one numbering: new members are numbered in the order of
+    (dimension, member), and each dimension goes on after the highest id it has.
+    """
+    def members(tables: dict[str, DataFrame], id_column: str) -> DataFrame:
+        return reduce(DataFrame.unionByName, [
+            tables[name].select(
+                F.lit(name).alias("dimension"), F.col(natural).alias("member"),
+                F.col(STAR_KEYS[name]).cast("int").alias(id_column),
+            )
+            for name, natural in NATURAL_KEYS.items()
+        ])
+
+    known = members(target, "known_id")
+    found = staged(members(staging, "staged_id").join(known, ["dimension", "member"], "left"), "members")
+    new = found.where("known_id IS NULL").select("dimension", "member").distinct()
+    numbered = dense_keys(new, ("dimension", "member"), "number", id_type="bigint")
+    highest = known.groupBy("dimension").agg(F.max("known_id").alias("top"))
+    first = numbered.groupBy("dimension").agg(F.min("number").alias("first"))
+    number = F.coalesce("top", F.lit(0)) + F.col("number") - F.col("first") + 1
+    # One row per dimension on these two sides.
+    new_ids = numbered.join(F.broadcast(first), "dimension").join(F.broadcast(highest), "dimension", "left")
+    new_ids = new_ids.select("dimension", "member", checked_id(number, "int").alias("new_id"))
+    ids = found.join(new_ids, ["dimension", "member"], "left")
+    return staged(
+        ids.select("dimension", "member", "staged_id", F.coalesce("known_id", "new_id").alias("id")), "ids"
+    )
+
+
 def rekeyed(target: dict[str, DataFrame], staging: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The staging star with the target's ids for known members, and new ids for the others.
 
     Ids of two stars built apart stand for different members; replaced by id alone, facts
     of the target would change their meaning.
     """
-    result = dict(staging)
+    result, ids = dict(staging), merged_ids(target, staging)
     fact = staging["fct_user"]
     for name, natural in NATURAL_KEYS.items():
-        key, dimension = STAR_KEYS[name], staging[name]
-        known = target[name].select(key, natural)
-        ids = staged(extend_keys(known, dimension.select(natural), natural, key), "ids")
-        result[name] = staged(lookup_join(dimension.drop(key), ids, natural).select(*dimension.columns), name)
-        new = dimension.select(key, natural).join(result[name].select(F.col(key).alias("_new"), natural), natural)
-        fact = lookup_join(fact, new.select(key, "_new"), key).withColumn(key, F.col("_new")).drop("_new")
+        key, columns = STAR_KEYS[name], staging[name].columns
+        own = ids.where(F.col("dimension") == name)
+        new = own.select(F.col("member").alias(natural), F.col("id").alias(key))
+        result[name] = staging[name].drop(key).join(new, natural).select(*columns)
+        moved = own.select(F.col("staged_id").alias(key), F.col("id").alias("_new"))
+        fact = lookup_join(fact, moved, key).withColumn(key, F.col("_new")).drop("_new")
     result["fct_user"] = fact.select(*staging["fct_user"].columns)
     return result
 
@@ -102,9 +139,12 @@ def upsert_star(
     types = {name: dict(table.dtypes) for name, table in target.items()}
     target, staging = int_keyed(target), int_keyed(staging)
     staging = rekeyed(target, staging)
-    for name, key in STAR_KEYS.items():
-        if not pk_violations(staging[name], key).isEmpty():
-            raise DuplicateKeyError(f"staging rows of {name} repeat or lack {key}")
+    wrong = [
+        pk_violations(staging[name], key).select(F.lit(name).alias("table")) for name, key in STAR_KEYS.items()
+    ]
+    if found := reduce(DataFrame.unionByName, wrong).first():
+        name = found["table"]
+        raise DuplicateKeyError(f"staging rows of {name} repeat or lack {STAR_KEYS[name]}")
     merged = {
         name: upsert(target[name], staging[name], key, check=False)
         for name, key in STAR_KEYS.items()

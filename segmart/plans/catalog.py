@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,12 +12,13 @@ from segmart import fixed_values as fv
 from segmart.functions import documents as docs
 from segmart.functions import lookups, text
 from segmart.operators import dedupe, insight, integrity, keys, rules, star
+from segmart.operators.delta_check import batch_report
 from segmart.operators.upsert import upsert, upsert_star
-from segmart.plans import fixture, jobs
+from segmart.plans import fixture, jobs, versioned
 from segmart.plans.fixture import landing, table, users_raw
-from segmart.session import scratch_path, staged
+from segmart.session import at_once, scratch_path, staged
 from segmart.sources import landing as landing_files
-from segmart.sources import lists, synthetic, tables
+from segmart.sources import lists, synthetic, tables, versions
 
 AS_OF = date(2025, 7, 4)
 FIRST_DATE = date(2025, 7, 1)
@@ -314,17 +316,69 @@ def star_from_tag(spark, sf_dir):
     return insight.segment_insight(users).drop("updated_at")
 
 
+def stars_of(spark: SparkSession, *users: DataFrame) -> list[dict[str, DataFrame]]:
+    """A star of each set of users, built apart."""
+    steps = {i: partial(jobs.build_star, spark, part, scratch_path(spark, "star")) for i, part in enumerate(users)}
+    return list(at_once(spark, steps).values())
+
+
 def merge_star(spark, sf_dir):
     """Stars of the users with even and with odd ids, built apart, merged and flattened."""
     users = user_table(spark, sf_dir)
     odd = F.col("_id").try_cast("bigint") % 2 == 1
-    halves = [
-        jobs.build_star(spark, users.where(half), scratch_path(spark, "half")) for half in (odd, ~odd)
-    ]
+    halves = stars_of(spark, users.where(odd), users.where(~odd))
     natural = ("province", "region", "occupation_name", "category", "description")
     return star.flat_star(upsert_star(*halves)).select("user_id", "name", "email", "gender", *natural)
 
 
+def merged_versions(spark, sf_dir) -> str:
+    """Root of a versioned star: a third of the users with other attributes, then three merges.
+
+    The first merge replaces all of that third, the others add new users and members.
+    """
+    users, root = user_table(spark, sf_dir), scratch_path(spark, "versions")
+    thirds = [users.where(F.col("_id").try_cast("bigint") % 3 == n) for n in range(3)]
+    before = thirds[0].withColumns({"gender": F.lit("Other"), "address": F.lit("An Giang"), "name": F.lit("before")})
+    first, *batches = stars_of(spark, before, *thirds)
+    versioned.create_version(spark, root, first)
+    for batch in batches:
+        versioned.merge_version(spark, root, batch)
+    return root
+
+
+def merge_star_versions(spark, sf_dir):
+    """The latest version after three merges, flattened."""
+    flat = star.flat_star(versions.read_version(spark, merged_versions(spark, sf_dir)))
+    natural = ("province", "region", "occupation_name", "category", "description")
+    return flat.select(F.col("user_id").cast("string"), "name", "email", "gender", *natural)
+
+
+def insight_delta(spark, sf_dir):
+    """The insight of the latest version from counts that three merges kept up to date."""
+    return versioned.versioned_insight(spark, merged_versions(spark, sf_dir)).drop("updated_at")
+
+
+def batch_check(spark, sf_dir):
+    """The constraint report of a faulty batch against the star of the other half of the users.
+
+    The batch takes e-mails of that half, has names above the limit, and facts of unknown users.
+    """
+    users = user_table(spark, sf_dir)
+    odd = F.col("_id").try_cast("bigint") % 2 == 1
+    target, batch = stars_of(spark, users.where(odd), users.where(~odd))
+    number = F.col("user_id").cast("bigint")
+    people, facts = batch["dim_user"], batch["fct_user"]
+    people = people.withColumn(
+        "email", F.when(number % 5 == 0, F.concat(F.lit("user"), (number + 1).cast("string"), F.lit("@example.com")))
+        .otherwise(F.col("email"))
+    ).withColumn("name", F.when(number % 7 == 0, F.repeat(F.lit("n"), 256)).otherwise(F.col("name")))
+    unknown = facts.where(number % 11 == 0).withColumn("user_id", (number + 1_000_000_000).cast("string"))
+    batch |= {"dim_user": people, "fct_user": facts.unionByName(unknown)}
+    typed = {name: integrity.with_int_keys(t, fv.INTEGER_KEYS.get(name, ())) for name, t in target.items()}
+    report = batch_report(typed, {name: staged(t, "batch") for name, t in batch.items()})
+    return report.where("n_violations > 0")
+
+
 def dim_occupation(spark, sf_dir):
     return star.dim_occupation(strict_users(spark, sf_dir))
 
@@ -454,6 +508,7 @@ QUERIES = {
         insight_age, insight_region, insight_occupation, insight_gender, segment_insight,
         segment_insight_star,
         star_from_tag, partition_scan, partition_overwrite, star_roundtrip, merge_star,
+        merge_star_versions, insight_delta, batch_check,
         upsert_dim, upsert_fact, pk_violations, unique_violations, fk_orphans,
         length_violations,
     )

@@ -12,6 +12,7 @@ from segmart.functions.documents import parse_documents, to_documents
 from segmart.functions.text import null_if_blank
 from segmart.operators import star
 from segmart.operators.dedupe import accepted_rows, dedupe_email
+from segmart.operators.delta_check import batch_report, refuse_violations
 from segmart.operators.insight import segment_insight_from_star
 from segmart.operators.integrity import star_report, with_int_keys
 from segmart.operators.joins import lookup_join
@@ -173,16 +174,18 @@ def publish_job(
 
 
 def merge_job(spark: SparkSession, target_root: str, staging_root: str, out_root: str) -> None:
-    """Upsert the star at `staging_root` into the star at `target_root`, written to `out_root`."""
+    """Upsert the star at `staging_root` into the star at `target_root`, written to `out_root`.
+
+    The staging star is checked against the target first: if it breaks a constraint, the job
+    ends with `ConstraintError` and `out_root` stays as it is. Readers who must never see some
+    tables of the old star beside some of the new one need `versioned.merge_version`.
+    """
     if out_root.rstrip("/") in (target_root.rstrip("/"), staging_root.rstrip("/")):
         raise ValueError("both inputs are still being read: give another output root")
-    merged = upsert_star(
-        tables.read_tables(spark, target_root), tables.read_tables(spark, staging_root)
-    )
-    tables.write_tables(merged, out_root)
-    failed = failed_constraints(spark, out_root).collect()  # one row per constraint at most
-    if failed:
-        raise ValueError(f"the merged star breaks constraints: {[row.asDict() for row in failed]}")
+    target, staging = (tables.read_tables(spark, root) for root in (target_root, staging_root))
+    typed = {name: with_int_keys(table, fv.INTEGER_KEYS.get(name, ())) for name, table in target.items()}
+    refuse_violations(batch_report(typed, staging))
+    tables.write_tables(upsert_star(target, staging), out_root)
 
 
 def staged_star(spark: SparkSession, users: DataFrame, star_root: str) -> dict[str, DataFrame]:

@@ -456,6 +456,38 @@ tag_segments AS (
         "LEFT JOIN dim_occupation USING (occupation_id) LEFT JOIN dim_age_group USING (age_group_id) "
         "JOIN dim_user USING (user_id)",
     ),
+    "merge_star_versions": with_(
+        STAR,
+        "SELECT user_id, name, email, gender, province, region, "
+        "occupation_name, category, description "
+        "FROM fct_user LEFT JOIN dim_address USING (address_id) "
+        "LEFT JOIN dim_occupation USING (occupation_id) LEFT JOIN dim_age_group USING (age_group_id) "
+        "JOIN dim_user USING (user_id)",
+    ),
+    "insight_delta": with_(
+        INSIGHTS,
+        "SELECT row_number() OVER (ORDER BY segment_type, description NULLS FIRST) AS id, * FROM segments",
+    ),
+    "batch_check": with_(
+        f"""{STAR},
+batch AS (
+  SELECT cast(user_id AS bigint) AS id,
+    CASE WHEN cast(user_id AS bigint) % 7 = 0 THEN repeat('n', 256) ELSE name END AS name,
+    CASE WHEN cast(user_id AS bigint) % 5 = 0 THEN 'user' || (cast(user_id AS bigint) + 1) || '@example.com'
+      ELSE email END AS email
+  FROM dim_user WHERE cast(user_id AS bigint) % 2 = 0
+),
+merged AS (
+  SELECT email FROM batch UNION ALL SELECT email FROM dim_user WHERE cast(user_id AS bigint) % 2 = 1
+),
+report AS (
+  SELECT 'unique' AS "constraint", 'dim_user' AS "table", 'email' AS "column",
+    (SELECT count(*) FROM (SELECT email FROM merged GROUP BY email HAVING count(*) > 1)) AS n_violations
+  UNION ALL SELECT 'length', 'dim_user', 'name', (SELECT count(*) FROM batch WHERE length(name) > 255)
+  UNION ALL SELECT 'foreign key', 'fct_user', 'user_id', (SELECT count(*) FROM batch WHERE id % 11 = 0)
+)""",
+        "SELECT * FROM report WHERE n_violations > 0",
+    ),
     # upsert and integrity
     "upsert_dim": with_(
         f"""{STAR},

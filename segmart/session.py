@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+JOBS_AT_ONCE = 8
+Result = TypeVar("Result")
 
 
 def build_session(app_name: str = "segmart", master: str | None = None, **conf: str) -> SparkSession:
@@ -64,3 +70,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def at_once(spark: SparkSession, steps: Mapping[str, Callable[[], Result]]) -> dict[str, Result]:
+    """Run independent steps side by side, each of which starts jobs of its own, and name their results.
+
+    Small jobs do not fill a cluster; one after the other they would mostly wait for the driver.
+    """
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        started = {name: pool.submit(inheritable_thread_target(spark)(step)) for name, step in steps.items()}
+        return {name: step.result() for name, step in started.items()}

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmart import fixed_values as fv
+from segmart.session import at_once
 
 DATE_COLUMN = "dt"
 STAR_TABLES = ("dim_user", "dim_address", "dim_occupation", "dim_age_group", "fct_user")
@@ -70,9 +72,12 @@ def read_dates(spark: SparkSession, root: str, first: date, last: date) -> DataF
 
 
 def write_tables(tables: Mapping[str, DataFrame], root: str, mode: str = "overwrite") -> None:
-    """Write each table to its own folder below `root`."""
-    for name, table in tables.items():
-        table.write.mode(mode).parquet(f"{root}/{name}")
+    """Write each table to its own folder below `root`; the tables do not depend on each other."""
+    steps = {
+        name: partial(table.write.mode(mode).parquet, f"{root}/{name}") for name, table in tables.items()
+    }
+    if steps:
+        at_once(next(iter(tables.values())).sparkSession, steps)
 
 
 def read_tables(
