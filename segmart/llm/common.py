@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,6 +20,8 @@ SPACE_RUN = r"[\x20\x09-\x0D]+"
 NO_SPACE = r"[^\x20\x09-\x0D]"
 
 # A Python task sees at most this many rows and bytes of text at once.
+PIECE_BYTES = 1 << 20
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 BATCH_ROWS = 1_000
 BATCH_BYTES = 8 << 20
 BATCH_CONF = {
@@ -127,9 +130,15 @@ word_hash = _word_hashes.__getitem__
 
 
 def hashed_words(text: bytes) -> np.ndarray:
-    """The hashes of a text's words, A-Z in lower case, in their order."""
-    tokens = text.lower().split()
-    return np.fromiter(map(_word_hashes.__getitem__, tokens), np.uint64, len(tokens))
+    """The hashes of a text's words, A-Z in lower case, in their order; a long text piece by piece."""
+    parts, at = [], 0
+    while at < len(text):
+        gap = _SPACE.search(text, at + PIECE_BYTES)
+        stop = gap.start() if gap else len(text)
+        tokens = text[at:stop].lower().split()
+        parts.append(np.fromiter(map(word_hash, tokens), np.uint64, len(tokens)))
+        at = stop
+    return parts[0] if len(parts) == 1 else np.concatenate([*parts, np.zeros(0, np.uint64)])
 
 
 def small_or_shuffled(df: DataFrame) -> DataFrame:

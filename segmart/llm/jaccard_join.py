@@ -47,6 +47,10 @@ BAND_WIDTH = 2  # in steps of the largest size ratio that a link allows
 ROOM = 2  # weight of uninformative segments that the allocation makes up for
 SEGMENT_SIZE = 3  # shingles that a segment should have
 SKETCH = ("s0", "s1", "s2", "s3")
+PAIR_COST = 5  # of a chance agreement, in rows of the index
+
+# Shingles are counted in so many slots, to put those of many documents last in the prefixes.
+SLOT_BITS = 22
 
 # Odd multipliers for hashing.
 _ODD = [
@@ -128,18 +132,48 @@ class Similarity:
         bounds = [-(-(i << 64) // segments) for i in range(segments)]
         return deletions, segments, np.array(bounds, _U)
 
-    def index_entries(self, hashes: np.ndarray) -> np.ndarray:
-        """The index entries of a set."""
+    def prefix(self, n: int) -> int:
+        """How many of n shingles, the first in any one order, linked sets must share one of."""
+        return n - -(-n * self.percent // 100) + 1
+
+    @functools.lru_cache(maxsize=4096)
+    def by_prefix(self, band: int, recurring: float) -> bool:
+        """Whether sets of a band are indexed by single shingles, as that is estimated to cost less.
+
+        Each entry costs its own row, and `PAIR_COST` for the chance to agree with an unlinked
+        set: `recurring` is the share of shingles that others have too, and all of a segment's
+        must. Sets that outgrow the room for empty segments need the prefix besides.
+        """
+        plan = self.allocation(band)
+        if plan is None:
+            return False
+        deletions, segments, _ = plan
+        size = (self.band_start(band) + self.band_start(band + 1)) / 2
+        per_segment = size / segments
+        reach = 1 + len(self.bands_of(int(size))[1:])
+        entries = segments + deletions * per_segment
+        segmented = reach * entries * (1 + PAIR_COST * recurring ** max(1.0, per_segment))
+        single = self.prefix(int(size)) * (1 + PAIR_COST * recurring)
+        if segments * math.exp(-per_segment) > ROOM:
+            segmented += reach * single
+        return single < segmented
+
+    def index_entries(self, hashes: np.ndarray, ranks: np.ndarray, recurring: float) -> np.ndarray:
+        """The index entries of a set; `ranks` order its shingles, those in few documents first."""
         n = len(hashes)
         found: list[np.ndarray] = []
         if not n:
             return np.empty(0, _U)
         token = mixed(hashes ^ _U(_ODD[5]))
         sums = np.concatenate([np.zeros(1, _U), np.cumsum(token, dtype=_U)])
+        whole_prefix = False
         for band in self.bands_of(n):
             plan = self.allocation(band)
             if plan is None:
                 continue
+            if self.by_prefix(band, recurring):
+                whole_prefix = True
+                continue
             deletions, segments, bounds = plan
             starts = np.searchsorted(hashes, bounds)
             ends = np.append(starts[1:], n)
@@ -157,8 +191,12 @@ class Similarity:
             weights[:deletions] = 2
             useless = (sizes == 0) | ((sizes == 1) & (weights == 2))
             if int(weights[useless].sum()) > ROOM:
-                prefix = n - -(-n * self.percent // 100) + 1
-                found.append(mixed(token[:prefix] ^ _U((band + 1) * _ODD[2] & (2**64 - 1))))
+                found.append(mixed(token[: self.prefix(n)] ^ _U((band + 1) * _ODD[2] & (2**64 - 1))))
+        if whole_prefix:
+            first = np.flatnonzero(ranks == 0)[: self.prefix(n)]
+            if len(first) < self.prefix(n):
+                first = np.argsort(ranks, kind="stable")[: self.prefix(n)]
+            found.append(mixed(token[first] ^ _U(_ODD[0])))
         return np.unique(np.concatenate(found)) if found else np.empty(0, _U)
 
     def links(self, a: np.ndarray, b: np.ndarray) -> bool:
@@ -172,7 +210,50 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd).view(np.int64)
 
 
-def _indexed(rows: DataFrame, rule: Similarity) -> DataFrame:
+@dataclass(frozen=True)
+class Shingles:
+    """What the index knows of the corpus: slots of shingles that stand out, and the share that recurs.
+
+    Both steer the cost alone; whatever they are, linked sets meet in the index.
+    """
+
+    slots: np.ndarray
+    counts: np.ndarray
+    recurring: float
+
+    def ranks(self) -> np.ndarray:
+        """A rank per slot: the place among the counts that stand out, 0 for all other slots."""
+        table = np.zeros(1 << SLOT_BITS, np.int32)
+        table[self.slots[np.argsort(self.counts, kind="stable")]] = np.arange(1, len(self.slots) + 1)
+        return table
+
+
+def count_shingles(rows: DataFrame, rule: Similarity) -> Shingles:
+    """Counts over the sets of all documents; a task tells the slots that stand out in it."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << SLOT_BITS, np.int64)
+        total = again = 0
+        for batch in batches:
+            sets = [shingle_set(text, rule.k) for text in bytes_of(batch)]
+            hashes = np.sort(np.concatenate([*sets, np.empty(0, _U)]))
+            same = hashes[1:] == hashes[:-1]
+            total += len(hashes)
+            again += int(same.sum())
+            counts += np.bincount((hashes & _U((1 << SLOT_BITS) - 1)).astype(np.int64), minlength=len(counts))
+        mean = counts.mean()
+        slots = np.flatnonzero(counts > mean + 4 * math.sqrt(mean) + 2)
+        columns = [np.append(slots, [-1, -2]), np.append(counts[slots], [total, again])]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["slot", "n"])
+
+    counted = staged_batches(map_batches(rows.select("text"), count, "slot bigint, n bigint"), "shingle-counts")
+    summed = counted.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # one row per slot at most
+    slots, counts = summed["slot"].to_numpy(), summed["n"].to_numpy()
+    total, again = (int(counts[slots == mark].sum()) for mark in (-1, -2))
+    known = slots >= 0
+    return Shingles(slots[known], counts[known], round(again / max(1, total), 2))
+
+
+def _indexed(rows: DataFrame, rule: Similarity, known: Shingles) -> DataFrame:
     """doc_id, key, size, node, index entries and sketch of each document."""
     schema = T.StructType([
         rows.schema["doc_id"], T.StructField("key", T.LongType()),
@@ -182,13 +263,15 @@ def _indexed(rows: DataFrame, rule: Similarity) -> DataFrame:
     ])
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = known.ranks()
         for batch in batches:
             sizes, nodes, lengths, entries, sketches = [], [], [0], [], []
             for text in bytes_of(batch):
                 hashes = shingle_set(text, rule.k)
                 sizes.append(len(hashes))
                 nodes.append(xxhash.xxh3_64_intdigest(hashes.tobytes()))
-                entries.append(rule.index_entries(hashes))
+                ranks = table[(hashes & _U((1 << SLOT_BITS) - 1)).astype(np.int64)]
+                entries.append(rule.index_entries(hashes, ranks, known.recurring))
                 lengths.append(len(entries[-1]))
                 sketches.append(sketch(hashes))
             flat = np.concatenate([*entries, np.empty(0, _U)]).view(np.int64)
@@ -275,7 +358,7 @@ def jaccard_components(
     """
     rows = id_and_text(docs, id_col, text_col)
     rows = rows.withColumn("key", row_key(F.col("doc_id"), F.col("text")))
-    indexed = _indexed(rows, rule)
+    indexed = _indexed(rows, rule, count_shingles(rows, rule))
     nodes = indexed.where("size > 0").groupBy("node").agg(
         F.min("key").alias("key"), F.min("size").alias("size"), *[F.min(s).alias(s) for s in SKETCH]
     )

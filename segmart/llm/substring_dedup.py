@@ -1,20 +1,23 @@
-"""Substring de-duplication by hashing units of text.
-
-A unit is a sentence of `UNIT_WORDS` words or more with the shorter ones that follow it;
-short sentences alone repeat everywhere and would be most of the work. Units are
-normalised (lower case, single spaces) and hashed to 128 bits, and the digests are
-grouped over all documents. Of equal units the earliest stays, ranked by document and
-place. A run of consecutive units that are all later occurrences and together have
-`min_words` words is a repeated passage and is removed; shorter runs are common phrases
-and stay. Passages below `PASSAGE_WORDS` words that start or end inside a unit lose all
-but their torn units.
-
-Longer passages are found wherever they start and end, also without any sentence: of equal
-windows of `PASSAGE_WORDS` words the earliest stays, and all words of the later ones are
-removed. Each window has the least hash of its runs of `ANCHOR_WORDS` words as anchor;
-equal windows have equal anchors, so only windows whose anchor occurs at several places
-are hashed and grouped. Within a document a window is later if it does not overlap the first.
-Spans of both kinds that overlap are one.
+"""Substring de-duplication by hashing units of text, and windows of words for torn passages.
+
+A unit is a line, or a sentence in it. Units are normalised (A-Z in lower case, single spaces) and
+hashed to 128 bits, and the digests are grouped over all documents. Of equal units the earliest
+stays, ranked by document and place. A run of consecutive units that are all later occurrences
+and together have `min_words` words is a repeated passage and is removed; shorter runs are
+common phrases and stay.
+
+Passages of `PASSAGE_WORDS` words or more are found wherever they start and end, also without any
+sentence: of equal windows of so many words the earliest stays, and all words of the later ones
+are removed. Each window has the least hash of its runs of `ANCHOR_WORDS` words as anchor, and
+consecutive windows with one anchor are a segment. Equal windows lie in segments of one anchor;
+equal segments have the same windows. So segments are grouped by anchor and content, and only
+the earliest of each content is compared window by window with others of its anchor. Within a
+document a window is later if it does not overlap the first. Spans of both kinds that overlap
+are one. A passage of fewer words that starts or ends inside a unit loses its whole units only.
+
+A first pass counts digests and anchors. What occurs several times is marked in bitmaps of a fixed
+size, and a second pass writes the marked units and segments, so that no text is shuffled. A full
+bitmap would cost space, never a result.
 
 Offsets are characters of the original text, so removals can be traced and undone.
 
@@ -26,79 +29,33 @@ A unit that repeats within its own document counts as a later occurrence too.
 
 from __future__ import annotations
 
-import re
-from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segmart.llm.common import (
-    WordHashes, id_and_text, map_batches, row_key, small_or_shuffled, staged_batches, texts_of,
+    bytes_of, hashed_words, id_and_text, map_batches, row_key, small_or_shuffled, staged_batches,
 )
 from segmart.session import staged
 
 MIN_WORDS = 15
-UNIT_WORDS = 6
 PASSAGE_WORDS = 50
 ANCHOR_WORDS = 16
-FLUSH_ROWS = 200_000
-WORD = re.compile(r"\S+")
-SENTENCE = re.compile(r"\S(?:[^\n.!?]|[.!?](?=[^\s.!?]))*[.!?]*")
-
-
-def units_of(text: str) -> Iterator[tuple[int, int, list[str]]]:
-    """Start, stop and words of each unit."""
-    start, stop, tokens = 0, 0, []
-    for match in SENTENCE.finditer(text):
-        found = match.group().lower().split()
-        if tokens and len(found) >= UNIT_WORDS:
-            yield start, stop, tokens
-            tokens = []
-        if not tokens:
-            start = match.start()
-        tokens += found
-        stop = match.end()
-    if tokens:
-        yield start, stop, tokens
-
-
-def _units(rows: DataFrame) -> DataFrame:
-    """One row per unit: document, number, bounds, first and last word, word count and digest."""
-    schema = T.StructType([
-        rows.schema["doc_id"], T.StructField("key", T.LongType()),
-        *[T.StructField(name, T.IntegerType()) for name in ("unit", "start", "stop", "first", "last", "n_words")],
-        T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType()),
-    ])
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            owner, numbers, digests = [], [], []
-            for row, text in enumerate(texts_of(batch, "text")):
-                starts = [match.start() for match in WORD.finditer(text)]
-                for unit, (start, stop, tokens) in enumerate(units_of(text)):
-                    owner.append(row)
-                    first, last = bisect_right(starts, start) - 1, bisect_left(starts, stop) - 1
-                    numbers += (unit, start, stop, first, last, len(tokens))
-                    digests.append(xxhash.xxh3_128_digest(" ".join(tokens)))
-            taken = pa.array(owner, pa.int64())
-            table = np.array(numbers, np.int32).reshape(-1, 6)
-            halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(taken), batch.column(1).take(taken),
-                 *[pa.array(np.ascontiguousarray(table[:, j])) for j in range(6)],
-                 *[pa.array(np.ascontiguousarray(halves[:, j])) for j in range(2)]],
-                names=schema.names,
-            )
-
-    return staged_batches(map_batches(rows.select("doc_id", "key", "text"), cut, schema), "units")
+FLUSH_ROWS = 100_000
 
+# Digests that occur several times are marked in bitmaps of so many bits.
+SLOT_BITS = 26
+WORD_BITS = 6
 
-_hashes = WordHashes()
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, *range(9, 14)]] = True
+_STOP = np.zeros(256, bool)
+_STOP[list(b".!?")] = True
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _powers: dict[int, np.ndarray] = {}
@@ -113,20 +70,28 @@ def _powers_of(base: int, n: int) -> np.ndarray:
     return _powers[base]
 
 
-def _run_hashes(words: np.ndarray, n: int, base: int) -> np.ndarray:
-    """The hash of every run of n words, from the words' own."""
-    size = len(words)
-    sums = np.zeros(size + 1, np.uint64)
-    np.cumsum(words * _powers_of(base, size)[:size], dtype=np.uint64, out=sums[1:])
-    back = _powers_of(pow(base, -1, 1 << 64), size)[: size - n + 1]
-    return (sums[n:] - sums[:-n]) * back
-
-
 def _mixed(values: np.ndarray) -> np.ndarray:
     values = (values ^ (values >> np.uint64(32))) * _ODD
     return values ^ (values >> np.uint64(29))
 
 
+class RunHashes:
+    """Hashes of any runs of a text's words, from sums over the words."""
+
+    def __init__(self, words: np.ndarray, base: int) -> None:
+        n = len(words)
+        self.back = _powers_of(pow(base, -1, 1 << 64), n + 1)
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(words * _powers_of(base, n)[:n], dtype=np.uint64, out=self.sums[1:])
+
+    def between(self, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        return (self.sums[stops] - self.sums[starts]) * self.back[starts]
+
+    def of_size(self, size: int) -> np.ndarray:
+        n = len(self.sums) - size
+        return (self.sums[size:] - self.sums[:n]) * self.back[:n]
+
+
 def _least(values: np.ndarray, n: int) -> np.ndarray:
     """The least of every n consecutive values."""
     span = 1
@@ -137,117 +102,275 @@ def _least(values: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(values[:-rest], values[rest:]) if rest else values
 
 
-def anchors_of(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes, hashes of all runs of `ANCHOR_WORDS`, and the anchor of each window."""
-    words = text.lower().split()
-    hashes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    if len(hashes) < PASSAGE_WORDS:
-        return hashes, np.empty(0, np.uint64), np.empty(0, np.uint64)
-    runs = _mixed(_run_hashes(hashes, ANCHOR_WORDS, _BASES[0]))
-    return hashes, runs, _least(runs, PASSAGE_WORDS - ANCHOR_WORDS + 1)
-
-
-def _anchors(rows: DataFrame) -> DataFrame:
-    """key, anchor and the places it has in the document, one row per document and anchor."""
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+@dataclass
+class Words:
+    """The words of a text: their hashes, and the bytes where they start and stop."""
+
+    text: np.ndarray
+    hashes: np.ndarray
+    starts: np.ndarray
+    stops: np.ndarray
+
+    @classmethod
+    def of(cls, text: bytes) -> Words:
+        codes = np.frombuffer(text, np.uint8)
+        edges = np.diff(np.concatenate([[True], _SPACE[codes], [True]]).astype(np.int8))
+        return cls(codes, hashed_words(text), np.flatnonzero(edges < 0), np.flatnonzero(edges > 0))
+
+    def characters(self) -> tuple[np.ndarray, np.ndarray]:
+        """The characters where words start and stop."""
+        further = np.flatnonzero((self.text & 0xC0) == 0x80)
+        return tuple(at - np.searchsorted(further, at) for at in (self.starts, self.stops))
+
+    def unit_starts(self) -> np.ndarray:
+        """The first word of each unit: after a line break, or after a word with a full stop."""
+        breaks = np.flatnonzero(self.text == 10)
+        line = np.searchsorted(breaks, self.starts)
+        new = _STOP[self.text[self.stops[:-1] - 1]] | (line[1:] > line[:-1])
+        return np.flatnonzero(np.concatenate([[len(self.starts) > 0], new]))
+
+
+@dataclass
+class Found:
+    """The units and segments of a text."""
+
+    words: Words
+    unit_starts: np.ndarray
+    unit_stops: np.ndarray
+    units: tuple[np.ndarray, np.ndarray]  # two digests of each
+    windows: np.ndarray  # a digest of each
+    lows: np.ndarray  # the first window of each segment
+    highs: np.ndarray  # the last one
+    anchors: np.ndarray
+    segments: tuple[np.ndarray, np.ndarray]
+
+    @classmethod
+    def of(cls, text: bytes) -> Found:
+        words = Words.of(text)
+        n = len(words.hashes)
+        starts = words.unit_starts() if n else np.zeros(0, np.int64)
+        stops = np.append(starts[1:], n) if n else starts
+        hashes = [RunHashes(h, base) for h, base in zip((words.hashes, _mixed(words.hashes)), _BASES)]
+        units = tuple(_mixed(h.between(starts, stops) + (stops - starts).astype(np.uint64)) for h in hashes)
+        if n < PASSAGE_WORDS:
+            none = np.zeros(0, np.int64)
+            empty = none.view(np.uint64)
+            return cls(words, starts, stops, units, empty, none, none, empty, (empty, empty))
+        runs = _mixed(hashes[0].of_size(ANCHOR_WORDS))
+        least = _least(runs, PASSAGE_WORDS - ANCHOR_WORDS + 1)
+        lows = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
+        highs = np.append(lows[1:], len(least)) - 1
+        segments = tuple(_mixed(h.between(lows, highs + PASSAGE_WORDS)) for h in hashes)
+        windows = _mixed(hashes[1].of_size(PASSAGE_WORDS))
+        return cls(words, starts, stops, units, windows, lows, highs, least[lows], segments)
+
+    def again_windows(self) -> tuple[np.ndarray, np.ndarray]:
+        """First and last window of each run that the text has before, not overlapping."""
+        n = len(self.windows)
+        _, index, inverse = np.unique(self.windows, return_index=True, return_inverse=True)
+        later = np.arange(n) - index[inverse] >= PASSAGE_WORDS
+        edges = np.diff(np.concatenate([[False], later, [False]]).astype(np.int8))
+        return np.flatnonzero(edges > 0), np.flatnonzero(edges < 0) - 1
+
+
+# -- first pass: what occurs several times ----------------------------------------------
+
+def _digests(rows: DataFrame) -> DataFrame:
+    """(doc_id, d1, d2) of every unit, and (d1) of every segment's anchor, without d2."""
+    schema = T.StructType([rows.schema["doc_id"], *T.StructType.fromDDL("d1 bigint, d2 bigint").fields])
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owner, found, places = [], [], []
-            for row, text in enumerate(texts_of(batch)):
-                _, runs, least = anchors_of(text)
-                own = np.unique(least)
-                runs = np.sort(runs)
-                places.append(np.searchsorted(runs, own, "right") - np.searchsorted(runs, own))
-                found.append(own)
-                owner.append(np.full(len(own), row))
-            found = np.concatenate([*found, np.empty(0, np.uint64)])
+            found = [Found.of(text) for text in bytes_of(batch)]
+            counts = [len(f.unit_starts) for f in found]
+            parts = [np.concatenate([f.units[j] for f in found]).view(np.int64) for j in (0, 1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(np.concatenate([*owner, np.empty(0, np.int64)]))),
-                 pa.array(found.view(np.int64)),
-                 pa.array(np.concatenate([*places, np.empty(0, np.int64)]).astype(np.int32))],
-                names=["key", "anchor", "places"],
+                [batch.column(0).take(pa.array(np.repeat(np.arange(len(found)), counts))), *map(pa.array, parts)],
+                names=schema.names,
+            )
+            anchors = np.concatenate([f.anchors for f in found]).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(anchors), batch.column(0).type), pa.array(anchors), pa.nulls(len(anchors), pa.int64())],
+                names=schema.names,
             )
 
-    found = map_batches(rows.select("key", "text"), find, "key bigint, anchor bigint, places int")
-    return staged_batches(found, "anchors")
-
-
-def windows_of(text: str, anchors: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Of the windows with one of these anchors: first word, bounds, if it is a later one here, digest."""
-    hashes, _, least = anchors_of(text)
-    place = np.flatnonzero(np.isin(least, anchors))
-    if not len(place):
-        none = np.empty(0, np.int64)
-        return none, none, none, none, none, none
-    d1 = _run_hashes(hashes, PASSAGE_WORDS, _BASES[0])[place]
-    d2 = _run_hashes(_mixed(hashes), PASSAGE_WORDS, _BASES[1])[place]
-    _, index, inverse = np.unique(d1, return_index=True, return_inverse=True)
-    again = place - place[index[inverse]] >= PASSAGE_WORDS
-    bounds = np.array([match.span() for match in WORD.finditer(text)], np.int64)
-    return (
-        place, bounds[place, 0], bounds[place + PASSAGE_WORDS - 1, 1], again,
-        d1.view(np.int64), d2.view(np.int64),
-    )
-
-
-def _windows(rows: DataFrame, distinct: bool) -> DataFrame:
-    """One row per window whose anchor has several places in the corpus."""
-    anchors = _anchors(rows)
-    if distinct:
-        anchors = anchors.dropDuplicates(["key", "anchor"])
-        rows = rows.dropDuplicates(["key"])
-    shared = anchors.groupBy("anchor").agg(F.sum("places").alias("n")).where("n > 1").select("anchor")
-    wanted = anchors.join(shared, "anchor").groupBy("key").agg(F.collect_list("anchor").alias("anchors"))
-    schema = T.StructType([
-        rows.schema["doc_id"], T.StructField("key", T.LongType()),
-        *[T.StructField(name, T.IntegerType()) for name in ("first", "start", "stop")],
-        T.StructField("again", T.BooleanType()),
-        T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType()),
-    ])
-    types = [pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64()]
-
-    def joined(batch: pa.RecordBatch, owner: list[int], parts: list[tuple]) -> pa.RecordBatch:
-        taken = pa.array(np.repeat(owner, [len(part[0]) for part in parts]).astype(np.int64))
-        columns = [np.concatenate(column) for column in zip(*parts, strict=True)]
+    return map_batches(rows.select("doc_id", "text"), digest, schema)
+
+
+@dataclass(frozen=True)
+class Bitmap:
+    """Digests that occur several times, by slot; words of 64 slots that hold one."""
+
+    places: np.ndarray
+    bits: np.ndarray
+    slot_bits: int
+
+    @classmethod
+    def of(cls, repeated: DataFrame) -> Bitmap:
+        """Gather the marked words: 2**20 numbers at most, whatever the number of digests."""
+        slot = F.shiftrightunsigned("d1", 64 - SLOT_BITS)
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (slot % 64).cast("int"))
+        words = repeated.groupBy(F.shiftright(slot, WORD_BITS).alias("place")).agg(F.bit_or(bit).alias("bits"))
+        held = words.toArrow()
+        return cls(held["place"].to_numpy().astype(np.int64), held["bits"].to_numpy().astype(np.int64), SLOT_BITS)
+
+    def test(self) -> Callable[[np.ndarray], np.ndarray]:
+        """Which of some digests are marked."""
+        table = np.zeros(1 << (self.slot_bits - WORD_BITS), np.uint64)
+        table[self.places] = self.bits.view(np.uint64)
+
+        def marked(digests: np.ndarray) -> np.ndarray:
+            slot = digests >> np.uint64(64 - self.slot_bits)
+            word = table[(slot >> np.uint64(WORD_BITS)).astype(np.int64)]
+            return ((word >> (slot & np.uint64(63))) & np.uint64(1)).astype(bool)
+
+        return marked
+
+
+# -- second pass: marked units and segments ---------------------------------------------
+
+# kind 0: a unit, lo and hi its first and last word; 1: a segment, lo and hi its first and last
+# window; 2: windows that the document has before. start and stop are characters.
+ROWS = """key bigint, kind tinyint, anchor bigint, d1 bigint, d2 bigint, lo int, hi int,
+    start int, stop int, again boolean, windows array<bigint>, starts array<int>, stops array<int>"""
+
+
+def _unit_rows(found: Found, marked: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The units in runs of marked units with `min_words` words, and if the text has them before."""
+    edges = np.diff(np.concatenate([[False], marked, [False]]).astype(np.int8))
+    first, last = np.flatnonzero(edges > 0), np.flatnonzero(edges < 0) - 1
+    enough = found.unit_stops[last] - found.unit_starts[first] >= min_words
+    inside = np.zeros(len(marked) + 1, np.int64)
+    np.add.at(inside, first[enough], 1)
+    np.add.at(inside, last[enough] + 1, -1)
+    units = np.flatnonzero(np.cumsum(inside[:-1]))
+    if not len(units):
+        return units, np.zeros(0, bool)
+    _, index, inverse = np.unique(found.units[0], return_index=True, return_inverse=True)
+    return units, units > index[inverse[units]]
+
+
+def _marked_rows(rows: DataFrame, units: Bitmap, anchors: Bitmap, min_words: int) -> DataFrame:
+    schema = T.StructType([rows.schema["doc_id"], *T.StructType.fromDDL(ROWS).fields])
+
+    def block(batch: pa.RecordBatch, row: int, found: Found, of_units: Callable, of_anchors: Callable):
+        chosen, again = _unit_rows(found, of_units(found.units[0]), min_words)
+        shared = np.flatnonzero(of_anchors(found.anchors))
+        low, high = found.again_windows() if len(found.windows) else (chosen[:0], chosen[:0])
+        counts = [len(chosen), len(shared), len(low)]
+        n = sum(counts)
+        if not n:
+            return None
+        starts, stops = found.words.characters()
+        lo = np.concatenate([found.unit_starts[chosen], found.lows[shared], low])
+        hi = np.concatenate([found.unit_stops[chosen] - 1, found.highs[shared], high])
+        last = hi + np.repeat([0, PASSAGE_WORDS - 1, PASSAGE_WORDS - 1], counts)
+        zeros = [np.zeros(len(low), np.uint64)]
+        digests = [np.concatenate([found.units[j][chosen], found.segments[j][shared], *zeros]) for j in (0, 1)]
+        own = np.concatenate([np.zeros(len(chosen), np.uint64), found.anchors[shared], *zeros])
+        sizes = (found.highs - found.lows + 1)[shared]
+        offsets = np.zeros(n + 1, np.int32)
+        offsets[len(chosen) + 1 : len(chosen) + 1 + len(shared)] = np.cumsum(sizes)
+        offsets[len(chosen) + 1 + len(shared) :] = sizes.sum()
+        inside = np.repeat(found.lows[shared] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        lists = (
+            found.windows[inside].view(np.int64), starts[inside].astype(np.int32),
+            stops[inside + PASSAGE_WORDS - 1].astype(np.int32),
+        )
+        taken = pa.array(np.full(n, row))
         return pa.RecordBatch.from_arrays(
             [batch.column(0).take(taken), batch.column(1).take(taken),
-             *[pa.array(c).cast(t) for c, t in zip(columns, types, strict=True)]],
+             pa.array(np.repeat(np.arange(3), counts).astype(np.int8)), pa.array(own.view(np.int64)),
+             *[pa.array(d.view(np.int64)) for d in digests],
+             pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)),
+             pa.array(starts[lo].astype(np.int32)), pa.array(stops[last].astype(np.int32)),
+             pa.array(np.concatenate([again, np.ones(n - len(chosen), bool)])),
+             *[pa.ListArray.from_arrays(pa.array(offsets), pa.array(v)) for v in lists]],
             names=schema.names,
         )
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tests = units.test(), anchors.test()
         for batch in batches:
-            owner, parts, n = [], [], 0
-            for row, text in enumerate(texts_of(batch)):
-                own = batch.column(3)[row].values.to_numpy().view(np.uint64)
-                part = windows_of(text, own)
-                if len(part[0]):
-                    owner.append(row)
-                    parts.append(part)
-                    n += len(part[0])
+            held, n = [], 0
+            for row, text in enumerate(bytes_of(batch)):
+                part = block(batch, row, Found.of(text), *tests)
+                if part is not None:
+                    held.append(part)
+                    n += part.num_rows
                 if n >= FLUSH_ROWS:
-                    yield joined(batch, owner, parts)
-                    owner, parts, n = [], [], 0
-            if parts:
-                yield joined(batch, owner, parts)
-
-    texts = rows.join(wanted, "key").select("doc_id", "key", "text", "anchors")
-    return staged_batches(map_batches(texts, cut, schema), "windows")
-
-
-def _passages(rows: DataFrame, distinct: bool) -> DataFrame:
-    """Runs of words in windows that an earlier place has: bounds, first and last word, keep_id."""
-    windows = _windows(rows, distinct)
-    digest = ["d1", "d2"]
-    counts = windows.groupBy(*digest).agg(F.count("*").alias("n"), F.min("doc_id").alias("keep_id"))
-    repeats = windows.join(counts.where("n > 1").drop("n"), digest)
-    later = repeats.where(~F.col("doc_id").eqNullSafe(F.col("keep_id")) | F.col("again"))
-    places = Window.partitionBy("doc_id", "key").orderBy("first")
-    gap = F.coalesce(F.col("first") - F.lag("first").over(places) > PASSAGE_WORDS, F.lit(True))
-    numbered = later.withColumn("gap", gap.cast("int")).withColumn("run", F.sum("gap").over(places))
-    return numbered.groupBy("doc_id", "key", "run").agg(
-        F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("first").alias("first"),
-        (F.max("first") + (PASSAGE_WORDS - 1)).alias("last"), F.min("keep_id").alias("keep_id"),
-    ).drop("run")
+                    yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                    held, n = [], 0
+            if held:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+    return staged_batches(map_batches(rows.select("doc_id", "key", "text"), mark, schema), "marked")
+
+
+# -- spans ------------------------------------------------------------------------------
+
+def _later_units(marked: DataFrame, firsts: DataFrame, min_words: int) -> DataFrame:
+    """Runs of units that are later occurrences: bounds, words lo to hi, and keep_id."""
+    units = marked.where("kind = 0").select("doc_id", "key", "d1", "d2", "lo", "hi", "start", "stop", "again")
+    kept = units.join(firsts, ["d1", "d2"])
+    later = kept.where(F.col("again") | ~F.col("doc_id").eqNullSafe(F.col("keep_id"))).drop("d1", "d2", "again")
+    # Units of one run follow each other without a gap; equal rows have the same ones.
+    order = Window.partitionBy("doc_id", "key").orderBy("lo")
+    gap = F.coalesce(F.col("lo") > F.lag("hi").over(order) + 1, F.lit(True)).cast("int")
+    runs = later.withColumn("gap", gap).withColumn("run", F.sum("gap").over(order)).groupBy("doc_id", "key", "run")
+    return _bounds(runs).where(F.col("hi") - F.col("lo") + 1 >= min_words).drop("run")
+
+
+def _bounds(groups) -> DataFrame:
+    return groups.agg(
+        F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("lo").alias("lo"),
+        F.max("hi").alias("hi"), F.min("keep_id").alias("keep_id"),
+    )
+
+
+def _later_windows(marked: DataFrame) -> DataFrame:
+    """Runs of windows that an earlier place has: bounds, words lo to hi, and keep_id.
+
+    Every document with a segment's content but the earliest one has all its windows from that.
+    The earliest one has a window from another document only if a segment of the same anchor,
+    but other content, has it too: those alone are compared by windows.
+    """
+    segments = marked.where("kind = 1")
+    content = ["anchor", "d1", "d2"]
+    place = ["doc_id", "key", "lo", "hi", "start", "stop"]
+    contents = staged(
+        segments.groupBy(*content).agg(F.count("*").alias("n"), F.min("doc_id").alias("keep_id")), "contents"
+    )
+    several = contents.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    earliest = contents.drop("n").join(small_or_shuffled(several), "anchor", "left_semi")
+    expanded = (
+        segments.join(small_or_shuffled(earliest), content)
+        .where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+        .select("doc_id", "key", "anchor", "d1", "d2", "lo", F.posexplode(F.arrays_zip("windows", "starts", "stops")))
+        .select(
+            "doc_id", "key", *content, (F.col("lo") + F.col("pos")).alias("lo"),
+            F.col("col.windows").alias("window"), F.col("col.starts").alias("start"), F.col("col.stops").alias("stop"),
+        )
+    )
+    windows = staged(expanded, "windows")
+    least = windows.groupBy("anchor", "window").agg(F.count("*").alias("n"), F.min("doc_id").alias("keep_id"))
+    found = staged(
+        windows.join(least.where("n > 1").drop("n"), ["anchor", "window"])
+        .where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).drop("window"), "found"
+    )
+    # What a content's earliest document has from elsewhere, the others have from there too.
+    better = found.groupBy(*content).agg(F.min("keep_id").alias("better"))
+    others = contents.where("n > 1").drop("n").join(small_or_shuffled(better), content, "left").select(
+        *content, "keep_id", F.least("better", "keep_id").alias("origin")
+    )
+    whole = (
+        segments.select(*place, *content).join(others, content)
+        .where(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
+        .select(*place, F.col("origin").alias("keep_id"))
+    )
+    single = found.select("doc_id", "key", "lo", F.col("lo").alias("hi"), "start", "stop", "keep_id")
+    within = marked.where("kind = 2").select(*place, F.col("doc_id").alias("keep_id"))
+    return whole.unionByName(single).unionByName(within).withColumn("hi", F.col("hi") + (PASSAGE_WORDS - 1))
 
 
 def repeated_spans(
@@ -256,38 +379,21 @@ def repeated_spans(
     """The spans to remove: doc_id, key, start, stop, n_words, and the document kept in its place."""
     rows = id_and_text(docs, id_col, text_col)
     rows = rows.withColumn("key", row_key(F.col("doc_id"), F.col("text")))
-    units = _units(rows)
-    per_document = units.where("unit = 0").groupBy("key").agg(F.count("*").alias("n"))
-    distinct = not per_document.where("n > 1").isEmpty()
-    if distinct:
-        units = units.dropDuplicates(["key", "unit"])
-    digest = ["d1", "d2"]
-    # Both sides are shuffled by digest at every size; adaptive execution splits hot ones.
-    counts = units.groupBy(*digest).agg(F.count("*").alias("n"), F.min("doc_id").alias("keep_id"))
-    repeats = units.join(counts.where("n > 1").drop("n"), digest)
-    document = Window.partitionBy("doc_id", "key")
-    within = F.row_number().over(Window.partitionBy("doc_id", "key", *digest).orderBy("unit"))
-    placed = repeats.withColumn("within", within)
-    later = placed.where(~(F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("within") == 1)))
-    numbered = later.withColumn("run", F.col("unit") - F.row_number().over(document.orderBy("unit")))
-    runs = numbered.groupBy("doc_id", "key", "run").agg(
-        F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("first").alias("first"),
-        F.max("last").alias("last"), F.sum("n_words").alias("n_words"), F.min("keep_id").alias("keep_id"),
-    ).drop("run").withColumn("passage", F.lit(False))
-    passages = _passages(rows, distinct).withColumn("n_words", F.expr("cast(last - first + 1 as bigint)"))
-    spans = runs.unionByName(passages.withColumn("passage", F.lit(True))).where(F.col("n_words") >= min_words)
-    # Runs do not overlap each other, nor do passages.
-    before = document.orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
-    apart = F.coalesce(F.col("start") >= F.max("stop").over(before), F.lit(True)).cast("int")
-    merged = spans.withColumn("apart", apart).withColumn(
-        "span", F.sum("apart").over(document.orderBy("start", "stop"))
-    ).groupBy("doc_id", "key", "span").agg(
-        F.min("start").alias("start"), F.max("stop").alias("stop"),
-        F.when(F.max("passage"), (F.max("last") - F.min("first") + 1).cast("bigint"))
-        .otherwise(F.sum("n_words")).alias("n_words"),
-        F.min("keep_id").alias("keep_id"),
+    counted = _digests(rows).groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min("doc_id").alias("keep_id"))
+    repeated = staged_batches(counted.where("n > 1").drop("n"), "repeated")
+    firsts, anchors = repeated.where("d2 IS NOT NULL"), repeated.where("d2 IS NULL")
+    marked = _marked_rows(rows, Bitmap.of(firsts), Bitmap.of(anchors), min_words)
+    spans = _later_units(marked, firsts, min_words).unionByName(_later_windows(marked))
+    # Spans that overlap, or follow each other word by word, are one.
+    order = Window.partitionBy("doc_id", "key").orderBy("lo", "hi")
+    before = F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    apart = F.coalesce(F.col("lo") > before + 1, F.lit(True)).cast("int")
+    merged = _bounds(
+        spans.withColumn("apart", apart).withColumn("span", F.sum("apart").over(order)).groupBy("doc_id", "key", "span")
+    )
+    return merged.select(
+        "doc_id", "key", "start", "stop", (F.col("hi") - F.col("lo") + 1).cast("bigint").alias("n_words"), "keep_id"
     )
-    return merged.drop("span")
 
 
 def without_repeats(
@@ -298,26 +404,24 @@ def without_repeats(
     A column `n_chars` is set to the new length where the text changed.
     """
     spans = staged(repeated_spans(docs, id_col, text_col, min_words), "spans")
-    cuts = spans.groupBy("key").agg(
-        F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("_cuts")
-    ).withColumnRenamed("key", "_cut_key")
-    text = F.coalesce(docs[text_col], F.lit(""))
-    joined = docs.join(small_or_shuffled(cuts), row_key(docs[id_col], text) == F.col("_cut_key"), "left")
-
-    def before(cut: F.Column, i: F.Column) -> F.Column:
-        start = F.when(i == 0, F.lit(0)).otherwise(F.get("_cuts", i - 1)["stop"])
+    cuts = spans.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("cuts"))
+    # The row travels in one struct, so that none of its names can clash with another.
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    text = F.coalesce(F.col("row")[text_col], F.lit(""))
+    key = row_key(F.col("row")[id_col], text)
+    joined = rows.withColumn("key", key).join(small_or_shuffled(cuts), "key", "left")
+    row, found = joined["row"], joined["cuts"]
+    text = F.coalesce(row[text_col], F.lit(""))
+
+    def before(cut: Column, i: Column) -> Column:
+        start = F.when(i == 0, F.lit(0)).otherwise(F.get(found, i - 1)["stop"])
         return F.substring(text, start + 1, cut["start"] - start)
 
-    kept = F.array_join(F.transform("_cuts", before), "")
-    tail = F.substring(text, F.element_at("_cuts", -1)["stop"] + 1, F.length(text))
-    changed = F.col("_cuts").isNotNull()
-    shortened = F.when(changed, F.concat(kept, tail)).otherwise(docs[text_col])
-    columns = []
-    for name in docs.columns:
-        column = docs[name]
-        if name == text_col:
-            column = shortened
-        elif name == "n_chars":
-            column = F.when(changed, F.length(shortened).cast("bigint")).otherwise(column)
-        columns.append(column.alias(name))
-    return joined.select(*columns)
+    kept = F.array_join(F.transform(found, before), "")
+    tail = F.substring(text, F.element_at(found, -1)["stop"] + 1, F.length(text))
+    shortened = F.when(found.isNotNull(), F.concat(kept, tail)).otherwise(row[text_col])
+    values = {name: row[name] for name in docs.columns} | {text_col: shortened}
+    if "n_chars" in values:
+        n_chars = F.length(shortened).cast("bigint")
+        values["n_chars"] = F.when(found.isNotNull(), n_chars).otherwise(row["n_chars"])
+    return joined.select(*[column.alias(name) for name, column in values.items()])

@@ -80,12 +80,28 @@ def test_linked_sets_share_an_entry(size, seed, percent):
     keep = a[rng.permutation(len(a))[: len(a) - rng.integers(0, 1 + rule.difference(2 * len(a)))]]
     b = np.unique(np.append(keep, rng.integers(0, 2**63, rng.integers(0, 1 + len(a) - len(keep))).astype(np.uint64)))
     if len(b) and rule.links(a, b) and not np.array_equal(a, b):
-        assert np.intersect1d(rule.index_entries(a), rule.index_entries(b)).size
+        # Whatever the ranks and the share of recurring shingles, which choose the kind of index.
+        table = rng.integers(0, 3, 1 << 8)
+        ranks_a, ranks_b = (table[(x & np.uint64(255)).astype(np.int64)] for x in (a, b))
+        for share in (0.0, 0.3, 1.0):
+            both = rule.index_entries(a, ranks_a, share), rule.index_entries(b, ranks_b, share)
+            assert np.intersect1d(*both).size
     xor = jaccard_join.sketch(a) ^ jaccard_join.sketch(b)
     bits = sum(bin(int(x) & (2**64 - 1)).count("1") for x in xor)
     assert bits <= len(a) + len(b) - 2 * len(np.intersect1d(a, b))
 
 
+def test_allocation_follows_the_estimated_cost():
+    few, many = jaccard_join.Similarity(3, 90), jaccard_join.Similarity(5, 80)
+    hashes = np.sort(np.random.default_rng(1).integers(0, 2**63, 395).astype(np.uint64) * np.uint64(2))
+    ranks = np.zeros(395, np.int32)
+    assert len(many.index_entries(hashes, ranks, 0.3)) == many.prefix(395) == 80
+    assert len(few.index_entries(hashes, ranks, 0.3)) > few.prefix(395)
+    ranks[:100] = 1  # in many documents: not among the first
+    with_ranks = many.index_entries(hashes, ranks, 0.3)
+    assert not np.intersect1d(with_ranks, many.index_entries(hashes[:100], np.zeros(100, np.int32), 0.3)).size
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(100, 140)]
     star = [(7, i) for i in range(8, 30)]
@@ -109,12 +125,27 @@ PASSAGE = (
 )
 
 
+def plain_units(text):
+    """Bounds and words of each line's sentences, read word by word."""
+    unit = []
+    for match in re.finditer(r"[^\x20\x09-\x0D]+", text):
+        if unit and "\n" in text[unit[-1].end() : match.start()]:
+            yield unit[0].start(), unit[-1].end(), [m.group().lower() for m in unit]
+            unit = []
+        unit.append(match)
+        if match.group()[-1] in ".!?":
+            yield unit[0].start(), unit[-1].end(), [m.group().lower() for m in unit]
+            unit = []
+    if unit:
+        yield unit[0].start(), unit[-1].end(), [m.group().lower() for m in unit]
+
+
 def brute_spans(pairs, min_words):
     seen, rows = set(), []
     order = sorted(pairs, key=lambda p: (p[0] is None, p[0] or 0))
     for doc_id, text in order:
         run = []
-        for start, stop, words in [*substring_dedup.units_of(text or ""), (0, 0, None)]:
+        for start, stop, words in [*plain_units(text or ""), (0, 0, None)]:
             key = words and " ".join(words)
             if key and key in seen:
                 run.append((start, stop, len(words)))
@@ -127,7 +158,10 @@ def brute_spans(pairs, min_words):
 
 
 def test_spans_equal_brute_force(docs):
-    assert [(a, b) for a, b, _ in substring_dedup.units_of("No. One two three four five six. A b.\nC d")] == [(0, 3), (4, 41)]
+    text = "No. One two (e.g. three) four?! Ünï\x0bx\n\nC d"
+    words = substring_dedup.Words.of(text.encode())
+    starts = words.characters()[0][words.unit_starts()]
+    assert list(starts) == [a for a, _, _ in plain_units(text)] == [0, 4, 18, 32, 39]
     rng = random.Random(5)
     sentences = [" ".join(f"s{i}w{j}" for j in range(rng.randrange(2, 15))) + "." for i in range(60)]
     pairs = []
@@ -182,12 +216,49 @@ def test_long_repeats_are_found_wherever_they_start_and_end(docs):
     assert {i for i, _ in wanted} >= {3, 4, 5, 6, 7, 8, 21, 22, 24} and 23 not in {i for i, _ in wanted}
 
 
+def test_short_repeats_of_whole_lines_and_sentences(docs):
+    """Of 40 words that repeat in other surroundings, as lines or sentences of any length."""
+    kinds = {
+        "lines of 4": "\n".join(" ".join(f"a{i}b{j}" for j in range(4)) for i in range(10)),
+        "lines of 13": "\n".join(" ".join(f"c{i}d{j}" for j in range(13)) for i in range(3)),
+        "sentence of 40": " ".join(f"e{i}" for i in range(40)) + ".",
+        "sentences of 2": " ".join(f"f{i} g{i}." for i in range(20)),
+    }
+    for passage in kinds.values():
+        pairs = [(i, f"Lead {i} in here.\n{passage}\nOwn end of {i}") for i in range(4)]
+        spans = [(r.doc_id, r.start, r.stop) for r in substring_dedup.repeated_spans(docs(*pairs)).collect()]
+        places = {i: text.index(passage) for i, text in pairs}
+        assert sorted(spans) == [(i, places[i], places[i] + len(passage)) for i in (1, 2, 3)]
+
+
+def test_names_of_any_kind_pass_through_the_stage(spark):
+    names = "doc_id long, text string, cuts int, key int, row int, start int, n_chars long, span int, keep_id int"
+    passage = " ".join(f"w{i}" for i in range(60))
+    rows = spark.createDataFrame([(i, f"{passage} end{i}", 1, 2, 3, 4, 5, 6, 7) for i in range(2)], names)
+    out = sorted(substring_dedup.without_repeats(rows).collect())
+    assert out[0] == rows.where("doc_id = 0").first() and out[1].row == 3
+    assert out[1].text == " end1" and out[1].n_chars == 5 and out[1].cuts == 1 and out[1].keep_id == 7
+
+
+def test_full_bitmaps_and_null_ids_change_no_span(docs, monkeypatch):
+    rng = random.Random(9)
+    lines = [" ".join(f"l{i}w{j}" for j in range(rng.randrange(1, 9))) for i in range(50)]
+    pairs = [(i if i % 7 else None, "\n".join(rng.choices(lines, k=25))) for i in range(40)]
+    wanted = sorted(map(repr, substring_dedup.repeated_spans(docs(*pairs)).drop("key").collect()))
+    monkeypatch.setattr(substring_dedup, "SLOT_BITS", 7)
+    assert sorted(map(repr, substring_dedup.repeated_spans(docs(*pairs)).drop("key").collect())) == wanted
+    known = [(i, text) for i, text in pairs if i is not None]
+    found = substring_dedup.repeated_spans(docs(*known)).collect()
+    spans = [(r.doc_id, r.start, r.stop) for r in found]
+    assert covered_words(known, spans) == brute_words(known)
+
+
 def test_passages_are_cut_where_they_repeat(docs):
     first, second = f"Before é\U0001f642 x. {PASSAGE} After.", f"Other start without end {PASSAGE}\nTail"
     rows = docs((1, first), (2, second), (3, None), (4, ""), (5, "A short one."), (6, "A short one."))
     out = {r.doc_id: r for r in substring_dedup.without_repeats(rows).collect()}
     assert out[1].text == first and out[5].text == out[6].text == "A short one."
-    assert out[2].text == "Other start without end This passage has many words in it.  No, it has a last sentence of some length too.\nTail"
+    assert out[2].text == "Other start without end This passage has many words in it. \nTail"
     assert out[3].text is None and out[4].text == "" and out[2].key == "k"
 
 
