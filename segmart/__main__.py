@@ -18,6 +18,8 @@ import json
 from collections.abc import Sequence
 from datetime import date
 
+from pyspark.sql import DataFrame, SparkSession
+
 from segmart import fixed_values as fv
 from segmart.plans import jobs, versioned
 from segmart.session import build_session
@@ -31,6 +33,11 @@ def class_count(text: str) -> tuple[str, int]:
     return name, int(count)
 
 
+def read_map(spark: SparkSession, path: str) -> DataFrame:
+    """A lookup map: one pair a line in a `.jsonl` file, else one JSON object."""
+    return (lists.read_lookup_lines if path.endswith(".jsonl") else lists.read_lookup)(spark, path)
+
+
 def parser() -> argparse.ArgumentParser:
     root = argparse.ArgumentParser(prog="segmart")
     commands = root.add_subparsers(dest="command", required=True)
@@ -54,14 +61,15 @@ def parser() -> argparse.ArgumentParser:
     clean.add_argument("--provinces", help="CSV with a city column; the built-in list if not given")
     clean.add_argument("--run-date", type=date.fromisoformat, default=date.today())
     clean.add_argument("--overwrite", choices=("dynamic", "static"), default="dynamic")
+    clean.add_argument("--rejects", help="folder for the rows that the strict profile rejects")
     clean.add_argument("--single-line", action="store_true", help="no line breaks inside values")
 
     star = commands.add_parser("star", help="cleaned table to dimensions, fact and insight")
     star.add_argument("--clean", required=True)
     star.add_argument("--star", required=True)
     star.add_argument("--known", help="star of an earlier run whose ids are kept")
-    star.add_argument("--regions", help="JSON object of province to region; built-in if not given")
-    star.add_argument("--categories", help="JSON object of occupation to category")
+    star.add_argument("--regions", help="province to region, a JSON object or .jsonl with a pair a line; built-in if not given")
+    star.add_argument("--categories", help="occupation to category, in the same forms")
     star.add_argument("--repeated", choices=("stop", "aside"), default="stop", help="ids with several names")
     star.add_argument("--run-date", type=date.fromisoformat, default=date.today())
 
@@ -104,10 +112,10 @@ def main(argv: Sequence[str] | None = None) -> None:
         provinces = lists.read_city_list(spark, args.provinces) if args.provinces else fv.PROVINCES
         jobs.clean_job(
             spark, args.landing, args.clean, args.profile, args.run_date, provinces,
-            args.overwrite, multi_line=not args.single_line,
+            args.overwrite, multi_line=not args.single_line, rejects_root=args.rejects,
         )
     elif args.command == "star":
-        maps = [p and lists.read_lookup(spark, p) for p in (args.regions, args.categories)]
+        maps = [p and read_map(spark, p) for p in (args.regions, args.categories)]
         jobs.star_job(spark, args.clean, args.star, args.run_date, args.known, *maps, args.repeated)
     elif args.command == "check":
         jobs.failed_constraints(spark, args.star).show(100, truncate=False)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from segmart import fixed_values as fv
 from segmart.functions import documents as docs
 from segmart.functions import lookups, text
-from segmart.operators import dedupe, insight, integrity, keys, rules, star
+from segmart.operators import dedupe, insight, integrity, keys, rejects, rules, star
 from segmart.operators.delta_check import batch_report
 from segmart.operators.upsert import upsert, upsert_star
 from segmart.plans import fixture, jobs, versioned
@@ -236,6 +236,26 @@ def clean_tag_json(spark, sf_dir):
     return rules.clean_tag(landing(spark, sf_dir)).select("cleaned_data")
 
 
+def clean_rejects(spark, sf_dir):
+    """The rows that the strict profile rejects, from the table beside the kept ones."""
+    root = scratch_path(spark, "ledger")
+    rejects.write_ledger(rejects.ledger(landing(spark, sf_dir)), root)
+    found = rejects.read_rejected(spark, root)
+    return found.select("_id", "fail_bits", F.array_join("reasons", ",").alias("reasons"))
+
+
+def load_append(spark, sf_dir):
+    """Ids landed by two loads, the second of which brings half of the first one's ids again."""
+    users, root = users_raw(spark, sf_dir), scratch_path(spark, "append")
+    number = F.col("id").cast("bigint")
+    parts = users.where(number % 3 != 0), users.where(number % 2 == 0)
+    for i, part in enumerate(parts):
+        landing_files.write_users_csv(part.withColumn("name", F.concat("name", F.lit(f" of load {i + 1}"))), f"{root}/csv{i}")
+        jobs.load_job(spark, f"{root}/csv{i}", f"{root}/landing", append=i > 0)
+    landed = landing_files.read_landing(spark, f"{root}/landing")
+    return docs.parse_documents(landed, fv.LANDING_COLUMN, ["_id", "name"])
+
+
 def valid_province_join(spark, sf_dir):
     rows = users_raw(spark, sf_dir).select("id", "address")
     return rules.valid_province_rows(rows, lists.city_list(spark))
@@ -294,12 +314,11 @@ def dim_address_wide(spark, sf_dir):
 
 
 def region_map(spark, sf_dir):
-    """A map of the parts' names to their brands, written to a JSON file and read back."""
-    pairs = table(spark, sf_dir, "part").groupBy("p_name").agg(F.min("p_brand").alias("value"))
-    entries = F.map_from_entries(F.collect_list(F.struct("p_name", "value")))
+    """A map of the parts' names to their brands, written to files of one pair a line and read back."""
+    pairs = table(spark, sf_dir, "part").groupBy(F.col("p_name").alias("key")).agg(F.min("p_brand").alias("value"))
     path = scratch_path(spark, "regions")
-    pairs.agg(F.to_json(entries).alias("value")).write.text(path)
-    return lists.read_lookup(spark, path)
+    lists.write_lookup_lines(pairs, path)
+    return lists.read_lookup_lines(spark, path)
 
 
 def province_region_table(spark, sf_dir):
@@ -500,9 +519,9 @@ QUERIES = {
         json_parse_guard, record_to_json, schema_census, schema_infer, typeof_distinct,
         lookup_explode,
         rule_required, rule_email_format, rule_optional_defaults, rule_gender, rule_age,
-        rule_address, clean_strict, clean_sentinel, clean_tag, clean_tag_json,
+        rule_address, clean_strict, clean_sentinel, clean_tag, clean_tag_json, clean_rejects,
         valid_province_join,
-        dedupe_email, dedupe_email_sentinel, insert_ignore, surrogate_keys,
+        dedupe_email, dedupe_email_sentinel, insert_ignore, load_append, surrogate_keys,
         surrogate_keys_incremental,
         dim_user, dim_address, dim_address_wide, province_region_table, dim_occupation, dim_age_group, fct_user,
         insight_age, insight_region, insight_occupation, insight_gender, segment_insight,

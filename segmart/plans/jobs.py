@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmart import fixed_values as fv
-from segmart.functions.documents import parse_documents, to_documents
+from segmart.functions.documents import to_documents
 from segmart.functions.text import null_if_blank
-from segmart.operators import star
+from segmart.operators import rejects, star
 from segmart.operators.dedupe import accepted_rows, dedupe_email
 from segmart.operators.delta_check import batch_report, refuse_violations
 from segmart.operators.insight import segment_insight_from_star
@@ -18,9 +18,9 @@ from segmart.operators.integrity import star_report, with_int_keys
 from segmart.operators.joins import lookup_join
 from segmart.operators.rules import PROFILES, Provinces
 from segmart.operators.upsert import upsert_star
-from segmart.session import staged
+from segmart.session import scratch_path, staged
 from segmart.sources import jdbc, tables
-from segmart.sources.landing import read_landing, read_users_csv, write_landing
+from segmart.sources.landing import index_landing, landed_ids, read_landing, read_users_csv, write_landing
 
 # Profiles whose records are unique per e-mail afterwards; the tag profile keeps every row.
 DEDUPED_PROFILES = ("strict", "sentinel")
@@ -36,19 +36,20 @@ def load_job(
     """User CSV files to landing files of JSON documents, each user id at most once.
 
     A row without an id gets a unique one, as a document store would give it. With
-    `append`, ids that the landing files already hold are left out. Files without line
-    breaks inside values are split over tasks with `multi_line=False`.
+    `append`, ids that the landing files already hold are left out: they come from the table
+    of ids beside the files, and only files that it does not know are parsed. Files without
+    line breaks inside values are split over tasks with `multi_line=False`.
     """
     users = read_users_csv(spark, users_csv, multi_line)
     users = users.withColumn("id", F.coalesce(null_if_blank(F.col("id")), F.expr("uuid()")))
     if append:
-        landing = read_landing(spark, landing_path, multi_line=multi_line)
-        held = parse_documents(landing, fv.LANDING_COLUMN, ["_id"])
-        held = held.withColumnRenamed("_id", "id").where("id IS NOT NULL")
+        index_landing(spark, landing_path, multi_line=multi_line)
+        held = landed_ids(spark, landing_path).select("id")
     else:
         held = spark.createDataFrame([], "id string")
     once = accepted_rows(held, users, key="id")
     write_landing(to_documents(once), landing_path, mode="append" if append else "overwrite")
+    index_landing(spark, landing_path, multi_line=multi_line)
 
 
 def cleaned(
@@ -68,10 +69,24 @@ def clean_job(
     provinces: Provinces = fv.PROVINCES,
     overwrite: str = "dynamic",
     multi_line: bool = True,
+    rejects_root: str | None = None,
 ) -> None:
-    """Landing files to the cleaned table's partition of the run date."""
+    """Landing files to the cleaned table's partition of the run date.
+
+    With `rejects_root` the rows that the strict profile rejects go to that folder's partition of
+    the date, with their file and the rules they break; the documents are parsed once for both.
+    """
     landing = read_landing(spark, landing_path, multi_line=multi_line)
-    records = cleaned(landing, profile, provinces)
+    if rejects_root is None:
+        records = cleaned(landing, profile, provinces)
+    elif profile != "strict":
+        raise ValueError("only the strict profile has a table of rejected rows")
+    else:
+        split = scratch_path(spark, "ledger")
+        source = F.col("_metadata.file_path")
+        rejects.write_ledger(rejects.ledger(landing, provinces, source=source), split)
+        records = dedupe_email(rejects.read_kept(spark, split))
+        tables.write_run_date(rejects.read_rejected(spark, split), rejects_root, run_date or date.today())
     if overwrite == "dynamic":
         tables.write_run_date(records, clean_root, run_date or date.today())
     else:

@@ -364,6 +364,27 @@ FROM (SELECT event_id, props, unnest(json_keys(props::json)) AS key FROM events)
     "clean_sentinel": with_(SENTINEL, "SELECT * FROM sentinel"),
     "clean_tag": with_(TAGGED, f"SELECT {CLEAN} FROM tagged"),
     "clean_tag_json": with_(TAGGED, f"SELECT cast({TAG_JSON} AS varchar) AS cleaned_data FROM tagged"),
+    "clean_rejects": with_(
+        f"""{AGED},
+broken AS (
+  SELECT _id,
+    [_id IS NULL, name IS NULL, email IS NULL, gender IS NOT NULL AND NOT ({KNOWN_GENDER}),
+     age IS NOT NULL AND good_age IS NULL, address IS NOT NULL AND trim(address) NOT IN {PROVINCES}] AS rules
+  FROM aged
+),
+named AS (
+  SELECT _id, rules, ['_id', 'name', 'email', 'gender', 'age', 'address'] AS names FROM broken
+)""",
+        "SELECT _id, cast(list_sum(list_transform(range(1, 7), lambda i: "
+        "CASE WHEN rules[i] THEN 1 << i ELSE 0 END)) AS integer) AS fail_bits, "
+        "array_to_string(list_filter(names, lambda x, i: rules[i]), ',') AS reasons "
+        "FROM named WHERE list_contains(rules, true)",
+    ),
+    "load_append": with_(
+        USERS_RAW,
+        "SELECT id AS _id, name || ' of load ' || CASE WHEN cast(id AS bigint) % 3 <> 0 THEN '1' ELSE '2' END AS name "
+        "FROM users_raw WHERE cast(id AS bigint) % 3 <> 0 OR cast(id AS bigint) % 2 = 0",
+    ),
     "valid_province_join": with_(
         USERS_RAW, f"SELECT id, address FROM users_raw WHERE trim(address) IN {PROVINCES}"
     ),

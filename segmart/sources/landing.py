@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmart import fixed_values as fv
+from segmart.functions.documents import parse_documents
 
 QUOTING = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 KEEP_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
@@ -64,3 +68,41 @@ def write_users_csv(
     """User CSV with header, UTF-8, inner and outer spaces kept."""
     writer = users.select(*fv.RAW_USER_FIELDS).write.options(**QUOTING, **KEEP_SPACES)
     writer.option("maxRecordsPerFile", rows_per_file).mode(mode).csv(path)
+
+
+# The table of ids lies in the landing folder, under a name that readers of the folder pass over.
+IDS = "_ids"
+ID_ROWS = "id string, file string"
+
+
+def landed_ids(spark: SparkSession, path: str) -> DataFrame:
+    """(id, file): the ids that landing files are known to hold; a file without ids has a null one."""
+    try:
+        return spark.read.schema(ID_ROWS).parquet(f"{path}/{IDS}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], ID_ROWS)
+
+
+def index_landing(
+    spark: SparkSession, path: str, column: str = fv.LANDING_COLUMN, multi_line: bool = True
+) -> DataFrame:
+    """Add the ids of files that the table of ids does not know yet, and return those files' names.
+
+    Files are parsed once, when they are new, whoever wrote them. Each has a row at least, so
+    one without a single id is known too. The driver holds file names, as any reader's does.
+    """
+    known = {row["file"] for row in landed_ids(spark, path).select("file").distinct().collect()}
+    new = [name for name in read_landing(spark, path, column, multi_line).inputFiles() if base_name(name) not in known]
+    if new:
+        rows = read_landing(spark, new, column, multi_line).withColumn("file", F.col("_metadata.file_name"))
+        found = parse_documents(rows, column, ["_id"], keep=["file"]).where("_id IS NOT NULL")
+        marks = spark.createDataFrame([(None, base_name(name)) for name in new], ID_ROWS)
+        ids = found.select(F.col("_id").alias("id"), "file").unionByName(marks)
+        ids.sortWithinPartitions("id").write.mode("append").parquet(f"{path}/{IDS}")
+    return spark.createDataFrame([(base_name(name),) for name in new], "file string")
+
+
+def base_name(path: str) -> str:
+    return unquote(path.rsplit("/", 1)[-1])

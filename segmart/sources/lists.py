@@ -39,12 +39,35 @@ def city_list(spark: SparkSession, cities: Sequence[str] = fv.PROVINCES) -> Data
     return spark.range(1).select(F.explode(F.array(*map(F.lit, cities))).alias("city"))
 
 
+# A file with one JSON object is one value of one task, so its size is bounded.
+MAX_OBJECT_BYTES = 64 << 20
+
+
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:
-    """Two-column table (key, value) from a file that holds one JSON object of texts."""
+    """Two-column table (key, value) from a file that holds one JSON object of texts.
+
+    A larger file than `MAX_OBJECT_BYTES` is an error; `read_lookup_lines` has no limit.
+    """
+    largest = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]
+    if (largest or 0) > MAX_OBJECT_BYTES:
+        raise ValueError(f"{path} has {largest} bytes: write one pair per line instead")
     text = spark.read.text(path, wholetext=True)
     return lookup_entries(text, "value")
 
 
+def read_lookup_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Two-column table (key, value) from files with one JSON object `{"key": .., "value": ..}` a line.
+
+    Files of any size are split over tasks. A line that is no such object is an error.
+    """
+    return spark.read.schema("key string, value string").option("mode", "FAILFAST").json(path)
+
+
+def write_lookup_lines(pairs: DataFrame, path: str) -> None:
+    """(key, value) rows to such files, in parallel."""
+    pairs.select("key", "value").write.mode("overwrite").json(path)
+
+
 def lookup_entries(df: DataFrame, column: str, *keep: str) -> DataFrame:
     """Rows (key, value) of the JSON objects in `column`, after the columns to keep."""
     as_map = F.from_json(F.col(column), "map<string,string>")
