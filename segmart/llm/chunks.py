@@ -17,7 +17,9 @@ _CHUNK = re.compile(rf"{_WHITE}*[\S\x1c-\x1f]+|{_WHITE}+")
 # White space directly before a space or line break: cutting at each of those would be wrong.
 _RUN = re.compile(r"\s[ \n]|[\x1c-\x1f]")
 
+# A task remembers so many chunks, none of them longer than this.
 CACHED_CHUNKS = 250_000
+LONGEST_CACHED = 64
 
 
 class ChunkEncoder(dict):
@@ -39,6 +41,8 @@ class ChunkEncoder(dict):
             ids = self._encode(
                 key[:-1] if key[-1:] == " " else key if key[:1] == "\n" else " " + key
             )
+        if len(key) > LONGEST_CACHED:
+            return ids
         if len(self) >= self._limit:
             self._older = dict(self)
             self.clear()

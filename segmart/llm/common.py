@@ -44,6 +44,14 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have, whatever the case of letters."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def normalised(text: Column) -> Column:
     """The text with every run of white space replaced by one space."""
     return F.regexp_replace(text, SPACE_RUN, " ")

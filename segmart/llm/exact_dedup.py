@@ -12,10 +12,11 @@ A null id ranks after all others. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from segmart.llm.common import id_and_text, normalised, row_key, small_or_shuffled
+from segmart.llm.common import free_name, id_and_text, normalised, row_key, small_or_shuffled
 from segmart.session import staged
 
 PREFIX_CHARS = 256
@@ -94,22 +95,22 @@ def groups_with_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` whose document stays, all columns as they were.
 
-    Of rows that repeat both id and text one stays, which costs a shuffle of whole rows
-    and is done only where such rows exist.
+    Decided over narrow rows: documents that go are left out by key. Of rows that repeat both id and
+    text one stays, the one with the least hash of all columns that can be hashed; they alone are
+    grouped, and a task passes on one of them at most.
     """
     decisions = staged(exact_groups(docs, id_col, text_col), "exact-groups")
-    dropped = decisions.where(~F.col("kept")).select(F.col("doc_id").alias("_dropped_id"))
-    same_id = docs[id_col].eqNullSafe(F.col("_dropped_id"))
-    repeated_ids = decisions.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    if repeated_ids.isEmpty() and decisions.where("copies > 1").isEmpty():
-        return docs.join(small_or_shuffled(dropped), same_id, "left_anti")
+    wanted = free_name(docs, "wanted_key")
     text = F.coalesce(docs[text_col], F.lit(""))
-    marked = docs.withColumn("_digest", F.sha2(normalised(text), 256))
-    first = F.row_number().over(_first_of_digest(docs[id_col]))
-    return marked.withColumn("_place", first).where("_place = 1").drop("_place", "_digest")
-
-
-def _first_of_digest(doc_id):
-    from pyspark.sql import Window
-
-    return Window.partitionBy("_digest").orderBy(doc_id.asc_nulls_last())
+    key = row_key(docs[id_col], normalised(text))
+
+    def keys(condition: Column) -> DataFrame:
+        return small_or_shuffled(decisions.where(condition).select(F.col("key").alias(wanted)))
+
+    repeated = F.col("kept") & (F.col("copies") > 1)
+    once = docs.join(keys(~F.col("kept") | repeated), key == F.col(wanted), "left_anti")
+    several = docs.join(keys(repeated), key == F.col(wanted), "left_semi")
+    hashable = [docs[f.name] for f in docs.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    row = F.struct(*[docs[c] for c in docs.columns])
+    one = several.groupBy(key.alias("key")).agg(F.min_by(row, F.xxhash64(*hashable)).alias("row"))
+    return once.unionByName(one.select("row.*"))

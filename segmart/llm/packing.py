@@ -101,17 +101,15 @@ def loose_bins(bins: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarr
 
 def _pack_shard(capacity: int, round_no: int, last: bool):
     def pack(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("length", "descending"), ("_key", "ascending")])
+        table = table.sort_by([("length", "descending"), ("number", "ascending")])
         lengths = table.column("length").to_numpy().astype(np.int64)
-        shard = table.column("_shard")[0].as_py()
+        shard = table.column("shard")[0].as_py()
         bins, offsets = best_fit_decreasing(lengths, capacity)
         loose = np.zeros(len(bins), bool) if last else loose_bins(bins, lengths, capacity)
         first = (round_no << 56) + (shard << LOCAL_BITS)
-        names = ["sequence_id", "offset", "_loose"]
-        kept = table.drop_columns([n for n in names if n in table.column_names])
-        for name, values in zip(names, (bins + first, offsets, loose), strict=True):
-            kept = kept.append_column(name, pa.array(values))
-        return kept
+        for name, values in zip(("sequence_id", "offset", "loose"), (bins + first, offsets, loose), strict=True):
+            table = table.append_column(name, pa.array(values))
+        return table
 
     return pack
 
@@ -119,28 +117,37 @@ def _pack_shard(capacity: int, round_no: int, last: bool):
 def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """The pieces with `sequence_id` and `offset`; input columns of these names are replaced.
 
-    `pieces` has a column `length` of 1 to `capacity`; all its other columns are carried.
+    `pieces` has a column `length` of 1 to `capacity`; all its other columns are carried, in one struct,
+    so that none of them clashes with the operator's own. Rows are numbered and dealt over the shards
+    by number, so equal rows are spread like any others.
     """
     carried = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
-    rest = pieces.select(*carried).withColumn("_key", F.xxhash64(*carried))
+    rest = staged(
+        pieces.select(
+            F.struct(*carried).alias("row"), pieces["length"].cast("bigint").alias("length"),
+            F.monotonically_increasing_id().alias("number"),
+        ),
+        "numbered",
+    )
     done: DataFrame | None = None
     n_pieces, round_no = rest.count(), 0
     while True:
         shards = max(1, -(-n_pieces // shard_pieces))
-        dealt = rest.withColumn("_shard", F.pmod(F.hash("_key", F.lit(round_no)), F.lit(shards)).cast("bigint"))
+        shard = F.pmod(F.xxhash64("number", F.lit(round_no)), F.lit(shards)).alias("shard")
+        dealt = rest.select("row", "length", "number", shard)
         schema = T.StructType(
             [*dealt.schema.fields, T.StructField("sequence_id", T.LongType()),
-             T.StructField("offset", T.LongType()), T.StructField("_loose", T.BooleanType())]
+             T.StructField("offset", T.LongType()), T.StructField("loose", T.BooleanType())]
         )
         packed = staged(
-            dealt.groupBy("_shard").applyInArrow(_pack_shard(capacity, round_no, shards == 1), schema),
+            dealt.groupBy("shard").applyInArrow(_pack_shard(capacity, round_no, shards == 1), schema),
             "packed",
         )
-        settled = packed.where(~F.col("_loose")).select(*carried, "sequence_id", "offset")
+        settled = packed.where(~F.col("loose")).select("row.*", "sequence_id", "offset")
         done = settled if done is None else done.unionByName(settled)
         if shards == 1:
             return done
-        rest = packed.where("_loose").select(*carried, "_key")
+        rest = packed.where("loose").select("row", "length", "number")
         n_pieces, round_no = rest.count(), round_no + 1
 
 

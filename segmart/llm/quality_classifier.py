@@ -30,6 +30,7 @@ from segmart.llm.labelled import labelled_sample
 FILTERS = 16
 WIDTH = 6
 CHUNK = 512
+GROUP = 512  # chunks whose responses are in memory at once
 EPOCHS = 6
 BATCH = 32
 RATE = 0.02
@@ -52,21 +53,21 @@ class ConvNet:
         """Per chunk and filter: the largest response and the place where it is reached."""
         raw = np.frombuffer(text if len(text) >= WIDTH else text + PADDING, np.uint8)
         n = len(raw) - WIDTH + 1
-        response = self.tables[0][raw[:n]]
-        for j in range(1, WIDTH):
-            response += self.tables[j][raw[j : n + j]]
-        n_chunks = -(-n // CHUNK)
+        n_chunks, length = -(-n // CHUNK), min(CHUNK, n)
         # The last chunk reaches back over full length, so that chunks are comparable.
         starts = np.minimum(np.arange(n_chunks) * CHUNK, max(0, n - CHUNK))
-        length = min(CHUNK, n)
-        view = np.lib.stride_tricks.as_strided(
-            response, (max(1, n - length + 1), length, FILTERS),
-            (response.strides[0], response.strides[0], response.strides[1]), writeable=False,
-        )
-        parts = [view[s] for s in starts]
-        top = np.array([part.max(0) for part in parts])
-        place = np.array([part.argmax(0) for part in parts]) + starts[:, None] if self.training else starts
-        return top + self.bias, place
+        top, place = [], []
+        for group in range(0, n_chunks, GROUP):  # a long text's responses are held in parts
+            own = starts[group : group + GROUP]
+            first, stop = own[0], own[-1] + length
+            response = self.tables[0][raw[first:stop]]
+            for j in range(1, WIDTH):
+                response += self.tables[j][raw[first + j : stop + j]]
+            parts = [response[s : s + length] for s in own - first]
+            top += [part.max(0) for part in parts]
+            if self.training:
+                place += [part.argmax(0) + s for part, s in zip(parts, own)]
+        return np.array(top) + self.bias, np.array(place) if self.training else starts
 
     def features(self, top: np.ndarray, n_bytes: int) -> np.ndarray:
         active = np.maximum(top, 0)

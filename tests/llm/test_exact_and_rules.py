@@ -41,6 +41,17 @@ def test_without_copies_of_unique_rows(docs):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 4]
 
 
+def test_without_copies_of_repeated_rows_and_names_of_any_kind(spark):
+    names = "doc_id long, text string, key int, row int, wanted_key int, copies int, _place int, _digest int"
+    rows = [(1, "a  b", i, 2, 3, 4, 5, 6) for i in range(3)] + [(2, "a b", 9, 2, 3, 4, 5, 6), (None, "c", 1, 2, 3, 4, 5, 6)] * 2
+    table = spark.createDataFrame(rows, names)
+    kept = exact_dedup.without_copies(table)
+    assert kept.columns == table.columns
+    found = sorted(kept.collect(), key=lambda r: r.text)
+    assert [(r.doc_id, r.text) for r in found] == [(1, "a  b"), (None, "c")]
+    assert all(tuple(r)[3:] == (2, 3, 4, 5, 6) for r in found) and found[0].key in (0, 1, 2)
+
+
 def brute_measures(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     windows = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))

@@ -20,7 +20,6 @@ from segmart.session import scratch_path
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -47,14 +46,18 @@ def test_both_encoders_equal_the_libraries(text):
     assert codec.encode(text) == wanted
     assert codec.decode(wanted) == text.encode()
     vocabulary = packing.Vocabulary.read(path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
-    assert np.frombuffer(vocabulary.encoder().ids(text), "<u4").tolist() == wanted
+    if "tokenizer" not in _cache:
+        _cache["tokenizer"] = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    # With the strings of added tokens, as the library has them by default.
+    with_added = _cache["tokenizer"].encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(vocabulary.encoder().ids(text), "<u4").tolist() == with_added
 
 
 _cache = {}
 
 
 def _encoding(ranks):
-    if not _cache:
+    if 0 not in _cache:
         _cache[0] = tiktoken.Encoding("own", pat_str=ranks.pattern, mergeable_ranks=ranks.table(), special_tokens={})
     return _cache[0]
 
@@ -171,3 +174,25 @@ def test_no_token_files(spark, docs, vocabulary):
     folder = scratch_path(spark, "files")
     manifest = token_files.write_token_files(docs(), folder, vocabulary)
     assert token_files.read_token_files(manifest, folder, T.LongType()).collect() == []
+
+
+def test_long_chunks_are_not_remembered(vocabulary):
+    encoder = vocabulary.encoder()
+    held = len(encoder._chunks)
+    for i in range(20):
+        encoder.ids(f"{i}" + "x" * 100_000)
+    assert len(encoder._chunks) == held
+
+
+def test_equal_pieces_are_spread_over_the_shards(spark):
+    names = "length int, row int, number int, shard int, _key int, loose boolean, sequence_id int"
+    rows = spark.range(30_000).selectExpr("100 AS length", "1 AS row", "2 AS number", "3 AS shard", "4 AS _key", "true AS loose", "5 AS sequence_id")
+    assert rows.columns == [n.split()[0] for n in names.split(", ")]
+    packed = packing.pack(rows, capacity=2048, shard_pieces=4_000)
+    assert packed.columns == [*rows.columns[:-1], "sequence_id", "offset"]
+    out = packed.groupBy("sequence_id").agg({"offset": "count"}).collect()
+    assert sum(r["count(offset)"] for r in out) == 30_000 and len(out) == 30_000 // 20
+    # Sequences of the first round carry their shard's number.
+    first = packed.where("sequence_id < 1L << 56").selectExpr(f"sequence_id >> {packing.LOCAL_BITS} AS s")
+    counts = [r["count"] for r in first.groupBy("s").count().collect()]
+    assert len(counts) > 4 and max(counts) < 2 * 4_000
