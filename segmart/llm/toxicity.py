@@ -1,15 +1,17 @@
 """Toxicity by compression distance: one zstandard dictionary per class.
 
-The ordinary dictionary is trained on ordinary text. Toxic documents are ordinary text but
-for a few words, so the toxic dictionary is made of the words many times more frequent in
-them, in front of the ordinary dictionary: the two differ in nothing else. Every document is
-cut into overlapping windows over its whole length; a window's distance is the bytes that
-the toxic dictionary saves. A logistic model over the largest distances and the share of
-windows beyond the calibrated threshold gives the probability.
-
-Dictionaries come from two thirds of the learning sample, threshold and weights from the
-rest. Defined results: null and empty texts have distance 0 everywhere and score low.
-Repeated rows get a row each. Without labelled rows every score is 0.5.
+The ordinary dictionary is trained on ordinary text, the toxic one on toxic text. Toxic documents
+are ordinary text but for some words, and a dictionary of their whole text would be much the
+same; so the toxic one is trained on the words of toxic documents that ordinary ones hardly have,
+and has the ordinary content behind them. Every document is cut into overlapping windows over its
+whole length; a window's distance is the bytes that the toxic dictionary saves. A logistic model
+over the largest distances, their mean and the share of windows beyond a threshold gives the
+probability.
+
+The weights are calibrated on documents that their dictionaries were not trained on: the sample
+is dealt over `FOLDS` parts, each compressed with dictionaries of the others. The dictionaries that
+score come from the whole sample. Defined results: null and empty texts have distance 0 everywhere
+and score low. Repeated rows get a row each. Without labelled rows every score is 0.5.
 """
 
 from __future__ import annotations
@@ -35,24 +37,23 @@ LEVEL = 9
 WINDOW_LOG = 17  # so that all of a dictionary is within reach
 DICTIONARY_BYTES = 64 << 10
 MIN_MATCH = 5
-MIN_SHARE = 0.02
-MIN_DOCS = 4
+# A word tells of toxic text if so many toxic documents have it, this share of them at least, and it is
+# so many times more frequent in them.
+MIN_DOCS = 3
+MIN_SHARE = 0.005
 RATIO = 20.0
-PART_RATIO = 4.0
-PART_BYTES = 9
+MIN_BYTES = 4
 PUNCTUATION = b".,;:!?'\"()[]|"
-TOP = 3
+TOP = 6
+BEYOND = 3  # saved bytes that count as a hit
+FEATURES = 7
+FOLDS = 3
 CUT = 0.7  # the score that the best cut of the calibration half is moved to
 
 
-def document_counts(texts: list[bytes]) -> Counter[bytes]:
-    """In how many texts each word and each beginning of a word occurs, in lower case."""
-    counts: Counter[bytes] = Counter()
-    for text in texts:
-        words = {word.strip(PUNCTUATION) for word in text.lower().split()}
-        starts = {b" " + word[: MIN_MATCH - 1] for word in words} | {word[:6] for word in words}
-        counts.update(words | starts)
-    return counts
+def words_of(text: bytes) -> list[bytes]:
+    """The words of a text in lower case, without punctuation around them."""
+    return [word.strip(PUNCTUATION) for word in text.lower().split()]
 
 
 def unlike(texts: list[bytes]) -> list[bytes]:
@@ -65,44 +66,15 @@ def unlike(texts: list[bytes]) -> list[bytes]:
     return list(first.values())
 
 
-def telling_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """Words, and beginnings of words, many times more frequent in toxic documents, the most frequent last."""
-    found, others = document_counts(toxic), document_counts(ordinary)
+def telling_words(toxic: list[bytes], ordinary: list[bytes]) -> set[bytes]:
+    """Words many times more frequent in toxic documents."""
+    found, others = (Counter(w for text in texts for w in set(words_of(text))) for texts in (toxic, ordinary))
     least = max(MIN_DOCS, MIN_SHARE * len(toxic))
 
     def rate(word: bytes) -> float:
         return found[word] * max(1, len(ordinary)) / ((others[word] + 0.5) * max(1, len(toxic)))
 
-    telling = [w for w, n in found.items() if n >= least and len(w) > 2 and rate(w) >= RATIO]
-    return sorted(telling, key=lambda w: (found[w], w))
-
-
-def telling_parts(words: list[bytes], toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """The parts of telling words that ordinary text has less, each once, in the same order.
-
-    A word loses the ends whose byte n-grams are as frequent in ordinary documents; a
-    common ending would save bytes in any text.
-    """
-    spaced = [b" " + word.lstrip() for word in words]
-    wanted = {w[i : i + MIN_MATCH] for w in spaced for i in range(len(w) - MIN_MATCH + 1)}
-    seen: list[Counter[bytes]] = []
-    for texts in (toxic, ordinary):
-        seen.append(Counter())
-        for text in texts:
-            low = text.lower()
-            seen[-1].update({low[i : i + MIN_MATCH] for i in range(len(low) - MIN_MATCH + 1)} & wanted)
-
-    def telling(gram: bytes) -> bool:
-        rate = seen[0][gram] * max(1, len(ordinary)) / ((seen[1][gram] + 0.5) * max(1, len(toxic)))
-        return rate >= PART_RATIO
-
-    parts: dict[bytes, None] = {}
-    for padded in spaced:
-        places = range(len(padded) - MIN_MATCH + 1)
-        told = [i for i in places if telling(padded[i : i + MIN_MATCH])]
-        if told:
-            parts[padded[told[0] : max(told[-1] + MIN_MATCH, told[0] + PART_BYTES)]] = None
-    return list(parts)
+    return {w for w, n in found.items() if n >= least and len(w) >= MIN_BYTES and rate(w) >= RATIO}
 
 
 def trained(samples: list[bytes], size: int) -> bytes:
@@ -117,8 +89,7 @@ def trained(samples: list[bytes], size: int) -> bytes:
 class ToxicityModel:
     ordinary: bytes
     toxic: bytes
-    threshold: int
-    weights: tuple[np.ndarray, np.ndarray, np.ndarray]
+    weights: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
 
     def compressors(self) -> list[zstandard.ZstdCompressor]:
         params = zstandard.ZstdCompressionParameters.from_level(
@@ -156,33 +127,41 @@ def _compressed_sizes(compressor: zstandard.ZstdCompressor, segments) -> np.ndar
     return np.fromiter((len(part) for part in found), np.int64, len(found))
 
 
-def features_of(saved: np.ndarray, threshold: int) -> np.ndarray:
+def features_of(saved: np.ndarray) -> np.ndarray:
+    """The largest distances of a document, how many windows are hits, and the means."""
     top = np.sort(saved)[::-1][:TOP]
     top = np.pad(top, (0, TOP - len(top)))
-    beyond = saved >= threshold
-    return np.array([*top, np.log1p(beyond.sum()), beyond.mean()])
+    hits = saved >= BEYOND
+    return np.array([*top[:3], top.mean(), np.log1p(hits.sum()), hits.mean(), saved.mean()])
 
 
-def fit(sample: list[tuple[bytes, int]]) -> ToxicityModel:
-    """Dictionaries from two thirds of the sample, calibration on the rest."""
-    calibration = sample[::3]
-    dictionary = [pair for i, pair in enumerate(sample) if i % 3]
-    toxic = unlike([text for text, label in dictionary if label])
-    ordinary = unlike([text for text, label in dictionary if not label])
+def dictionaries(sample: list[tuple[bytes, int]]) -> ToxicityModel:
+    """Both dictionaries, trained by zstandard; the toxic one in front of the ordinary content.
+
+    Offsets into the shared content are then the same for both.
+    """
+    toxic = unlike([text for text, label in sample if label])
+    ordinary = unlike([text for text, label in sample if not label])
     pieces = [t.lower()[i : i + 256] for t in ordinary for i in range(0, len(t), 256)]
     base = trained(pieces, DICTIONARY_BYTES)
-    # In front of the shared content: offsets into that are then the same for both.
-    parts = telling_parts(telling_words(toxic, ordinary), toxic, ordinary)
-    text = b" ".join([b"", *parts, b""])[-DICTIONARY_BYTES:]
-    model = ToxicityModel(base, text + base, 1, fit_logistic(np.zeros((0, TOP + 2)), np.zeros(0)))
-    compressors = model.compressors()
-    saved = [distances(t, compressors) for t, _ in calibration]
-    labels = np.array([label for _, label in calibration], float)
-    threshold = _threshold(saved, labels)
-    features = np.array([features_of(s, threshold) for s in saved]).reshape(-1, TOP + 2)
-    mean, scale, w = fit_logistic(features, labels)
-    w[-1] += np.log(CUT / (1 - CUT)) - _best_cut((features - mean) / scale @ w[:-1] + w[-1], labels)
-    return ToxicityModel(model.ordinary, model.toxic, threshold, (mean, scale, w))
+    telling = telling_words(toxic, ordinary)
+    samples = [b" " + word + b" " for text in toxic for word in words_of(text) if word in telling]
+    return ToxicityModel(base, trained(samples, DICTIONARY_BYTES) + base)
+
+
+def fit(sample: list[tuple[bytes, int]]) -> ToxicityModel:
+    """Dictionaries from the sample, and weights from parts of it that others' dictionaries compress."""
+    features, labels = [], []
+    for fold in range(FOLDS):
+        compressors = dictionaries([p for i, p in enumerate(sample) if i % FOLDS != fold]).compressors()
+        for text, label in sample[fold::FOLDS]:
+            features.append(features_of(distances(text, compressors)))
+            labels.append(float(label))
+    x, y = np.array(features).reshape(-1, FEATURES), np.array(labels)
+    mean, scale, w = fit_logistic(x, y)
+    w[-1] += np.log(CUT / (1 - CUT)) - _best_cut((x - mean) / scale @ w[:-1] + w[-1], y)
+    model = dictionaries(sample)
+    return ToxicityModel(model.ordinary, model.toxic, (mean, scale, w))
 
 
 def _best_cut(logits: np.ndarray, labels: np.ndarray) -> float:
@@ -196,19 +175,6 @@ def _best_cut(logits: np.ndarray, labels: np.ndarray) -> float:
     return float(cuts[np.argmax(hits - 2 * alarms)])
 
 
-def _threshold(saved: list[np.ndarray], labels: np.ndarray) -> int:
-    """The distance that separates the documents' largest windows best."""
-    if not len(labels):
-        return 1
-    top = np.array([s.max() for s in saved])
-
-    def balance(t: int) -> float:
-        hit, alarm = (top >= t)[labels == 1], (top >= t)[labels == 0]
-        return (hit.mean() if len(hit) else 0) - (alarm.mean() if len(alarm) else 0)
-
-    return max(range(1, 13), key=balance)
-
-
 def score_documents(
     docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -220,9 +186,9 @@ def score_documents(
         compressors = model.compressors()
         for batch in batches:
             rows_of = [
-                features_of(distances(text, compressors), model.threshold) for text in bytes_of(batch)
+                features_of(distances(text, compressors)) for text in bytes_of(batch)
             ]
-            scores = logistic(np.array(rows_of).reshape(-1, TOP + 2), model.weights)
+            scores = logistic(np.array(rows_of).reshape(-1, FEATURES), model.weights)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=schema.names)
 
     return staged_batches(map_batches(rows, score, schema), "toxicity")

@@ -21,23 +21,23 @@ def tables(spark):
     return docs, labels
 
 
-def held_out_rates(scored, labels, label):
+def held_out_rates(scored, labels, label, threshold):
     rows = scored.where("held_out").join(labels, "doc_id").collect()
     hit = np.array([r.predicted for r in rows if r[label] == 1]).mean()
     alarm = np.array([r.predicted for r in rows if r[label] == 0]).mean()
-    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0) for r in rows if r.score < 0)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= threshold) for r in rows)
     return hit, alarm
 
 
 def test_quality_on_held_out_documents(tables):
     docs, labels = tables
-    hit, alarm = held_out_rates(quality_classifier.quality(docs, labels), labels, "quality")
+    hit, alarm = held_out_rates(quality_classifier.quality(docs, labels), labels, "quality", 0.3)
     assert hit > 0.97 and alarm < 0.2
 
 
 def test_toxicity_on_held_out_documents(tables):
     docs, labels = tables
-    hit, alarm = held_out_rates(toxicity.toxicity(docs, labels), labels, "toxic")
+    hit, alarm = held_out_rates(toxicity.toxicity(docs, labels), labels, "toxic", 0.7)
     assert hit > 0.7 and alarm < 0.1
 
 
@@ -53,6 +53,21 @@ def test_classifiers_take_odd_documents(spark, docs, odd_docs, operator):
     assert {r.score for r in operator(odd_docs, labels.limit(0)).collect()} <= {0.0, 0.5}
 
 
+def test_distances_equal_windows_compressed_one_by_one():
+    ordinary = [f"an ordinary text of some words, number {i}, and so on".encode() for i in range(60)]
+    toxic = [f"you wretch{i % 3} of a text, number {i}".encode() for i in range(30)]
+    model = toxicity.dictionaries([(t, 0) for t in ordinary] + [(t, 1) for t in toxic])
+    compressors = model.compressors()
+    text = b"Here is an ordinary text, but WRETCH1 stands in it. " * 7
+    wanted = []
+    for start in range(0, len(text) - 32, 64):
+        window = text.lower()[start : start + 96]
+        sizes = [len(c.compress(window)) for c in compressors]
+        wanted.append(sizes[0] - sizes[1])
+    assert list(toxicity.distances(text, compressors)) == wanted and max(wanted) >= 3
+    assert list(toxicity.distances(b"", compressors)) == [0]
+
+
 def test_windows_and_chunks_cover_every_byte():
     for n in (1, 50, 96, 97, 64, 65, 160, 1000):
         spans = toxicity.windows(n)
