@@ -139,6 +139,10 @@ def test_base_scores_equal_counts_by_hand(docs, odd_docs, vocabulary, monkeypatc
     }
     assert {(r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in rows} == wanted
     assert all(r.score < 0 and math.isfinite(r.score) for r in rows)
+    # The score is a mixture: above the base less what the other model's weight takes, and of no more than both.
+    for r in rows:
+        best = max(r.base_score, r.attention_score)
+        assert best + math.log10(lm_scoring.LEAST_WEIGHT) <= r.score <= best + 1e-9
     assert len(rows) == len(set(texts))
     assert lm_scoring.lm_scores(docs(), vocabulary).collect() == []
 
@@ -155,3 +159,11 @@ def test_rounds_train_on_every_window_of_every_document(rounds):
     if rounds > 1:  # a document's windows have the same round in any block
         alone = lm_scoring.windows_of_round(texts[4:5], 1, rounds)
         assert np.array_equal(parts[1].inputs[parts[1].owner == 4], alone.inputs)
+
+
+def test_held_out_scores_are_no_worse_than_the_better_model(spark, vocabulary):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = [r for r in lm_scoring.lm_scores(docs, vocabulary).collect() if r.held_out]
+    n_tokens, score = sum(r.n_tokens for r in held), sum(r.score for r in held)
+    assert len(held) > 100 and score > sum(r.attention_score for r in held)
+    assert score > sum(max(r.base_score, r.attention_score) for r in held) - 0.001 * n_tokens
