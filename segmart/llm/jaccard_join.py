@@ -46,8 +46,8 @@ from segmart.session import staged
 BAND_WIDTH = 2  # in steps of the largest size ratio that a link allows
 ROOM = 2  # weight of uninformative segments that the allocation makes up for
 SEGMENT_SIZE = 3  # shingles that a segment should have
-SKETCH = ("s0", "s1", "s2", "s3")
-PAIR_COST = 5  # of a chance agreement, in rows of the index
+SKETCH = tuple(f"s{i}" for i in range(8))
+PAIR_COST = 30  # of a chance agreement, in rows of the index
 
 # Shingles are counted in so many slots, to put those of many documents last in the prefixes.
 SLOT_BITS = 22
@@ -69,8 +69,8 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(33))
 
 
-def shingle_set(text: bytes, k: int) -> np.ndarray:
-    """The sorted distinct hashes of a text's k-word shingles, A-Z in lower case."""
+def shingles(text: bytes, k: int) -> np.ndarray:
+    """The hashes of a text's k-word shingles in their order, A-Z in lower case."""
     hashes = hashed_words(text)
     n = len(hashes)
     if not n:
@@ -78,8 +78,14 @@ def shingle_set(text: bytes, k: int) -> np.ndarray:
     width = min(n, k)
     total = np.full(n - width + 1, width, _U)
     for j in range(width):
-        total = mixed(total + hashes[j : n - width + 1 + j] * _U(_ODD[j % 8]))
-    return np.unique(total)
+        # Words' hashes are random, and each place has an odd factor of its own.
+        total += hashes[j : n - width + 1 + j] * _U(_ODD[j % 8] + 2 * (j // 8))
+    return mixed(total)
+
+
+def shingle_set(text: bytes, k: int) -> np.ndarray:
+    """The sorted distinct hashes of a text's shingles."""
+    return np.unique(shingles(text, k))
 
 
 @dataclass(frozen=True)
@@ -205,8 +211,8 @@ class Similarity:
 
 
 def sketch(hashes: np.ndarray) -> np.ndarray:
-    """256 parities; two sets differ in at least as many shingles as sketches in bits."""
-    odd = (np.bincount((hashes & _U(255)).astype(np.int64), minlength=256) & 1).astype(np.uint8)
+    """512 parities; two sets differ in at least as many shingles as sketches in bits."""
+    odd = (np.bincount((hashes & _U(511)).astype(np.int64), minlength=512) & 1).astype(np.uint8)
     return np.packbits(odd).view(np.int64)
 
 
@@ -229,16 +235,15 @@ class Shingles:
 
 
 def count_shingles(rows: DataFrame, rule: Similarity) -> Shingles:
-    """Counts over the sets of all documents; a task tells the slots that stand out in it."""
+    """Counts over all shingles of all documents; a task tells the slots that stand out in it."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SLOT_BITS, np.int64)
         total = again = 0
         for batch in batches:
-            sets = [shingle_set(text, rule.k) for text in bytes_of(batch)]
-            hashes = np.sort(np.concatenate([*sets, np.empty(0, _U)]))
-            same = hashes[1:] == hashes[:-1]
-            total += len(hashes)
-            again += int(same.sum())
+            hashes = np.concatenate([*(shingles(text, rule.k) for text in bytes_of(batch)), np.empty(0, _U)])
+            some = np.sort(hashes[hashes % _U(16) == 0])  # a sixteenth of all shingles, whatever the document
+            total += len(some)
+            again += int((some[1:] == some[:-1]).sum())
             counts += np.bincount((hashes & _U((1 << SLOT_BITS) - 1)).astype(np.int64), minlength=len(counts))
         mean = counts.mean()
         slots = np.flatnonzero(counts > mean + 4 * math.sqrt(mean) + 2)
@@ -276,11 +281,11 @@ def _indexed(rows: DataFrame, rule: Similarity, known: Shingles) -> DataFrame:
                 sketches.append(sketch(hashes))
             flat = np.concatenate([*entries, np.empty(0, _U)]).view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum(lengths), pa.int32()), pa.array(flat))
-            parts = np.array(sketches, np.int64).reshape(-1, 4)
+            parts = np.array(sketches, np.int64).reshape(-1, len(SKETCH))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
                  pa.array(np.array(nodes, _U).view(np.int64)), lists,
-                 *[pa.array(np.ascontiguousarray(parts[:, j])) for j in range(4)]],
+                 *[pa.array(np.ascontiguousarray(parts[:, j])) for j in range(len(SKETCH))]],
                 names=schema.names,
             )
 
@@ -301,8 +306,15 @@ def _sets(rows: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, rule: Similarity) -> DataFrame:
-    """The pairs (u, v) of nodes that link, as a written table."""
+def _linked(pairs: DataFrame, rows: DataFrame, involved: DataFrame, rule: Similarity) -> DataFrame:
+    """The pairs (u, v) of nodes that link, as a written table.
+
+    Sets are computed for the nodes of these pairs alone.
+    """
+    pairs = staged(pairs, "pairs")
+    nodes = pairs.select(F.col("u").alias("node")).unionAll(pairs.select(F.col("v").alias("node"))).distinct()
+    keys = staged(involved.select("key", "node").join(small_or_shuffled(nodes), "node", "left_semi"), "keys")
+    sets = _sets(rows.join(small_or_shuffled(keys), "key").dropDuplicates(["node"]), rule.k)
     both = (
         pairs.join(sets.select(F.col("node").alias("v"), F.col("hashes").alias("b")), "v")
         .join(sets.select(F.col("node").alias("u"), F.col("hashes").alias("a")), "u")
@@ -327,6 +339,26 @@ def _bits(x: str, y: str) -> F.Column:
     )
 
 
+def _one_per_node(pairs: DataFrame, involved: DataFrame, rule: Similarity) -> DataFrame:
+    """Of the pairs (u, v) whose sizes and sketches allow a link the one with the least u for each v.
+
+    Whole sets are sent for each pair, so a node is not compared with all leads of its entries:
+    what one comparison leaves apart is looked at again.
+    """
+    known = small_or_shuffled(involved.drop("key"))
+    x, y = known.alias("x"), known.alias("y")
+    met = pairs.join(x, F.col("u") == F.col("x.node")).join(y, F.col("v") == F.col("y.node"))
+    return met.where(_may_link(rule)).groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
+
+
+def _may_link(rule: Similarity) -> F.Column:
+    """Whether the sizes and sketches of x and y allow a link."""
+    total = F.col("x.size") + F.col("y.size")
+    allowed = F.floor(total * (100 - rule.percent) / (100 + rule.percent))
+    alike = 100 * F.least("x.size", "y.size") >= rule.percent * F.greatest("x.size", "y.size")
+    return alike & (_bits("x", "y") <= allowed)
+
+
 def _open_pairs(rest: DataFrame, involved: DataFrame, rule: Similarity) -> DataFrame:
     """The pairs (u, v) of different components that share an entry and may link.
 
@@ -335,16 +367,13 @@ def _open_pairs(rest: DataFrame, involved: DataFrame, rule: Similarity) -> DataF
     """
     own = rest.groupBy("node").agg(F.sort_array(F.collect_set("entry")).alias("entries"))
     wide = staged(rest.join(involved.drop("key"), "node").join(own, "node"), "rest")
-    total = F.col("x.size") + F.col("y.size")
-    allowed = F.floor(total * (100 - rule.percent) / (100 + rule.percent))
     first_shared = F.array_min(F.array_intersect("x.entries", "y.entries"))
     return wide.alias("x").join(
         wide.alias("y"),
         (F.col("x.entry") == F.col("y.entry"))
         & (F.col("x.node") < F.col("y.node"))
         & (F.col("x.label") != F.col("y.label"))
-        & (100 * F.least("x.size", "y.size") >= rule.percent * F.greatest("x.size", "y.size"))
-        & (_bits("x", "y") <= allowed)
+        & _may_link(rule)
         & (F.col("x.entry") == first_shared),
     ).select(F.col("x.node").alias("u"), F.col("y.node").alias("v"))
 
@@ -377,10 +406,8 @@ def jaccard_components(
         nodes.join(small_or_shuffled(members.select("node").distinct()), "node", "left_semi"),
         "involved",
     )
-    wanted = rows.join(small_or_shuffled(involved.select("key", "node")), "key").dropDuplicates(["node"])
-    sets = _sets(wanted, rule.k)
     stars = members.where("node <> first").select(F.col("first").alias("u"), F.col("node").alias("v"))
-    links = _linked(stars.distinct(), sets, rule)
+    links = _linked(_one_per_node(stars.distinct(), involved, rule), rows, involved, rule)
     labels = components(links)
 
     def placed() -> DataFrame:
@@ -403,15 +430,13 @@ def jaccard_components(
         F.min(F.struct(F.xxhash64("node").alias("order"), "node", "label")).alias("lead")
     )
     across = rest.join(small_or_shuffled(second), "entry").where(F.col("label") != F.col("lead.label"))
-    across = across.select(
-        F.least("lead.node", "node").alias("u"), F.greatest("lead.node", "node").alias("v")
-    )
-    more = _linked(across.distinct(), sets, rule)
+    across = across.select(F.col("lead.node").alias("u"), F.col("node").alias("v"))
+    more = _linked(_one_per_node(across.distinct(), involved, rule), rows, involved, rule)
     if not more.isEmpty():
         links = links.unionAll(more)
         labels = components(links)
         rest = placed()
-    more = _linked(_open_pairs(rest, involved, rule), sets, rule)
+    more = _linked(_open_pairs(rest, involved, rule), rows, involved, rule)
     if not more.isEmpty():
         labels = components(links.unionAll(more))
     return _with_components(indexed, labels)
