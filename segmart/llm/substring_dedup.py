@@ -58,6 +58,7 @@ _STOP = np.zeros(256, bool)
 _STOP[list(b".!?")] = True
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_INVERSE = {base: pow(base, -1, 1 << 64) for base in _BASES}
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -80,7 +81,7 @@ class RunHashes:
 
     def __init__(self, words: np.ndarray, base: int) -> None:
         n = len(words)
-        self.back = _powers_of(pow(base, -1, 1 << 64), n + 1)
+        self.back = _powers_of(_INVERSE[base], n + 1)
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(words * _powers_of(base, n)[:n], dtype=np.uint64, out=self.sums[1:])
 
@@ -145,28 +146,33 @@ class Found:
     segments: tuple[np.ndarray, np.ndarray]
 
     @classmethod
-    def of(cls, text: bytes) -> Found:
+    def of(cls, text: bytes, contents: bool = True) -> Found:
+        """With `contents`, also the digests of windows and segments."""
         words = Words.of(text)
         n = len(words.hashes)
         starts = words.unit_starts() if n else np.zeros(0, np.int64)
         stops = np.append(starts[1:], n) if n else starts
         hashes = [RunHashes(h, base) for h, base in zip((words.hashes, _mixed(words.hashes)), _BASES)]
-        units = tuple(_mixed(h.between(starts, stops) + (stops - starts).astype(np.uint64)) for h in hashes)
+        units = tuple(h.between(starts, stops) for h in hashes)
         if n < PASSAGE_WORDS:
             none = np.zeros(0, np.int64)
             empty = none.view(np.uint64)
             return cls(words, starts, stops, units, empty, none, none, empty, (empty, empty))
-        runs = _mixed(hashes[0].of_size(ANCHOR_WORDS))
-        least = _least(runs, PASSAGE_WORDS - ANCHOR_WORDS + 1)
+        least = _least(hashes[0].of_size(ANCHOR_WORDS), PASSAGE_WORDS - ANCHOR_WORDS + 1)
         lows = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
         highs = np.append(lows[1:], len(least)) - 1
-        segments = tuple(_mixed(h.between(lows, highs + PASSAGE_WORDS)) for h in hashes)
-        windows = _mixed(hashes[1].of_size(PASSAGE_WORDS))
+        if not contents:
+            none = lows[:0].view(np.uint64)
+            return cls(words, starts, stops, units, none, lows, highs, least[lows], (none, none))
+        segments = tuple(h.between(lows, highs + PASSAGE_WORDS) for h in hashes)
+        windows = hashes[1].of_size(PASSAGE_WORDS)
         return cls(words, starts, stops, units, windows, lows, highs, least[lows], segments)
 
     def again_windows(self) -> tuple[np.ndarray, np.ndarray]:
         """First and last window of each run that the text has before, not overlapping."""
         n = len(self.windows)
+        if len(np.unique(self.anchors)) == len(self.anchors) and np.all(self.highs - self.lows < PASSAGE_WORDS):
+            return self.lows[:0], self.lows[:0]  # equal windows that far apart have one anchor
         _, index, inverse = np.unique(self.windows, return_index=True, return_inverse=True)
         later = np.arange(n) - index[inverse] >= PASSAGE_WORDS
         edges = np.diff(np.concatenate([[False], later, [False]]).astype(np.int8))
@@ -181,7 +187,7 @@ def _digests(rows: DataFrame) -> DataFrame:
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [Found.of(text) for text in bytes_of(batch)]
+            found = [Found.of(text, contents=False) for text in bytes_of(batch)]
             counts = [len(f.unit_starts) for f in found]
             parts = [np.concatenate([f.units[j] for f in found]).view(np.int64) for j in (0, 1)]
             yield pa.RecordBatch.from_arrays(
@@ -253,10 +259,13 @@ def _unit_rows(found: Found, marked: np.ndarray, min_words: int) -> tuple[np.nda
 def _marked_rows(rows: DataFrame, units: Bitmap, anchors: Bitmap, min_words: int) -> DataFrame:
     schema = T.StructType([rows.schema["doc_id"], *T.StructType.fromDDL(ROWS).fields])
 
-    def block(batch: pa.RecordBatch, row: int, found: Found, of_units: Callable, of_anchors: Callable):
+    kinds = np.arange(3, dtype=np.int8)
+
+    def columns(row: int, found: Found, of_units: Callable, of_anchors: Callable) -> list[np.ndarray] | None:
+        """The row's number, and the columns of `ROWS` but the key; lists are their sizes and values."""
         chosen, again = _unit_rows(found, of_units(found.units[0]), min_words)
         shared = np.flatnonzero(of_anchors(found.anchors))
-        low, high = found.again_windows() if len(found.windows) else (chosen[:0], chosen[:0])
+        low, high = found.again_windows()
         counts = [len(chosen), len(shared), len(low)]
         n = sum(counts)
         if not n:
@@ -264,45 +273,49 @@ def _marked_rows(rows: DataFrame, units: Bitmap, anchors: Bitmap, min_words: int
         starts, stops = found.words.characters()
         lo = np.concatenate([found.unit_starts[chosen], found.lows[shared], low])
         hi = np.concatenate([found.unit_stops[chosen] - 1, found.highs[shared], high])
-        last = hi + np.repeat([0, PASSAGE_WORDS - 1, PASSAGE_WORDS - 1], counts)
-        zeros = [np.zeros(len(low), np.uint64)]
-        digests = [np.concatenate([found.units[j][chosen], found.segments[j][shared], *zeros]) for j in (0, 1)]
-        own = np.concatenate([np.zeros(len(chosen), np.uint64), found.anchors[shared], *zeros])
-        sizes = (found.highs - found.lows + 1)[shared]
-        offsets = np.zeros(n + 1, np.int32)
-        offsets[len(chosen) + 1 : len(chosen) + 1 + len(shared)] = np.cumsum(sizes)
-        offsets[len(chosen) + 1 + len(shared) :] = sizes.sum()
-        inside = np.repeat(found.lows[shared] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-        lists = (
-            found.windows[inside].view(np.int64), starts[inside].astype(np.int32),
-            stops[inside + PASSAGE_WORDS - 1].astype(np.int32),
+        last = hi.copy()
+        last[len(chosen) :] += PASSAGE_WORDS - 1
+        zeros = np.zeros(len(low), np.uint64)
+        digests = [np.concatenate([found.units[j][chosen], found.segments[j][shared], zeros]) for j in (0, 1)]
+        own = np.concatenate([np.zeros(len(chosen), np.uint64), found.anchors[shared], zeros])
+        lengths = (found.highs - found.lows + 1)[shared]
+        sizes = np.zeros(n, np.int64)
+        sizes[len(chosen) : len(chosen) + len(shared)] = lengths
+        inside = np.repeat(found.lows[shared] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        before = np.concatenate([again, np.ones(n - len(chosen), bool)])
+        return [
+            np.full(n, row), np.repeat(kinds, counts), own.view(np.int64), *[d.view(np.int64) for d in digests],
+            lo, hi, starts[lo], stops[last], before, sizes,
+            found.windows[inside].view(np.int64), starts[inside], stops[inside + PASSAGE_WORDS - 1],
+        ]
+
+    def joined(batch: pa.RecordBatch, parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+        row, kind, own, d1, d2, lo, hi, start, stop, again, sizes, *lists = (
+            np.concatenate(column) for column in zip(*parts)
         )
-        taken = pa.array(np.full(n, row))
+        taken, offsets = pa.array(row), pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
+        lists = [lists[0], *[v.astype(np.int32) for v in lists[1:]]]
         return pa.RecordBatch.from_arrays(
-            [batch.column(0).take(taken), batch.column(1).take(taken),
-             pa.array(np.repeat(np.arange(3), counts).astype(np.int8)), pa.array(own.view(np.int64)),
-             *[pa.array(d.view(np.int64)) for d in digests],
-             pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)),
-             pa.array(starts[lo].astype(np.int32)), pa.array(stops[last].astype(np.int32)),
-             pa.array(np.concatenate([again, np.ones(n - len(chosen), bool)])),
-             *[pa.ListArray.from_arrays(pa.array(offsets), pa.array(v)) for v in lists]],
+            [batch.column(0).take(taken), batch.column(1).take(taken), *map(pa.array, (kind, own, d1, d2)),
+             *[pa.array(v.astype(np.int32)) for v in (lo, hi, start, stop)], pa.array(again),
+             *[pa.ListArray.from_arrays(offsets, pa.array(v)) for v in lists]],
             names=schema.names,
         )
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tests = units.test(), anchors.test()
         for batch in batches:
-            held, n = [], 0
+            parts, n = [], 0
             for row, text in enumerate(bytes_of(batch)):
-                part = block(batch, row, Found.of(text), *tests)
+                part = columns(row, Found.of(text), *tests)
                 if part is not None:
-                    held.append(part)
-                    n += part.num_rows
+                    parts.append(part)
+                    n += len(part[0])
                 if n >= FLUSH_ROWS:
-                    yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                    held, n = [], 0
-            if held:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                    yield joined(batch, parts)
+                    parts, n = [], 0
+            if parts:
+                yield joined(batch, parts)
 
     return staged_batches(map_batches(rows.select("doc_id", "key", "text"), mark, schema), "marked")
 
