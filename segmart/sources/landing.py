@@ -14,6 +14,9 @@ from segmart.functions.documents import parse_documents
 QUOTING = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 KEEP_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
+# A file with line breaks inside values is read by one task, so that files are kept small.
+ROWS_PER_FILE = 100_000
+
 
 def read_csv(
     spark: SparkSession, path: str | list[str], multi_line: bool = True, schema: str | None = None
@@ -49,7 +52,7 @@ def to_landing(documents: DataFrame, column: str = fv.LANDING_COLUMN) -> DataFra
 
 
 def write_landing(
-    documents: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = 1_000_000
+    documents: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = ROWS_PER_FILE
 ) -> None:
     """Landing CSV files of a bounded row count, so that reads stay parallel."""
     writer = to_landing(documents).write.options(**QUOTING, **KEEP_SPACES)
@@ -63,7 +66,7 @@ def read_users_csv(spark: SparkSession, path: str | list[str], multi_line: bool
 
 
 def write_users_csv(
-    users: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = 1_000_000
+    users: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = ROWS_PER_FILE
 ) -> None:
     """User CSV with header, UTF-8, inner and outer spaces kept."""
     writer = users.select(*fv.RAW_USER_FIELDS).write.options(**QUOTING, **KEEP_SPACES)

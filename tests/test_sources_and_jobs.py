@@ -61,6 +61,16 @@ def test_landing_files_have_bounded_rows(spark, tmp_path):
     assert len(list((tmp_path / "landing").glob("*.csv"))) == 4
 
 
+def test_files_that_one_task_reads_are_small_by_default(spark, tmp_path):
+    rows = spark.range(250_000).coalesce(1)
+    landing_files.write_landing(rows.select(F.col("id").cast("string")), str(tmp_path / "landing"))
+    assert len(list((tmp_path / "landing").glob("*.csv"))) == 3
+    users = rows.select(*[F.col("id").cast("string").alias(f) for f in fv.RAW_USER_FIELDS])
+    landing_files.write_users_csv(users, str(tmp_path / "users"))
+    assert len(list((tmp_path / "users").glob("*.csv"))) == 3
+    assert landing_files.read_users_csv(spark, str(tmp_path / "users")).count() == 250_000
+
+
 def test_users_csv_keeps_spaces(spark, tmp_path):
     path = str(tmp_path / "users")
     rows = [("1", *HARD_TEXTS)]
