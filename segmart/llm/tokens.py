@@ -1,8 +1,8 @@
 """Token ids of a byte-level vocabulary file, for packing and for token files.
 
 The file is one the tokenizers library reads. Encoding whole texts with that library
-took 0.96 MB/s a core here; the chunks of `segmart.llm.chunks` are encoded once each by
-tiktoken over the same vocabulary instead, with the same ids (tests compare the two).
+took 0.96 MB/s a core here; the pieces of `segmart.llm.chunks` are encoded by tiktoken
+over the same vocabulary instead, with the same ids (tests compare the two).
 As in that library, the strings of a file's added tokens stand for these tokens in any text.
 """
 
@@ -11,12 +11,14 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import tiktoken
 
-from segmart.llm.chunks import ChunkEncoder
+from segmart.llm.chunks import ChunkEncoder, pieces, without_look_ahead
 
 _encoders: dict[str, TextEncoder] = {}
 
@@ -30,23 +32,31 @@ def byte_of_char() -> dict[str, int]:
 
 
 class TextEncoder:
-    """Ids of texts: added tokens where their strings stand, chunks of the text between them."""
+    """Ids of texts: added tokens where their strings stand, pieces of the text between them.
 
-    def __init__(self, chunks: ChunkEncoder, added: dict[str, int]) -> None:
-        self._chunks = chunks
+    Texts with runs of white space have many short pieces, which are remembered.
+    """
+
+    def __init__(self, encode: Callable[[str], bytes], added: dict[str, int]) -> None:
+        self._encode = encode
+        self._chunks = ChunkEncoder(encode)
         self._added = {text: np.array([number], "<u4").tobytes() for text, number in added.items()}
         longest_first = sorted(added, key=len, reverse=True)
         self._pattern = re.compile("|".join(map(re.escape, longest_first)) or r"(?!)")
 
+    def _plain(self, text: str) -> bytes:
+        parts = pieces(text)
+        return self._encode(text) if len(parts) == 1 else b"".join([self._chunks[part + " "] for part in parts])
+
     def ids(self, text: str) -> bytes:
         """The ids of a whole text as little-endian bytes."""
         if not any(token in text for token in self._added):
-            return self._chunks.ids(text)
+            return self._plain(text)
         parts, at = [], 0
         for match in self._pattern.finditer(text):
-            parts += [self._chunks.ids(text[at : match.start()]), self._added[match.group()]]
+            parts += [self._plain(text[at : match.start()]), self._added[match.group()]]
             at = match.end()
-        return b"".join([*parts, self._chunks.ids(text[at:])])
+        return b"".join([*parts, self._plain(text[at:])])
 
 
 @dataclass(frozen=True)
@@ -79,13 +89,12 @@ class Vocabulary:
         return 1 + max([*self.ranks().values(), *self.added().values()])
 
     def encoder(self) -> TextEncoder:
-        """The process's encoder for this vocabulary; its memory of chunks outlives a task."""
+        """The process's encoder for this vocabulary; it outlives a task."""
         key = hashlib.sha256(self.content).hexdigest()
         if key not in _encoders:
             encoding = tiktoken.Encoding(
-                key, pat_str=self.pattern, mergeable_ranks=self.ranks(), special_tokens={}
+                key, pat_str=without_look_ahead(self.pattern), mergeable_ranks=self.ranks(), special_tokens={}
             )
             plain = encoding.encode_ordinary
-            chunks = ChunkEncoder(lambda chunk: np.array(plain(chunk), "<u4").tobytes())
-            _encoders[key] = TextEncoder(chunks, self.added())
+            _encoders[key] = TextEncoder(lambda piece: array("I", plain(piece)).tobytes(), self.added())
         return _encoders[key]

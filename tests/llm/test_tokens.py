@@ -3,17 +3,19 @@
 import hashlib
 import zlib
 from collections import defaultdict
+from unittest import mock
 
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from segmart.llm import bpe, packing, token_files
+from segmart.llm import bpe, chunks, packing, token_files
 from segmart.session import scratch_path
 
 
@@ -53,6 +55,18 @@ def test_both_encoders_equal_the_libraries(text):
     assert np.frombuffer(vocabulary.encoder().ids(text), "<u4").tolist() == with_added
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=14).map("".join) | st.text(max_size=30), st.sampled_from([2, 1000]))
+def test_pieces_need_no_look_ahead(text, longest):
+    pattern = public_tokenizers.PATTERN
+    simple = chunks.without_look_ahead(pattern)
+    assert "(?!" in pattern and "(?!" not in simple and chunks.without_look_ahead("a|b") == "a|b"
+    with mock.patch.object(chunks, "PIECE_CHARS", longest):
+        parts = chunks.pieces(text)
+    assert "".join(parts) == text
+    assert [m for part in parts for m in regex.findall(simple, part)] == regex.findall(pattern, text)
+
+
 _cache = {}
 
 
