@@ -47,6 +47,7 @@ BAND_WIDTH = 2  # in steps of the largest size ratio that a link allows
 ROOM = 2  # weight of uninformative segments that the allocation makes up for
 SEGMENT_SIZE = 3  # shingles that a segment should have
 SKETCH = tuple(f"s{i}" for i in range(8))
+GROUP_NODES = 64  # compared with one node in one task, about
 PAIR_COST = 30  # of a chance agreement, in rows of the index
 
 # Shingles are counted in so many slots, to put those of many documents last in the prefixes.
@@ -292,45 +293,49 @@ def _indexed(rows: DataFrame, rule: Similarity, known: Shingles) -> DataFrame:
     return staged_batches(map_batches(rows.select("doc_id", "key", "text"), index, schema), "indexed")
 
 
-def _sets(rows: DataFrame, k: int) -> DataFrame:
-    """node and shingle hashes of the given rows, as a written table."""
-    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(text, k).tobytes() for text in bytes_of(batch)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sets, pa.binary())], names=["node", "hashes"]
-            )
-
-    return staged_batches(
-        map_batches(rows.select("node", "text"), compute, "node bigint, hashes binary"), "sets"
+def _in_groups(pairs: DataFrame) -> DataFrame:
+    """u, bucket, node and place: each u, at place 0, before some of the nodes it is paired with, at place 1."""
+    sizes = pairs.groupBy("u").agg(F.ceil(F.count("*") / GROUP_NODES).alias("buckets"))
+    dealt = pairs.join(small_or_shuffled(sizes), "u").select(
+        "u", F.pmod(F.xxhash64("v"), "buckets").cast("int").alias("bucket"), "v"
     )
+    first = dealt.select("u", "bucket", F.col("u").alias("node"), F.lit(0).alias("place")).distinct()
+    return first.unionAll(dealt.select("u", "bucket", F.col("v").alias("node"), F.lit(1)))
 
 
 def _linked(pairs: DataFrame, rows: DataFrame, involved: DataFrame, rule: Similarity) -> DataFrame:
     """The pairs (u, v) of nodes that link, as a written table.
 
-    Sets are computed for the nodes of these pairs alone.
+    Texts are shuffled once, to groups of a node and a bounded number of those it is paired with,
+    and sets are computed there: a text takes less room than its set, and is compressed besides.
     """
-    pairs = staged(pairs, "pairs")
-    nodes = pairs.select(F.col("u").alias("node")).unionAll(pairs.select(F.col("v").alias("node"))).distinct()
-    keys = staged(involved.select("key", "node").join(small_or_shuffled(nodes), "node", "left_semi"), "keys")
-    sets = _sets(rows.join(small_or_shuffled(keys), "key").dropDuplicates(["node"]), rule.k)
-    both = (
-        pairs.join(sets.select(F.col("node").alias("v"), F.col("hashes").alias("b")), "v")
-        .join(sets.select(F.col("node").alias("u"), F.col("hashes").alias("a")), "u")
-        .select("u", "v", "a", "b")
-    )
+    pairs = staged(pairs.distinct(), "pairs")
+    keys = involved.select("key", "node")
+    members = staged(_in_groups(pairs).join(small_or_shuffled(keys), "node"), "paired")
+    texts = rows.select("key", "text").join(small_or_shuffled(members), "key")
+    grouped = texts.select("u", "bucket", "place", "node", "text").repartition("u", "bucket")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, lead, last = None, np.empty(0, _U), None
         for batch in batches:
-            a, b = batch.column(2), batch.column(3)
-            keep = [
-                rule.links(np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U))
-                for x, y in zip(a, b, strict=True)
-            ]
-            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
-
-    return staged_batches(map_batches(both, verify, "u bigint, v bigint"), "links")
+            us, buckets, places, nodes = (batch.column(i).to_pylist() for i in range(4))
+            keep = []
+            for u, bucket, place, node, text in zip(us, buckets, places, nodes, bytes_of(batch), strict=True):
+                found = False
+                if (u, bucket, place, node) != last:  # repeated rows have the same key
+                    hashes = shingle_set(text, rule.k)
+                    if place == 0:
+                        group, lead = (u, bucket), hashes
+                    else:
+                        found = group == (u, bucket) and rule.links(lead, hashes)
+                last = (u, bucket, place, node)
+                keep.append(found)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(3)], names=["u", "v"]
+            ).filter(pa.array(keep, pa.bool_()))
+
+    ordered = grouped.sortWithinPartitions("u", "bucket", "place", "node")
+    return staged_batches(map_batches(ordered, verify, "u bigint, v bigint"), "links")
 
 
 def _bits(x: str, y: str) -> F.Column:
