@@ -1,7 +1,8 @@
-"""A small causal self-attention model over subword classes, in numpy.
+"""A small causal self-attention model over subword ids, in numpy.
 
-Subwords are dealt over classes by frequency; the model predicts the class of the next
-subword, and within a class a subword has its smoothed share of the counts. A text is
+Every subword id has a learnt vector, added to that of its class of frequency: keys, values
+and queries are made of the sum. The output is in two levels: the model predicts the class
+of the next subword, and within it a subword has its smoothed share of the counts. A text is
 read in windows of `CONTEXT` + `STEP` places that overlap by `CONTEXT`: each place is a
 key for the places after it in its window, and the last `STEP` places are queries, so
 every subword is scored exactly once, with at least `CONTEXT` places before it where the
@@ -19,12 +20,13 @@ SIZE = 16
 CONTEXT = 16
 STEP = 16
 PLACES = CONTEXT + STEP
+VECTOR_RATE = 0.05
 BLOCK = 256  # windows computed at once, few enough for the cache
 
 
 @dataclass
 class Weights:
-    """Everything that training changes."""
+    """All that training changes, but for the vectors of the single subwords."""
 
     embedding: np.ndarray  # class -> vector; one more row for the start of a text
     query: np.ndarray
@@ -62,17 +64,28 @@ class Weights:
 
 @dataclass
 class Windows:
-    """Inputs (window, place), targets (window, step) and which of them are real."""
+    """Inputs (window, place), targets (window, step) and which of them are real.
+
+    `ids` has the subwords of the inputs, where these are classes.
+    """
 
     inputs: np.ndarray
     input_mask: np.ndarray
     targets: np.ndarray
     target_mask: np.ndarray
     owner: np.ndarray
+    ids: np.ndarray | None = None
 
+    def part(self, chosen: np.ndarray) -> Windows:
+        ids = None if self.ids is None else self.ids[chosen]
+        return Windows(
+            self.inputs[chosen], self.input_mask[chosen], self.targets[chosen],
+            self.target_mask[chosen], self.owner[chosen], ids,
+        )
 
-def windows_of(texts: list[np.ndarray]) -> Windows:
-    """The windows of texts given as class sequences; the start of a text is class CLASSES."""
+
+def windows_of(texts: list[np.ndarray], subwords: list[np.ndarray] | None = None, start: int = 0) -> Windows:
+    """The windows of texts given as class sequences; the start of a text is class CLASSES, and subword `start`."""
     lengths = np.array([len(t) for t in texts], np.int64)
     flat = np.concatenate([*texts, np.zeros(1, np.int64)]).astype(np.int64)
     first = np.cumsum(lengths) - lengths
@@ -86,9 +99,14 @@ def windows_of(texts: list[np.ndarray]) -> Windows:
     # The input at a place is the subword before it.
     input_place = number[:, None] * STEP - CONTEXT + np.arange(PLACES) - 1
     input_mask = (input_place >= -1) & (input_place < lengths[owner][:, None])
-    inputs = flat[np.clip(first[owner][:, None] + input_place, 0, last)]
+    place = np.clip(first[owner][:, None] + input_place, 0, last)
+    inputs = flat[place]
     inputs[input_place < 0] = CLASSES
-    return Windows(inputs, input_mask, targets, target_mask, owner)
+    ids = None
+    if subwords is not None:
+        ids = np.concatenate([*subwords, np.zeros(1, np.int64)])[place]
+        ids[input_place < 0] = start
+    return Windows(inputs, input_mask, targets, target_mask, owner, ids)
 
 
 _DISTANCE = (CONTEXT + np.arange(STEP))[:, None] - np.arange(PLACES)[None]
@@ -96,8 +114,14 @@ _CAUSAL = _DISTANCE >= 0
 _DISTANCE = np.clip(_DISTANCE, 0, PLACES - 1)
 
 
-def _forward(w: Weights, inputs: np.ndarray, input_mask: np.ndarray, follow: np.ndarray):
-    x = w.embedding[inputs]
+def _embedded(w: Weights, windows: Windows, part: np.ndarray, vectors: np.ndarray | None) -> np.ndarray:
+    x = w.embedding[windows.inputs[part]]
+    if vectors is not None:
+        x += vectors[windows.ids[part]]
+    return x
+
+
+def _forward(w: Weights, x: np.ndarray, inputs: np.ndarray, input_mask: np.ndarray, follow: np.ndarray):
     late = x[:, CONTEXT:]
     q, k, v = late @ w.query, x @ w.key, x @ w.value
     scores = q @ k.transpose(0, 2, 1) * np.float32(SIZE**-0.5) + w.distance[_DISTANCE]
@@ -110,17 +134,17 @@ def _forward(w: Weights, inputs: np.ndarray, input_mask: np.ndarray, follow: np.
     hidden = late + mixed @ w.output
     logits = hidden @ w.readout + follow[inputs[:, CONTEXT:]]
     logits -= logits.max(-1, keepdims=True)
-    return x, late, q, k, v, attention, mixed, hidden, logits
+    return late, q, k, v, attention, mixed, hidden, logits
 
 
 def _scored(
-    w: Weights, inputs: np.ndarray, hidden_keys: np.ndarray | None, follow: np.ndarray, targets: np.ndarray
+    w: Weights, x: np.ndarray, inputs: np.ndarray, hidden_keys: np.ndarray | None, follow: np.ndarray,
+    targets: np.ndarray,
 ) -> np.ndarray:
     """Log probability of the targets; `hidden_keys` marks inputs that are not part of a text.
 
     The same sums as in training, with as few passes over large arrays as they need.
     """
-    x = w.embedding[inputs]
     late = x[:, CONTEXT:]
     k, v = x @ w.key, x @ w.value
     scores = (late @ (w.query * np.float32(SIZE**-0.5))) @ k.transpose(0, 2, 1)
@@ -138,10 +162,13 @@ def _scored(
     return chosen - np.log(np.exp(logits, out=logits).sum(-1))
 
 
-def log_probabilities(w: Weights, follow: np.ndarray, windows: Windows) -> np.ndarray:
+def log_probabilities(
+    w: Weights, follow: np.ndarray, windows: Windows, vectors: np.ndarray | None = None
+) -> np.ndarray:
     """Natural log of each target's class probability; 0 where there is no target.
 
-    `follow` is the log share of each class after each class, from counts. Only the first
+    `follow` is the log share of each class after each class, from counts, and `vectors` has those of
+    the subwords, if windows have ids. Only the first
     window of a text has places before the text; beyond its end nothing is looked at.
     """
     found = np.zeros(windows.targets.shape, np.float32)
@@ -151,15 +178,23 @@ def log_probabilities(w: Weights, follow: np.ndarray, windows: Windows) -> np.nd
         for start in range(0, len(numbers), BLOCK):
             part = numbers[start : start + BLOCK]
             hidden = ~windows.input_mask[part] if masked else None
-            found[part] = _scored(w, windows.inputs[part], hidden, follow, windows.targets[part])
+            x = _embedded(w, windows, part, vectors)
+            found[part] = _scored(w, x, windows.inputs[part], hidden, follow, windows.targets[part])
     found[~windows.target_mask] = 0
     return found
 
 
 def _gradients(w: Weights, follow: np.ndarray, windows: Windows, part: np.ndarray) -> list[np.ndarray]:
-    inputs = windows.inputs[part]
-    x, late, q, k, v, attention, mixed, hidden, logits = _forward(
-        w, inputs, windows.input_mask[part], follow
+    return _all_gradients(w, follow, windows, part, None)[0]
+
+
+def _all_gradients(
+    w: Weights, follow: np.ndarray, windows: Windows, part: np.ndarray, vectors: np.ndarray | None
+) -> tuple[list[np.ndarray], np.ndarray]:
+    """The gradients of the weights' arrays, and that of the inputs' vectors (window, place)."""
+    inputs, x = windows.inputs[part], _embedded(w, windows, part, vectors)
+    late, q, k, v, attention, mixed, hidden, logits = _forward(
+        w, x, inputs, windows.input_mask[part], follow
     )
     scale = np.float32(SIZE**-0.5)
     error = np.exp(logits)
@@ -187,14 +222,17 @@ def _gradients(w: Weights, follow: np.ndarray, windows: Windows, part: np.ndarra
     return [
         d_embedding, outer(late, d_q), outer(x, d_k), outer(x, d_v), outer(mixed, d_hidden),
         d_distance, outer(hidden, error),
-    ]
+    ], d_x
 
 
 class Trainer:
-    """Adam over batches of windows, from given weights on."""
+    """Adam over batches of windows, from given weights on, and Adagrad for the vectors of their subwords."""
 
-    def __init__(self, weights: Weights, follow: np.ndarray, rate: float) -> None:
+    def __init__(self, weights: Weights, follow: np.ndarray, rate: float, vectors: np.ndarray) -> None:
         self.weights, self.follow, self.rate = weights, follow, rate
+        self.vectors = vectors.copy()
+        self.met = np.zeros(len(vectors), np.int64)  # how often each subword was an input
+        self._squares = np.zeros(len(vectors), np.float32)
         self.first = [np.zeros_like(a) for a in weights.arrays()]
         self.second = [np.zeros_like(a) for a in weights.arrays()]
         self.steps = self.seen = 0
@@ -205,10 +243,20 @@ class Trainer:
             self.steps += 1
             self.seen += len(part)
             scale = self.rate * np.sqrt(1 - 0.999**self.steps) / (1 - 0.9**self.steps)
-            grads = _gradients(self.weights, self.follow, windows, part)
+            grads, d_x = _all_gradients(self.weights, self.follow, windows, part, self.vectors)
             for array, grad, first, second in zip(
                 self.weights.arrays(), grads, self.first, self.second, strict=True
             ):
                 first += 0.1 * (grad - first)
                 second += 0.001 * (grad * grad - second)
                 array -= scale * first / (np.sqrt(second) + 1e-8)
+            self._learn_vectors(windows.ids[part].ravel(), d_x.reshape(-1, SIZE))
+
+    def _learn_vectors(self, ids: np.ndarray, grads: np.ndarray) -> None:
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
+        starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+        rows, summed = ids[starts], np.add.reduceat(grads[order], starts)
+        self.met[rows] += np.diff(np.append(starts, len(ids)))
+        self._squares[rows] += (summed * summed).mean(1)
+        self.vectors[rows] -= VECTOR_RATE * summed / (np.sqrt(self._squares[rows])[:, None] + np.float32(1e-8))

@@ -6,10 +6,11 @@ them by counting, are sent to the tasks; the rest of each document's words meet
 counts in a shuffled join, and unknown words add nothing to either sum.
 
 The model reads subword ids of the lower-cased words, joined by spaces, and one end id.
+It embeds the ids themselves and predicts the next one as a class and its share of it.
 Its counts (subwords, and classes after classes) cover all learning documents. Its
-weights are trained on every window of every learning document, each in one of `ROUNDS`
+weights and the vectors of all subwords are trained on every window of every learning document, each in one of `ROUNDS`
 rounds: each task descends from the common weights over its own windows of the round, and
-the weights are averaged by the windows seen. So what is learnt from grows with the
+the weights are averaged by the windows seen, a subword's vector by how often it was met. So what is learnt from grows with the
 corpus, while what reaches the driver is bounded by the vocabulary and the model.
 
 The score is the probability of a text under a mixture of the attention model and the base: the
@@ -24,7 +25,7 @@ document with one result row. Without learning documents N and V are 0 and score
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segmart.llm.attention import (
-    CLASSES, Trainer, Weights, Windows, log_probabilities, windows_of,
+    CLASSES, SIZE, Trainer, Weights, Windows, log_probabilities, windows_of,
 )
 from segmart.llm.common import (
     bytes_of, hashed_words, id_and_text, map_batches, remainder, row_key, staged_batches,
@@ -150,19 +151,25 @@ def _rare_parts(rows: DataFrame, frequent: FrequentWords, counts: DataFrame, dis
     return staged_batches(per_document, "rare-words")
 
 
+def with_end(ids: bytes, narrow: np.dtype, end: int) -> np.ndarray:
+    return np.append(np.frombuffer(ids, narrow), end).astype(np.int64)
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     class_of: np.ndarray  # subword -> class
     share: np.ndarray  # class before, subword -> natural log of its share of its class there
     follow: np.ndarray  # class before, class -> natural log of its share
     weights: np.ndarray
+    vectors: np.ndarray  # subword -> vector; one more row for the start of a text
 
     def subwords(self, ids: bytes, narrow: np.dtype) -> np.ndarray:
         """A text's subwords and its end, the last id of all."""
-        return np.append(np.frombuffer(ids, narrow), len(self.class_of) - 1).astype(np.int64)
+        return with_end(ids, narrow, len(self.class_of) - 1)
 
-    def classes(self, ids: bytes, narrow: np.dtype) -> np.ndarray:
-        return self.class_of[self.subwords(ids, narrow)]
+    def windows(self, block: list[np.ndarray]) -> Windows:
+        """The windows of texts given as subwords with their ends."""
+        return windows_of([self.class_of[text] for text in block], block, len(self.class_of))
 
     def share_of(self, ids: bytes, narrow: np.dtype) -> float:
         """Natural log of the shares of all subwords within their classes."""
@@ -215,47 +222,56 @@ def _blocks(texts: list[np.ndarray]) -> Iterator[tuple[int, list[np.ndarray]]]:
 
 
 def windows_of_round(block: list[np.ndarray], round_no: int, rounds: int) -> Windows:
+    """The windows of one round: see `of_round`."""
+    return of_round(windows_of(block), block, round_no, rounds)
+
+
+def of_round(every: Windows, block: list[np.ndarray], round_no: int, rounds: int) -> Windows:
     """The windows of one round: of each document every `rounds`-th, so that all rounds have them all.
 
     They are numbered within their document, whatever else is in the block. Its length says
     where the numbers start, as many documents have one window only.
     """
-    every = windows_of(block)
     lengths = np.array([len(text) for text in block], np.int64)
     number = np.arange(len(every.owner)) - np.searchsorted(every.owner, every.owner)
-    chosen = np.flatnonzero((number + lengths[every.owner]) % rounds == round_no)
-    return Windows(
-        every.inputs[chosen], every.input_mask[chosen], every.targets[chosen],
-        every.target_mask[chosen], every.owner[chosen],
-    )
+    return every.part(np.flatnonzero((number + lengths[every.owner]) % rounds == round_no))
 
 
 def _averaged(
     encoded: DataFrame, model: LanguageModel, narrow: np.dtype, round_no: int, rounds: int
-) -> np.ndarray:
-    """Weights after one round: every task trains on its documents, all are averaged."""
-    model = LanguageModel(model.class_of, model.follow, model.follow, model.weights)  # no shares here
+) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and vectors after one round: every task trains on its documents, all are averaged."""
+    model = replace(model, share=model.follow)  # no shares here
+    columns = [f"v{i}" for i in range(SIZE)]
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer = Trainer(Weights.of_flat(model.weights), model.follow, RATE / (1 + round_no))
+        trainer = Trainer(
+            Weights.of_flat(model.weights), model.follow, RATE / (1 + round_no), model.vectors
+        )
         for batch in batches:
-            texts = [model.classes(ids, narrow) for ids in batch.column(0).to_pylist()]
+            texts = [model.subwords(ids, narrow) for ids in batch.column(0).to_pylist()]
             for _, block in _blocks(texts):
-                trainer.learn(windows_of_round(block, round_no, rounds))
+                trainer.learn(of_round(model.windows(block), block, round_no, rounds))
         if trainer.seen:
-            flat = trainer.weights.flat().astype(np.float64)
+            flat = trainer.weights.flat().reshape(-1, SIZE)
+            met = np.flatnonzero(trainer.met)
+            rows = np.concatenate([flat, trainer.vectors[met]]).astype(np.float64)
+            seen = np.concatenate([np.full(len(flat), trainer.seen), trainer.met[met]])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(flat))), pa.array(flat * trainer.seen),
-                 pa.array(np.full(len(flat), trainer.seen))],
-                names=["cell", "total", "seen"],
+                [pa.array(np.concatenate([np.arange(len(flat)), len(flat) + met])), pa.array(seen),
+                 *map(pa.array, np.ascontiguousarray((rows * seen[:, None]).T))],
+                names=["row", "seen", *columns],
             )
 
-    each = map_batches(encoded.select("ids"), train, "cell bigint, total double, seen bigint")
-    mean = each.groupBy("cell").agg((F.sum("total") / F.sum("seen")).alias("value"))
-    flat = model.weights.copy()
-    for row in staged_batches(mean, "weights").collect():
-        flat[row["cell"]] = row["value"]
-    return flat
+    schema = ", ".join(["row bigint", "seen bigint", *(f"{c} double" for c in columns)])
+    each = map_batches(encoded.select("ids"), train, schema)
+    mean = each.groupBy("row").agg(*[(F.sum(c) / F.sum("seen")).alias(c) for c in columns])
+    found = staged_batches(mean, "weights").toArrow()  # one row per subword and some of the weights
+    n_flat = len(model.weights) // SIZE
+    rows = np.concatenate([model.weights.reshape(-1, SIZE), model.vectors])
+    if found.num_rows:
+        rows[found["row"].to_numpy()] = np.column_stack([found[c].to_numpy() for c in columns])
+    return rows[:n_flat].ravel(), rows[n_flat:]
 
 
 def fit(encoded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> LanguageModel:
@@ -269,12 +285,10 @@ def fit(encoded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Lan
         return counts
 
     class_of, overall = subword_classes(_summed(encoded, n_ids + 1, subwords))
-    start = Weights.initial().flat()
-    model = LanguageModel(class_of, overall, overall, start)
 
     def pairs(texts: list[bytes]) -> np.ndarray:
         total = np.zeros((CLASSES + 1) * (n_ids + 1), np.int64)
-        for _, block in _blocks([model.subwords(ids, narrow) for ids in texts]):
+        for _, block in _blocks([with_end(ids, narrow, n_ids) for ids in texts]):
             after = np.concatenate(block)
             before = np.concatenate([[CLASSES], class_of[after[:-1]]])
             before[np.cumsum([len(t) for t in block])[:-1]] = CLASSES
@@ -287,10 +301,13 @@ def fit(encoded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Lan
     share = np.log((counts + SMOOTHING * overall) / (by_class[:, class_of] + SMOOTHING))
     prior = (by_class.sum(0) + 1) / (by_class.sum() + CLASSES)
     follow = np.log((by_class + SMOOTHING * prior) / (by_class.sum(1, keepdims=True) + SMOOTHING))
-    model = LanguageModel(class_of, share.astype(np.float32), follow.astype(np.float32), start)
+    model = LanguageModel(
+        class_of, share.astype(np.float32), follow.astype(np.float32), Weights.initial().flat(),
+        np.zeros((n_ids + 2, SIZE), np.float32),
+    )
     for round_no in range(rounds):
-        weights = _averaged(encoded, model, narrow, round_no, rounds)
-        model = LanguageModel(class_of, model.share, model.follow, weights)
+        weights, vectors = _averaged(encoded, model, narrow, round_no, rounds)
+        model = replace(model, weights=weights, vectors=vectors)
     return model
 
 
@@ -300,11 +317,11 @@ def score_documents(encoded: DataFrame, model: LanguageModel, narrow: np.dtype)
         weights = Weights.of_flat(model.weights)
         for batch in batches:
             raw = batch.column(1).to_pylist()
-            texts = [model.classes(ids, narrow) for ids in raw]
+            texts = [model.subwords(ids, narrow) for ids in raw]
             totals = np.array([model.share_of(ids, narrow) for ids in raw])
             for start, block in _blocks(texts):
-                windows = windows_of(block)
-                found = log_probabilities(weights, model.follow, windows).sum(1, dtype=np.float64)
+                windows = model.windows(block)
+                found = log_probabilities(weights, model.follow, windows, model.vectors).sum(1, dtype=np.float64)
                 totals[start : start + len(block)] += np.bincount(windows.owner, found, len(block))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(totals / LN10)], names=["key", "score"]

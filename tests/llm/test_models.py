@@ -167,3 +167,46 @@ def test_held_out_scores_are_no_worse_than_the_better_model(spark, vocabulary):
     n_tokens, score = sum(r.n_tokens for r in held), sum(r.score for r in held)
     assert len(held) > 100 and score > sum(r.attention_score for r in held)
     assert score > sum(max(r.base_score, r.attention_score) for r in held) - 0.001 * n_tokens
+
+
+def test_the_model_reads_subwords_of_one_class_apart():
+    """Which of two subwords of one class comes first tells what follows: only their ids say so."""
+    random = np.random.default_rng(4)
+    class_of = np.array([0, 0, 1, 2, 3])
+    follow = np.zeros((attention.CLASSES + 1, attention.CLASSES), np.float32)
+    rest = len(class_of)
+    model = lm_scoring.LanguageModel(
+        class_of, follow, follow, attention.Weights.initial().flat(), np.zeros((rest + 1, attention.SIZE), np.float32)
+    )
+    texts = [np.array([first, first + 2] * 8 + [4]) for first in random.integers(0, 2, 2000)]
+    windows = model.windows(texts)
+    assert (windows.ids[windows.input_mask] <= rest).all() and (windows.ids[:, attention.CONTEXT] == rest)[::2].all()
+    trainer = attention.Trainer(attention.Weights.of_flat(model.weights), follow, 0.01, model.vectors)
+    for _ in range(6):
+        trainer.learn(windows)
+    assert (trainer.met[[0, 1, 2, 3, rest]] > 0).all()
+    scores = attention.log_probabilities(trainer.weights, follow, windows, trainer.vectors)
+    follows = windows.target_mask & (windows.targets > 0) & (windows.targets < 3)
+    assert np.exp(scores[follows].mean()) > 0.9
+
+
+def test_gradients_of_subword_vectors_equal_differences():
+    random = np.random.default_rng(5)
+    weights = attention.Weights.initial()
+    follow = np.zeros((attention.CLASSES + 1, attention.CLASSES), np.float32)
+    subwords = [random.integers(0, 200, n) for n in (5, 40)]
+    vectors = random.normal(0, 0.3, (201, attention.SIZE)).astype(np.float32)
+    windows = attention.windows_of([t % attention.CLASSES for t in subwords], subwords, 200)
+
+    def loss():
+        found = attention.log_probabilities(weights, follow, windows, vectors).astype(np.float64)
+        return -found.sum() / windows.target_mask.sum()
+
+    _, d_x = attention._all_gradients(weights, follow, windows, np.arange(len(windows.inputs)), vectors)
+    grad = np.zeros_like(vectors)
+    np.add.at(grad, windows.ids.ravel(), d_x.reshape(-1, attention.SIZE))
+    place = np.unravel_index(np.argmax(np.abs(grad)), grad.shape)
+    vectors[place] += 1e-2
+    up = loss()
+    vectors[place] -= 2e-2
+    assert (up - loss()) / 2e-2 == pytest.approx(grad[place], rel=0.05, abs=1e-5)
