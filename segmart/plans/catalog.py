@@ -41,7 +41,7 @@ def strict_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def user_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned users as a written table, as the star job reads them."""
-    return staged(strict_users(spark, sf_dir), "users")
+    return staged(jobs.cleaned(landing(spark, sf_dir, spread=True), "strict"), "users")
 
 
 def dated_users(spark: SparkSession, sf_dir: str) -> DataFrame:

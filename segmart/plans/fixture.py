@@ -46,10 +46,14 @@ def users_from_keys(rows: DataFrame, key: str, name: str) -> DataFrame:
     )
 
 
-def users_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return users_from_keys(table(spark, sf_dir, "customer"), "c_custkey", "c_name")
+def users_raw(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """One user per customer. Spread over all cores if asked: a million customers may be one row group, and one task."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    if spread:
+        customers = customers.repartition(spark.sparkContext.defaultParallelism)
+    return users_from_keys(customers, "c_custkey", "c_name")
 
 
-def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landing(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """The raw users as landing rows: one JSON document per row."""
-    return to_landing(to_documents(users_raw(spark, sf_dir)))
+    return to_landing(to_documents(users_raw(spark, sf_dir, spread)))

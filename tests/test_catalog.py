@@ -87,3 +87,13 @@ def test_fact_does_not_shuffle_users(spark, sf_dir):
 def test_orphans_are_counted_before_the_join(spark, sf_dir):
     plan = final_plan(catalog.fk_orphans(spark, sf_dir))
     assert plan.index("Join") < plan.index("partial_count")
+
+
+def test_users_of_a_star_are_cleaned_by_all_cores(spark, sf_dir):
+    from segmart.plans import fixture
+
+    assert spark.read.parquet(f"{sf_dir}/customer.parquet").rdd.getNumPartitions() == 1
+    spread = fixture.landing(spark, sf_dir, spread=True)
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread.exceptAll(fixture.landing(spark, sf_dir)).isEmpty()
+    assert spread.count() == fixture.landing(spark, sf_dir).count()
