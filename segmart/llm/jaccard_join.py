@@ -14,8 +14,9 @@ they agree on a segment that is not empty, or neither is and their prefixes meet
 
 Sets with the same index entry are compared with the least of them first, and then with
 another member, which settles large groups of copies in linear work. Pairs that are still in different components are
-compared if their parity sketches, a lower bound on the difference, allow a link. Every
-comparison is exact on the shingle sets. Hash collisions: two different shingles of a
+compared if their parity sketches, a lower bound on the difference, allow a link: a short one
+beside each index entry, and a fine one, with a bit for each shingle, of larger sets, as the
+short one cannot tell these apart. Every comparison is exact on the shingle sets. Hash collisions: two different shingles of a
 pair of documents, or two different sets, have a chance of about 1 in 10^19 each.
 
 Defined results: texts with fewer words than a shingle are one shingle of all their
@@ -47,6 +48,7 @@ BAND_WIDTH = 2  # in steps of the largest size ratio that a link allows
 ROOM = 2  # weight of uninformative segments that the allocation makes up for
 SEGMENT_SIZE = 3  # shingles that a segment should have
 SKETCH = tuple(f"s{i}" for i in range(8))
+SKETCH_BITS = 64 * len(SKETCH)
 GROUP_NODES = 64  # compared with one node in one task, about
 PAIR_COST = 30  # of a chance agreement, in rows of the index
 
@@ -211,12 +213,18 @@ class Similarity:
         return 100 * both >= self.percent * (len(a) + len(b) - both)
 
 
-def sketch(hashes: np.ndarray) -> np.ndarray:
-    """512 parities; two sets differ in at least as many shingles as sketches in bits."""
-    odd = (np.bincount((hashes & _U(511)).astype(np.int64), minlength=512) & 1).astype(np.uint8)
+def sketch(hashes: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
+    """Parities of so many slots; two sets differ in at least as many shingles as sketches in bits."""
+    odd = (np.bincount((hashes & _U(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
     return np.packbits(odd).view(np.int64)
 
 
+def fine_sketch(hashes: np.ndarray) -> np.ndarray:
+    """A sketch with a bit for each shingle at least; empty where the short one has that many."""
+    n = len(hashes)
+    return sketch(hashes, 1 << (n - 1).bit_length()) if n > SKETCH_BITS else np.empty(0, np.int64)
+
+
 @dataclass(frozen=True)
 class Shingles:
     """What the index knows of the corpus: slots of shingles that stand out, and the share that recurs.
@@ -260,32 +268,36 @@ def count_shingles(rows: DataFrame, rule: Similarity) -> Shingles:
 
 
 def _indexed(rows: DataFrame, rule: Similarity, known: Shingles) -> DataFrame:
-    """doc_id, key, size, node, index entries and sketch of each document."""
+    """doc_id, key, size, node, index entries and sketches of each document."""
     schema = T.StructType([
         rows.schema["doc_id"], T.StructField("key", T.LongType()),
         T.StructField("size", T.LongType()), T.StructField("node", T.LongType()),
         T.StructField("entries", T.ArrayType(T.LongType())),
+        T.StructField("fine", T.ArrayType(T.LongType())),
         *[T.StructField(s, T.LongType()) for s in SKETCH],
     ])
 
+    def lists(arrays: list[np.ndarray]) -> pa.ListArray:
+        offsets = np.cumsum([0, *map(len, arrays)])
+        values = np.concatenate([*arrays, np.empty(0, np.int64)])
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
+
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = known.ranks()
         for batch in batches:
-            sizes, nodes, lengths, entries, sketches = [], [], [0], [], []
+            sizes, nodes, entries, fine, sketches = [], [], [], [], []
             for text in bytes_of(batch):
                 hashes = shingle_set(text, rule.k)
                 sizes.append(len(hashes))
                 nodes.append(xxhash.xxh3_64_intdigest(hashes.tobytes()))
                 ranks = table[(hashes & _U((1 << SLOT_BITS) - 1)).astype(np.int64)]
-                entries.append(rule.index_entries(hashes, ranks, known.recurring))
-                lengths.append(len(entries[-1]))
+                entries.append(rule.index_entries(hashes, ranks, known.recurring).view(np.int64))
+                fine.append(fine_sketch(hashes))
                 sketches.append(sketch(hashes))
-            flat = np.concatenate([*entries, np.empty(0, _U)]).view(np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum(lengths), pa.int32()), pa.array(flat))
             parts = np.array(sketches, np.int64).reshape(-1, len(SKETCH))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
-                 pa.array(np.array(nodes, _U).view(np.int64)), lists,
+                 pa.array(np.array(nodes, _U).view(np.int64)), lists(entries), lists(fine),
                  *[pa.array(np.ascontiguousarray(parts[:, j])) for j in range(len(SKETCH))]],
                 names=schema.names,
             )
@@ -350,18 +362,52 @@ def _one_per_node(pairs: DataFrame, involved: DataFrame, rule: Similarity) -> Da
     Whole sets are sent for each pair, so a node is not compared with all leads of its entries:
     what one comparison leaves apart is looked at again.
     """
-    known = small_or_shuffled(involved.drop("key"))
+    known = small_or_shuffled(involved.drop("key", "fine"))
     x, y = known.alias("x"), known.alias("y")
     met = pairs.join(x, F.col("u") == F.col("x.node")).join(y, F.col("v") == F.col("y.node"))
-    return met.where(_may_link(rule)).groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
+    near = _finely_alike(met.where(_may_link(rule)).select("u", "v"), involved, rule)
+    return near.groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
 
 
-def _may_link(rule: Similarity) -> F.Column:
-    """Whether the sizes and sketches of x and y allow a link."""
+def _allowed(rule: Similarity) -> F.Column:
+    """The largest difference of x and y if they link."""
     total = F.col("x.size") + F.col("y.size")
-    allowed = F.floor(total * (100 - rule.percent) / (100 + rule.percent))
+    return F.floor(total * (100 - rule.percent) / (100 + rule.percent))
+
+
+def _may_link(rule: Similarity) -> F.Column:
+    """Whether the sizes and short sketches of x and y allow a link."""
     alike = 100 * F.least("x.size", "y.size") >= rule.percent * F.greatest("x.size", "y.size")
-    return alike & (_bits("x", "y") <= allowed)
+    return alike & (_bits("x", "y") <= _allowed(rule))
+
+
+def _fine_bits() -> F.Column:
+    """In how many bits the fine sketches of x and y differ; that of twice the length is folded first.
+
+    Nothing is counted where one is empty, or more than twice as long as the other.
+    """
+    x, y = F.col("x.fine"), F.col("y.fine")
+    words, most = F.least(F.size(x), F.size(y)), F.greatest(F.size(x), F.size(y))
+
+    def folded(of: F.Column, i: F.Column) -> F.Column:
+        return F.get(of, i).bitwiseXOR(F.coalesce(F.get(of, i + words), F.lit(0).cast("bigint")))
+
+    places = F.when((words > 0) & (most <= 2 * words), F.sequence(F.lit(0), words - 1))
+    differ = F.aggregate(
+        places, F.lit(0), lambda n, i: n + F.bit_count(folded(x, i).bitwiseXOR(folded(y, i)))
+    )
+    return F.coalesce(differ, F.lit(0))
+
+
+def _finely_alike(pairs: DataFrame, involved: DataFrame, rule: Similarity) -> DataFrame:
+    """The pairs (u, v) whose fine sketches, where both have one, allow a link.
+
+    They are a few hundredths as long as sets and texts, of which only what passes here is sent.
+    """
+    known = small_or_shuffled(involved.select("node", "size", "fine").where(F.size("fine") > 0))
+    x, y = known.alias("x"), known.alias("y")
+    met = pairs.join(x, F.col("u") == F.col("x.node"), "left").join(y, F.col("v") == F.col("y.node"), "left")
+    return met.where(F.coalesce(_fine_bits() <= _allowed(rule), F.lit(True))).select("u", "v")
 
 
 def _open_pairs(rest: DataFrame, involved: DataFrame, rule: Similarity) -> DataFrame:
@@ -371,9 +417,9 @@ def _open_pairs(rest: DataFrame, involved: DataFrame, rule: Similarity) -> DataF
     sizes and sketches allow a link: the other pairs of a group are not produced.
     """
     own = rest.groupBy("node").agg(F.sort_array(F.collect_set("entry")).alias("entries"))
-    wide = staged(rest.join(involved.drop("key"), "node").join(own, "node"), "rest")
+    wide = staged(rest.join(involved.drop("key", "fine"), "node").join(own, "node"), "rest")
     first_shared = F.array_min(F.array_intersect("x.entries", "y.entries"))
-    return wide.alias("x").join(
+    near = wide.alias("x").join(
         wide.alias("y"),
         (F.col("x.entry") == F.col("y.entry"))
         & (F.col("x.node") < F.col("y.node"))
@@ -381,6 +427,7 @@ def _open_pairs(rest: DataFrame, involved: DataFrame, rule: Similarity) -> DataF
         & _may_link(rule)
         & (F.col("x.entry") == first_shared),
     ).select(F.col("x.node").alias("u"), F.col("y.node").alias("v"))
+    return _finely_alike(staged(near, "near"), involved, rule)
 
 
 def jaccard_components(
@@ -394,7 +441,8 @@ def jaccard_components(
     rows = rows.withColumn("key", row_key(F.col("doc_id"), F.col("text")))
     indexed = _indexed(rows, rule, count_shingles(rows, rule))
     nodes = indexed.where("size > 0").groupBy("node").agg(
-        F.min("key").alias("key"), F.min("size").alias("size"), *[F.min(s).alias(s) for s in SKETCH]
+        F.min("key").alias("key"), F.min("size").alias("size"), F.min("fine").alias("fine"),
+        *[F.min(s).alias(s) for s in SKETCH],
     )
     entries = indexed.select("node", F.explode("entries").alias("entry"))
     # Copies of a set change neither the least nor the greatest node of an entry.

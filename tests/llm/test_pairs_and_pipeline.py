@@ -91,6 +91,41 @@ def test_linked_sets_share_an_entry(size, seed, percent):
     assert bits <= len(a) + len(b) - 2 * len(np.intersect1d(a, b))
 
 
+def test_long_documents_that_share_a_passage_are_ruled_out_before_their_texts_are_sent(docs, monkeypatch):
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(400)]  # long enough to meet in the index, too short for a link
+    texts = [passage + [f"{j}x{rng.random()}" for _ in range(2400)] for j in range(12)]
+    texts += [[*text[:-40], *(f"y{i}" for i in range(40))] for text in texts[:3]]
+    pairs = list(enumerate(" ".join(text) for text in texts))
+    sent, group = [], jaccard_join._in_groups
+
+    def counted(found):
+        sent.append(found.count())
+        return group(found)
+
+    monkeypatch.setattr(jaccard_join, "_in_groups", counted)
+    rule = jaccard_join.Similarity(k=5, percent=80)
+    rows = jaccard_join.jaccard_components(docs(*pairs), rule).collect()
+    found = sorted((r["doc_id"], r["component_id"]) for r in rows)
+    assert found == [(i, i - 12 if i >= 12 else i) for i in range(15)]
+    assert sum(sent) <= 6  # each of the three links, and one more comparison of its nodes at most
+
+
+@pytest.mark.parametrize("size", [512, 513, 1000, 1024, 4096])
+def test_fine_sketches_keep_links_across_lengths_and_drop_chance_pairs(spark, size):
+    rng = np.random.default_rng(size)
+    rule = jaccard_join.Similarity(k=5, percent=80)
+    sets = [np.unique(rng.integers(0, 1 << 64, n, np.uint64)) for n in (size, size, size + size // 4)]
+    sets.append(np.sort(np.concatenate([sets[0], sets[2][: size // 4]])))  # links with the first one
+    assert rule.links(sets[0], sets[3])
+    rows = [(i, len(s), jaccard_join.fine_sketch(s).tolist()) for i, s in enumerate(sets)]
+    involved = spark.createDataFrame(rows, "node bigint, size bigint, fine array<bigint>")
+    pairs = spark.createDataFrame([(0, 1), (0, 2), (0, 3)], "u bigint, v bigint")
+    kept = {(r["u"], r["v"]) for r in jaccard_join._finely_alike(pairs, involved, rule).collect()}
+    either_short = {(0, 1), (0, 2)} if size <= 512 else set()  # these have the short sketch
+    assert kept == {(0, 3)} | either_short
+
+
 def test_allocation_follows_the_estimated_cost():
     few, many = jaccard_join.Similarity(3, 90), jaccard_join.Similarity(5, 80)
     hashes = np.sort(np.random.default_rng(1).integers(0, 2**63, 395).astype(np.uint64) * np.uint64(2))
