@@ -124,15 +124,19 @@ def _embedded(w: Weights, windows: Windows, part: np.ndarray, vectors: np.ndarra
 def _forward(w: Weights, x: np.ndarray, inputs: np.ndarray, input_mask: np.ndarray, follow: np.ndarray):
     late = x[:, CONTEXT:]
     q, k, v = late @ w.query, x @ w.key, x @ w.value
-    scores = q @ k.transpose(0, 2, 1) * np.float32(SIZE**-0.5) + w.distance[_DISTANCE]
-    seen = _CAUSAL[None] & input_mask[:, None, :]
-    scores = np.where(seen, scores, np.float32(-1e9))
+    scores = q @ k.transpose(0, 2, 1)
+    scores *= np.float32(SIZE**-0.5)
+    scores += np.where(_CAUSAL, w.distance[_DISTANCE], np.float32(-1e9))
+    hidden_keys = ~input_mask
+    if hidden_keys.any():
+        scores += hidden_keys[:, None, :] * np.float32(-1e9)
     scores -= scores.max(-1, keepdims=True)
     attention = np.exp(scores, out=scores)
     attention /= attention.sum(-1, keepdims=True)
     mixed = attention @ v
     hidden = late + mixed @ w.output
-    logits = hidden @ w.readout + follow[inputs[:, CONTEXT:]]
+    logits = hidden @ w.readout
+    logits += follow[inputs[:, CONTEXT:]]
     logits -= logits.max(-1, keepdims=True)
     return late, q, k, v, attention, mixed, hidden, logits
 
@@ -197,12 +201,11 @@ def _all_gradients(
         w, x, inputs, windows.input_mask[part], follow
     )
     scale = np.float32(SIZE**-0.5)
-    error = np.exp(logits)
-    error /= error.sum(-1, keepdims=True)
     targets, mask = windows.targets[part], windows.target_mask[part]
-    rows, steps = np.indices(targets.shape)
-    error[rows, steps, targets] -= 1
-    error *= mask[..., None] / np.float32(max(1, mask.sum()))
+    error = np.exp(logits, out=logits)
+    share = mask / np.float32(max(1, mask.sum()))
+    error *= (share / error.sum(-1))[..., None]
+    error.reshape(-1, CLASSES)[np.arange(targets.size), targets.ravel()] -= share.ravel()
 
     def outer(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return a.reshape(-1, a.shape[-1]).T @ b.reshape(-1, b.shape[-1])
@@ -210,17 +213,20 @@ def _all_gradients(
     d_hidden = error @ w.readout.T
     d_mixed = d_hidden @ w.output.T
     d_attention = d_mixed @ v.transpose(0, 2, 1)
-    d_scores = attention * (d_attention - (d_attention * attention).sum(-1, keepdims=True))
+    d_scores = d_attention
+    d_scores -= np.einsum("wsp,wsp->ws", d_attention, attention)[..., None]
+    d_scores *= attention
     d_v = attention.transpose(0, 2, 1) @ d_mixed
     d_q = d_scores @ k * scale
     d_k = d_scores.transpose(0, 2, 1) @ q * scale
     d_x = d_k @ w.key.T + d_v @ w.value.T
     d_x[:, CONTEXT:] += d_hidden + d_q @ w.query.T
-    d_embedding = np.zeros_like(w.embedding)
-    np.add.at(d_embedding, inputs.ravel(), d_x.reshape(-1, SIZE))
+    flat = inputs.ravel()
+    by_place = np.ascontiguousarray(d_x.reshape(-1, SIZE).T)
+    d_embedding = np.column_stack([np.bincount(flat, column, CLASSES + 1) for column in by_place])
     d_distance = np.bincount(_DISTANCE.ravel(), d_scores.sum(0).ravel(), PLACES).astype(np.float32)
     return [
-        d_embedding, outer(late, d_q), outer(x, d_k), outer(x, d_v), outer(mixed, d_hidden),
+        d_embedding.astype(np.float32), outer(late, d_q), outer(x, d_k), outer(x, d_v), outer(mixed, d_hidden),
         d_distance, outer(hidden, error),
     ], d_x
 
