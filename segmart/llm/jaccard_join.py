@@ -42,6 +42,7 @@ from segmart.llm.common import (
     bytes_of, hashed_words, id_and_text, map_batches, row_key, small_or_shuffled, staged_batches,
 )
 from segmart.llm.components import components
+from segmart.llm.substring_dedup import Bitmap
 from segmart.session import staged
 
 BAND_WIDTH = 2  # in steps of the largest size ratio that a link allows
@@ -246,17 +247,17 @@ class Shingles:
 def count_shingles(rows: DataFrame, rule: Similarity) -> Shingles:
     """Counts over all shingles of all documents; a task tells the slots that stand out in it."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SLOT_BITS, np.int64)
+        counts = np.zeros(1 << SLOT_BITS, np.int32)
         total = again = 0
         for batch in batches:
             hashes = np.concatenate([*(shingles(text, rule.k) for text in bytes_of(batch)), np.empty(0, _U)])
             some = np.sort(hashes[hashes % _U(16) == 0])  # a sixteenth of all shingles, whatever the document
             total += len(some)
             again += int((some[1:] == some[:-1]).sum())
-            counts += np.bincount((hashes & _U((1 << SLOT_BITS) - 1)).astype(np.int64), minlength=len(counts))
+            np.add.at(counts, (hashes & _U((1 << SLOT_BITS) - 1)).astype(np.int64), 1)
         mean = counts.mean()
         slots = np.flatnonzero(counts > mean + 4 * math.sqrt(mean) + 2)
-        columns = [np.append(slots, [-1, -2]), np.append(counts[slots], [total, again])]
+        columns = [np.append(slots, [-1, -2]), np.append(counts[slots].astype(np.int64), [total, again])]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["slot", "n"])
 
     counted = staged_batches(map_batches(rows.select("text"), count, "slot bigint, n bigint"), "shingle-counts")
@@ -430,6 +431,22 @@ def _open_pairs(rest: DataFrame, involved: DataFrame, rule: Similarity) -> DataF
     return _finely_alike(staged(near, "near"), involved, rule)
 
 
+def _marked_entries(indexed: DataFrame, marks: Bitmap) -> DataFrame:
+    """node and entry of the marked index entries; most entries are of one node, and go no further."""
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = marks.test()
+        for batch in batches:
+            found = batch.column(1)
+            values = found.flatten().to_numpy(zero_copy_only=False)
+            owner = np.repeat(np.arange(len(found)), found.value_lengths().to_numpy(zero_copy_only=False))
+            kept = np.flatnonzero(test(values.view(_U)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(owner[kept])), pa.array(values[kept])], names=["node", "entry"]
+            )
+
+    return staged_batches(map_batches(indexed.select("node", "entries"), mark, "node bigint, entry bigint"), "met")
+
+
 def jaccard_components(
     docs: DataFrame, rule: Similarity, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -451,8 +468,9 @@ def jaccard_components(
         .where("first < last").select("entry", "first"),
         "shared",
     )
+    met = _marked_entries(indexed, Bitmap.of(shared.select(F.col("entry").alias("d1"))))
     members = staged(
-        entries.join(small_or_shuffled(shared), "entry").select("entry", "first", "node").distinct(),
+        met.join(small_or_shuffled(shared), "entry").select("entry", "first", "node").distinct(),
         "members",
     )
     involved = staged(
