@@ -126,6 +126,18 @@ def test_fine_sketches_keep_links_across_lengths_and_drop_chance_pairs(spark, si
     assert kept == {(0, 3)} | either_short
 
 
+def test_index_entries_of_one_document_go_no_further(spark):
+    rng = np.random.default_rng(3)
+    own = [rng.integers(-(2**63), 2**63, 500).tolist() for _ in range(4)]
+    common = rng.integers(-(2**63), 2**63, 20).tolist()
+    rows = [(i, [*own[i], *(common if i < 3 else [])]) for i in range(4)] + [(4, [])]
+    indexed = spark.createDataFrame(rows, "node bigint, entries array<bigint>")
+    marks = jaccard_join.Bitmap.of(spark.createDataFrame([(e,) for e in common], "d1 bigint"))
+    found = {(r["node"], r["entry"]) for r in jaccard_join._marked_entries(indexed, marks).collect()}
+    wanted = {(i, e) for i in range(3) for e in common}
+    assert wanted <= found and len(found) <= len(wanted) + 5
+
+
 def test_allocation_follows_the_estimated_cost():
     few, many = jaccard_join.Similarity(3, 90), jaccard_join.Similarity(5, 80)
     hashes = np.sort(np.random.default_rng(1).integers(0, 2**63, 395).astype(np.uint64) * np.uint64(2))
