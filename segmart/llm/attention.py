@@ -76,37 +76,51 @@ class Windows:
     owner: np.ndarray
     ids: np.ndarray | None = None
 
-    def part(self, chosen: np.ndarray) -> Windows:
-        ids = None if self.ids is None else self.ids[chosen]
-        return Windows(
-            self.inputs[chosen], self.input_mask[chosen], self.targets[chosen],
-            self.target_mask[chosen], self.owner[chosen], ids,
-        )
-
-
-def windows_of(texts: list[np.ndarray], subwords: list[np.ndarray] | None = None, start: int = 0) -> Windows:
-    """The windows of texts given as class sequences; the start of a text is class CLASSES, and subword `start`."""
-    lengths = np.array([len(t) for t in texts], np.int64)
-    flat = np.concatenate([*texts, np.zeros(1, np.int64)]).astype(np.int64)
+    def arrays(self) -> list[np.ndarray | None]:
+        return [getattr(self, f.name) for f in fields(self)]
+
+
+def windows_of(
+    texts: list[np.ndarray], subwords: list[np.ndarray] | None = None, start: int = 0,
+    class_of: np.ndarray | None = None, only: tuple[int, int] | None = None,
+) -> Windows:
+    """The windows of texts given as class sequences; the start of a text is class CLASSES, and subword `start`.
+
+    With `class_of`, of `start` too, the classes are those of the subwords, and `texts` are not read.
+    With `only`, (i, n), these are the windows of round i of n: of each text every n-th, so that all rounds
+    have them all. The text's length says where the numbers start, as many texts have one window only.
+    """
+    sequences = texts if subwords is None else subwords
+    lengths = np.array([len(t) for t in sequences], np.int64)
     first = np.cumsum(lengths) - lengths
     counts = -(-lengths // STEP)
-    owner = np.repeat(np.arange(len(texts)), counts)
+    owner = np.repeat(np.arange(len(sequences)), counts)
     number = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    target_place = number[:, None] * STEP + np.arange(STEP)
-    target_mask = target_place < lengths[owner][:, None]
-    last = len(flat) - 1
-    targets = flat[np.minimum(first[owner][:, None] + target_place, last)]
+    if only is not None:
+        chosen = np.flatnonzero((number + lengths[owner]) % only[1] == only[0])
+        owner, number = owner[chosen], number[chosen]
+    left = lengths[owner] - number * STEP
+    begins, opening = first[owner] + number * STEP, number == 0
+    target_mask = np.arange(STEP) < left[:, None]
     # The input at a place is the subword before it.
-    input_place = number[:, None] * STEP - CONTEXT + np.arange(PLACES) - 1
-    input_mask = (input_place >= -1) & (input_place < lengths[owner][:, None])
-    place = np.clip(first[owner][:, None] + input_place, 0, last)
-    inputs = flat[place]
-    inputs[input_place < 0] = CLASSES
-    ids = None
-    if subwords is not None:
-        ids = np.concatenate([*subwords, np.zeros(1, np.int64)])[place]
-        ids[input_place < 0] = start
-    return Windows(inputs, input_mask, targets, target_mask, owner, ids)
+    input_mask = np.arange(PLACES) - CONTEXT - 1 < left[:, None]
+    input_mask[opening, :CONTEXT] = False
+
+    def rows(parts: list[np.ndarray], before: int) -> np.ndarray:
+        """Inputs and, one place later, targets: CONTEXT + 1 places before a window's first target and STEP from it on."""
+        dtype = np.uint16 if before < 1 << 16 else np.int64
+        flat = np.concatenate([np.zeros(CONTEXT + 1, dtype), *parts, np.zeros(PLACES, dtype)], dtype=dtype, casting="unsafe")
+        found = np.lib.stride_tricks.sliding_window_view(flat, PLACES + 1)[begins]
+        found[opening, : CONTEXT + 1] = before
+        found[number == 1, 0] = before
+        return found
+
+    ids = None if subwords is None else rows(subwords, start)
+    classes = rows(texts, CLASSES) if class_of is None or ids is None else class_of[ids]
+    return Windows(
+        classes[:, :PLACES], input_mask, classes[:, CONTEXT + 1 :], target_mask, owner,
+        None if ids is None else ids[:, :PLACES],
+    )
 
 
 _DISTANCE = (CONTEXT + np.arange(STEP))[:, None] - np.arange(PLACES)[None]
@@ -114,56 +128,88 @@ _CAUSAL = _DISTANCE >= 0
 _DISTANCE = np.clip(_DISTANCE, 0, PLACES - 1)
 
 
-def _embedded(w: Weights, windows: Windows, part: np.ndarray, vectors: np.ndarray | None) -> np.ndarray:
-    x = w.embedding[windows.inputs[part]]
-    if vectors is not None:
-        x += vectors[windows.ids[part]]
+SCALE = np.float32(SIZE**-0.5)
+_ONES = np.ones(max(CLASSES, PLACES), np.float32)
+
+
+def _taken(table: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    return table.take(numbers, axis=0)
+
+
+def _sums(x: np.ndarray) -> np.ndarray:
+    """Sums over the last axis, by a product, which is faster than a sum over short rows."""
+    return (x.reshape(-1, x.shape[-1]) @ _ONES[: x.shape[-1]]).reshape(x.shape[:-1])
+
+
+def _times(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """x @ w for many short rows, some at a time: faster than at once."""
+    rows = x.reshape(-1, 8 * STEP if len(x) % (8 * STEP) == 0 else STEP, x.shape[-1])
+    return (rows @ w).reshape(len(x), -1)
+
+
+def _outer(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a.T @ b for many rows, a few parts at a time."""
+    a, b = a.reshape(8, -1, a.shape[-1]), b.reshape(8, -1, b.shape[-1])
+    return (a.transpose(0, 2, 1) @ b).sum(0)
+
+
+def _bounded(x: np.ndarray) -> np.ndarray:
+    """In place; so that sums of its exponentials are finite."""
+    if x.size and not x.max() <= 80:
+        np.minimum(x, np.float32(80), out=x)
     return x
 
 
-def _forward(w: Weights, x: np.ndarray, inputs: np.ndarray, input_mask: np.ndarray, follow: np.ndarray):
-    late = x[:, CONTEXT:]
-    q, k, v = late @ w.query, x @ w.key, x @ w.value
-    scores = q @ k.transpose(0, 2, 1)
-    scores *= np.float32(SIZE**-0.5)
-    scores += np.where(_CAUSAL, w.distance[_DISTANCE], np.float32(-1e9))
-    hidden_keys = ~input_mask
-    if hidden_keys.any():
-        scores += hidden_keys[:, None, :] * np.float32(-1e9)
-    scores -= scores.max(-1, keepdims=True)
-    attention = np.exp(scores, out=scores)
-    attention /= attention.sum(-1, keepdims=True)
-    mixed = attention @ v
-    hidden = late + mixed @ w.output
-    logits = hidden @ w.readout
-    logits += follow[inputs[:, CONTEXT:]]
-    logits -= logits.max(-1, keepdims=True)
-    return late, q, k, v, attention, mixed, hidden, logits
-
-
-def _scored(
-    w: Weights, x: np.ndarray, inputs: np.ndarray, hidden_keys: np.ndarray | None, follow: np.ndarray,
-    targets: np.ndarray,
-) -> np.ndarray:
-    """Log probability of the targets; `hidden_keys` marks inputs that are not part of a text.
+def _attended(
+    w: Weights, q: np.ndarray, keys: np.ndarray, v: np.ndarray, opening: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Attention before it is divided by its sums, these, and the mean of values; q is scaled, and keys are columns.
 
-    The same sums as in training, with as few passes over large arrays as they need.
+    Places before the text are there in `opening` windows only. Places after its end are seen from no target.
     """
-    late = x[:, CONTEXT:]
-    k, v = x @ w.key, x @ w.value
-    scores = (late @ (w.query * np.float32(SIZE**-0.5))) @ k.transpose(0, 2, 1)
+    scores = q @ keys
     scores += np.where(_CAUSAL, w.distance[_DISTANCE], np.float32(-1e4))
-    if hidden_keys is not None:
-        scores -= hidden_keys[:, None, :] * np.float32(1e4)
-    np.minimum(scores, np.float32(80), out=scores)
-    np.exp(scores, out=scores)
+    np.exp(_bounded(scores), out=scores)
+    if len(opening):
+        scores[opening, :, :CONTEXT] = 0
+    sums = _sums(scores)
+    sums += np.float32(1e-30)
     mixed = scores @ v
-    mixed /= scores.sum(-1, keepdims=True) + np.float32(1e-30)
-    logits = (late + mixed @ w.output) @ w.readout
-    logits += follow[inputs[:, CONTEXT:]]
-    np.minimum(logits, np.float32(80), out=logits)
-    chosen = np.take_along_axis(logits, targets[..., None], -1)[..., 0]
-    return chosen - np.log(np.exp(logits, out=logits).sum(-1))
+    mixed /= sums[..., None]
+    return scores, sums, mixed
+
+
+class Scorer:
+    """Log probabilities under given weights; what only depends on a subword is computed once for each."""
+
+    def __init__(self, w: Weights, follow: np.ndarray, class_of: np.ndarray, vectors: np.ndarray | None) -> None:
+        """`class_of` and `vectors` of all subwords and of the start; without vectors these are the classes."""
+        x = w.embedding[class_of]
+        if vectors is not None:
+            x = x + vectors.astype(np.float32)
+        self._w = w
+        self._keys_values = x @ np.concatenate([w.key, w.value], axis=1)
+        self._queries = x @ (w.query * SCALE)
+        self._logits = x @ w.readout + follow[class_of]
+        self._rest = w.output @ w.readout
+
+    def log_probabilities(self, windows: Windows) -> np.ndarray:
+        """Natural log of each target's class probability; 0 where there is no target."""
+        found = np.zeros(windows.targets.shape, np.float32)
+        ids = windows.inputs if windows.ids is None else windows.ids
+        for start in range(0, len(found), BLOCK):
+            part = slice(start, start + BLOCK)
+            late = np.ascontiguousarray(ids[part, CONTEXT:])
+            both = _taken(self._keys_values, ids[part])
+            opening = np.flatnonzero(~windows.input_mask[part, 0])
+            keys = np.ascontiguousarray(both[..., :SIZE].transpose(0, 2, 1))
+            _, _, mixed = _attended(self._w, _taken(self._queries, late), keys, both[..., SIZE:], opening)
+            logits = _times(mixed.reshape(-1, SIZE), self._rest)
+            logits += _taken(self._logits, late.ravel())
+            chosen = _bounded(logits).ravel().take(np.arange(0, logits.size, CLASSES) + windows.targets[part].ravel())
+            found[part] = (chosen - np.log(_sums(np.exp(logits, out=logits)))).reshape(late.shape)
+        found[~windows.target_mask] = 0
+        return found
 
 
 def log_probabilities(
@@ -175,59 +221,83 @@ def log_probabilities(
     the subwords, if windows have ids. Only the first
     window of a text has places before the text; beyond its end nothing is looked at.
     """
-    found = np.zeros(windows.targets.shape, np.float32)
-    first = ~windows.input_mask[:, 0]
-    for masked in (True, False):
-        numbers = np.flatnonzero(first == masked)
-        for start in range(0, len(numbers), BLOCK):
-            part = numbers[start : start + BLOCK]
-            hidden = ~windows.input_mask[part] if masked else None
-            x = _embedded(w, windows, part, vectors)
-            found[part] = _scored(w, x, windows.inputs[part], hidden, follow, windows.targets[part])
-    found[~windows.target_mask] = 0
-    return found
+    if vectors is None:
+        classes = Windows(*windows.arrays()[:5])
+        return Scorer(w, follow, np.arange(CLASSES + 1), None).log_probabilities(classes)
+    class_of = np.zeros(len(vectors), np.int64)
+    class_of[windows.ids[windows.input_mask]] = windows.inputs[windows.input_mask]
+    return Scorer(w, follow, class_of, vectors).log_probabilities(windows)
 
 
 def _gradients(w: Weights, follow: np.ndarray, windows: Windows, part: np.ndarray) -> list[np.ndarray]:
-    return _all_gradients(w, follow, windows, part, None)[0]
+    grads, d_x = _all_gradients(w, follow, windows, part, None)
+    grads[0] = _by_class(windows.inputs[part].ravel(), d_x.reshape(-1, SIZE))
+    return grads
+
+
+def _by_class(classes: np.ndarray, d_x: np.ndarray) -> np.ndarray:
+    return (classes == np.arange(CLASSES + 1)[:, None]).astype(np.float32) @ d_x
 
 
 def _all_gradients(
     w: Weights, follow: np.ndarray, windows: Windows, part: np.ndarray, vectors: np.ndarray | None
 ) -> tuple[list[np.ndarray], np.ndarray]:
-    """The gradients of the weights' arrays, and that of the inputs' vectors (window, place)."""
-    inputs, x = windows.inputs[part], _embedded(w, windows, part, vectors)
-    late, q, k, v, attention, mixed, hidden, logits = _forward(
-        w, x, inputs, windows.input_mask[part], follow
-    )
-    scale = np.float32(SIZE**-0.5)
-    targets, mask = windows.targets[part], windows.target_mask[part]
-    error = np.exp(logits, out=logits)
-    share = mask / np.float32(max(1, mask.sum()))
-    error *= (share / error.sum(-1))[..., None]
-    error.reshape(-1, CLASSES)[np.arange(targets.size), targets.ravel()] -= share.ravel()
-
-    def outer(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return a.reshape(-1, a.shape[-1]).T @ b.reshape(-1, b.shape[-1])
+    """The gradients of the weights' arrays but the first, the embedding, and that of the inputs' vectors (window, place).
 
-    d_hidden = error @ w.readout.T
-    d_mixed = d_hidden @ w.output.T
-    d_attention = d_mixed @ v.transpose(0, 2, 1)
-    d_scores = d_attention
-    d_scores -= np.einsum("wsp,wsp->ws", d_attention, attention)[..., None]
+    The embedding's are sums of the latter by class.
+    """
+    inputs = windows.inputs[part]
+    x = _taken(w.embedding, inputs)
+    if vectors is not None:
+        x += _taken(vectors, windows.ids[part])
+    flat_x, n = x.reshape(-1, SIZE), len(inputs)
+    late = np.ascontiguousarray(x[:, CONTEXT:]).reshape(-1, SIZE)
+    pair = np.concatenate([w.key, w.value], axis=1)
+    both = _times(flat_x, pair).reshape(n, PLACES, 2 * SIZE)
+    k, v = both[..., :SIZE], both[..., SIZE:]
+    columns = np.ascontiguousarray(both.transpose(0, 2, 1))  # products with these are faster than with views
+    q = _times(late, w.query * SCALE).reshape(n, STEP, SIZE)
+    opening = np.flatnonzero(~windows.input_mask[part, 0])
+    attention, sums, mixed = _attended(w, q, columns[:, :SIZE], v, opening)
+    mixed = mixed.reshape(-1, SIZE)
+    hidden = _times(mixed, w.output)
+    hidden += late
+    logits = _times(hidden, w.readout)
+    logits += _taken(follow, inputs[:, CONTEXT:].ravel())
+    error = np.exp(_bounded(logits), out=logits)
+    mask = windows.target_mask[part].ravel()
+    share = mask / np.float32(max(1, mask.sum()))
+    # The error is that of each target times its sum: the smaller arrays are divided by it.
+    total = _sums(error)
+    error.ravel()[np.arange(0, error.size, CLASSES) + windows.targets[part].ravel()] -= total
+    share = (share / total)[:, None]
+
+    d_hidden = _times(error, w.readout.T)
+    d_hidden *= share
+    d_mixed = _times(d_hidden, w.output.T)
+    # The attention was not divided by its sums: what comes back through it is.
+    d_output, d_mixed = _outer(mixed, d_hidden), d_mixed / sums.reshape(-1, 1)
+    mean = np.einsum("ij,ij->i", d_mixed, mixed).reshape(n, STEP, 1)
+    d_mixed = d_mixed.reshape(n, STEP, SIZE)
+    d_scores = d_mixed @ columns[:, SIZE:]
+    d_scores -= mean
     d_scores *= attention
-    d_v = attention.transpose(0, 2, 1) @ d_mixed
-    d_q = d_scores @ k * scale
-    d_k = d_scores.transpose(0, 2, 1) @ q * scale
-    d_x = d_k @ w.key.T + d_v @ w.value.T
-    d_x[:, CONTEXT:] += d_hidden + d_q @ w.query.T
-    flat = inputs.ravel()
-    by_place = np.ascontiguousarray(d_x.reshape(-1, SIZE).T)
-    d_embedding = np.column_stack([np.bincount(flat, column, CLASSES + 1) for column in by_place])
-    d_distance = np.bincount(_DISTANCE.ravel(), d_scores.sum(0).ravel(), PLACES).astype(np.float32)
+    d_both = np.empty_like(both)
+    np.matmul(attention.transpose(0, 2, 1), d_mixed, out=d_both[..., SIZE:])
+    np.matmul(d_scores.transpose(0, 2, 1), q, out=d_both[..., :SIZE])  # q is scaled already
+    d_q = (d_scores @ k).reshape(-1, SIZE)
+    d_q *= SCALE
+    d_both = d_both.reshape(-1, 2 * SIZE)
+    d_x = _times(d_both, pair.T).reshape(n, PLACES, SIZE)
+    d_late = _times(d_q, w.query.T)
+    d_late += d_hidden
+    d_x[:, CONTEXT:] += d_late.reshape(n, STEP, SIZE)
+    d_pair = _outer(flat_x, d_both)
+    by_place = (_ONES[:1].repeat(n) @ d_scores.reshape(n, -1))
+    d_distance = np.bincount(_DISTANCE.ravel(), by_place, PLACES).astype(np.float32)
     return [
-        d_embedding.astype(np.float32), outer(late, d_q), outer(x, d_k), outer(x, d_v), outer(mixed, d_hidden),
-        d_distance, outer(hidden, error),
+        np.empty(0, np.float32), _outer(late, d_q), d_pair[:, :SIZE], d_pair[:, SIZE:], d_output, d_distance,
+        _outer(hidden * share, error),
     ], d_x
 
 
@@ -245,24 +315,29 @@ class Trainer:
 
     def learn(self, windows: Windows, batch: int = 256) -> None:
         for start in range(0, len(windows.inputs), batch):
-            part = np.arange(start, min(start + batch, len(windows.inputs)))
+            part = slice(start, min(start + batch, len(windows.inputs)))
             self.steps += 1
-            self.seen += len(part)
+            self.seen += part.stop - start
             scale = self.rate * np.sqrt(1 - 0.999**self.steps) / (1 - 0.9**self.steps)
             grads, d_x = _all_gradients(self.weights, self.follow, windows, part, self.vectors)
+            rows, counts, example, summed = _by_subword(windows.ids[part].ravel(), d_x.reshape(-1, SIZE))
+            grads[0] = _by_class(windows.inputs[part].ravel()[example], summed)
             for array, grad, first, second in zip(
                 self.weights.arrays(), grads, self.first, self.second, strict=True
             ):
                 first += 0.1 * (grad - first)
                 second += 0.001 * (grad * grad - second)
                 array -= scale * first / (np.sqrt(second) + 1e-8)
-            self._learn_vectors(windows.ids[part].ravel(), d_x.reshape(-1, SIZE))
-
-    def _learn_vectors(self, ids: np.ndarray, grads: np.ndarray) -> None:
-        order = np.argsort(ids, kind="stable")
-        ids = ids[order]
-        starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
-        rows, summed = ids[starts], np.add.reduceat(grads[order], starts)
-        self.met[rows] += np.diff(np.append(starts, len(ids)))
-        self._squares[rows] += (summed * summed).mean(1)
-        self.vectors[rows] -= VECTOR_RATE * summed / (np.sqrt(self._squares[rows])[:, None] + np.float32(1e-8))
+            self.met[rows] += counts
+            squares = self._squares[rows] + _sums(summed * summed) / np.float32(SIZE)
+            self._squares[rows] = squares
+            self.vectors[rows] -= VECTOR_RATE * summed / (np.sqrt(squares)[:, None] + np.float32(1e-8))
+
+
+def _by_subword(ids: np.ndarray, d_x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct subwords, how often each is there, one place of each, and the sum of its rows."""
+    order = np.argsort(ids, kind="stable")
+    ids = ids[order]
+    starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    summed = np.add.reduceat(_taken(d_x, order), starts)
+    return ids[starts], np.diff(np.append(starts, len(ids))), order[starts], summed

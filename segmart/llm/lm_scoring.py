@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +35,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from segmart.llm.attention import (
-    CLASSES, SIZE, Trainer, Weights, Windows, log_probabilities, windows_of,
-)
-from segmart.llm.common import (
-    bytes_of, hashed_words, id_and_text, map_batches, remainder, row_key, staged_batches,
-)
+from segmart.llm.attention import CLASSES, SIZE, Scorer, Trainer, Weights, Windows, windows_of
+from segmart.llm.common import bytes_of, id_and_text, map_batches, remainder, row_key, staged_batches
 from segmart.llm.tokens import Vocabulary
+from segmart.llm.word_ids import WordEncoder, Words, word_groups
 from segmart.session import staged
 
 FREQUENT = 65_536
@@ -48,7 +46,10 @@ ROUNDS = 2
 RATE = 0.01
 SMOOTHING = 10.0
 BLOCK_IDS = 200_000
+COUNTED_IDS = 4_000_000  # counted at once
+COUNTED_WORDS = 2_000_000
 END_WORD = xxhash.xxh3_64_intdigest(b" end")  # no word has a space
+END = np.array([END_WORD], np.uint64)
 LEAST_WEIGHT = 1e-6  # of either model
 LN10 = float(np.log(10))
 
@@ -59,14 +60,24 @@ def _signed(values: np.ndarray) -> pa.Array:
 
 def _word_counts(learning: DataFrame) -> DataFrame:
     """hash and c, the count of each word in the learning documents, as a written table."""
+    def counted(hashes: list[np.ndarray], n_texts: int) -> pa.RecordBatch:
+        distinct, n = np.unique(np.concatenate([*hashes, END]), return_counts=True)
+        n[np.searchsorted(distinct, END[0])] += n_texts - 1
+        return pa.RecordBatch.from_arrays([_signed(distinct), pa.array(n)], names=["hash", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, n_words, n_texts = [], 0, 0
         for batch in batches:
             texts = bytes_of(batch)
-            ends = np.full(len(texts), END_WORD, np.uint64)
-            hashes, n = np.unique(
-                np.concatenate([*map(hashed_words, texts), ends]), return_counts=True
-            )
-            yield pa.RecordBatch.from_arrays([_signed(hashes), pa.array(n)], names=["hash", "n"])
+            n_texts += len(texts)
+            for words, _, _ in word_groups(texts):
+                hashes.append(words.hashes)
+                n_words += len(words.hashes)
+                if n_words >= COUNTED_WORDS:
+                    yield counted(hashes, n_texts)
+                    hashes, n_words, n_texts = [], 0, 0
+        if n_texts or hashes:
+            yield counted(hashes, n_texts)
 
     each = map_batches(learning.select("text"), count, "hash bigint, n bigint")
     return staged_batches(each.groupBy("hash").agg(F.sum("n").alias("c")), "word-counts")
@@ -86,16 +97,43 @@ class FrequentWords:
         order = np.argsort(hashes)
         return cls(hashes[order], np.array([r["c"] for r in rows], np.int64)[order])
 
-    def split(self, text: bytes) -> tuple[float, int, int, np.ndarray, np.ndarray]:
-        """Score part and tokens of the frequent words, all tokens, and the rest with its counts."""
-        tokens = np.append(hashed_words(text), np.uint64(END_WORD))
-        hashes, n = np.unique(tokens, return_counts=True)
+    def counts_of(self, hashes: np.ndarray) -> np.ndarray:
+        """Their counts, 0 for words that are not frequent."""
         if not len(self.hashes):
-            return 0.0, 0, len(tokens), hashes, n
+            return np.zeros(len(hashes), np.int64)
         place = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        found = self.hashes[place] == hashes
-        part = n[found] @ np.log10(self.counts[place[found]] + 1.0)
-        return float(part), int(n[found].sum()), len(tokens), hashes[~found], n[~found]
+        return np.where(self.hashes[place] == hashes, self.counts[place], 0)
+
+
+class _Ids:
+    """Subword ids of some texts, whose words come group by group."""
+
+    def __init__(self, encoder: WordEncoder, texts: list[bytes]) -> None:
+        self._encoder, self._texts = encoder, texts
+        self._whole = np.array([encoder.whole(text.lower()) for text in texts], bool)
+        self._parts: list[list[bytes]] = [[] for _ in texts]
+
+    def add(self, words: Words, text_of: np.ndarray) -> None:
+        owner = text_of[words.owner]
+        first = np.append(True, owner[1:] != owner[:-1])[: len(owner)]
+        first &= np.array([not any(parts) for parts in self._parts], bool)[owner]
+        found, n_ids = self._encoder.ids(words, first, self._whole[owner])
+        stops = np.cumsum(np.bincount(owner, n_ids, len(self._texts)).astype(np.int64))
+        for i in np.unique(text_of).tolist():
+            self._parts[i].append(found[stops[i - 1] if i else 0 : stops[i]].tobytes())
+
+    def all(self) -> list[bytes]:
+        for i in np.flatnonzero(self._whole):
+            self._parts[i] = [self._encoder.whole_ids(self._texts[i].lower())]
+        return list(map(b"".join, self._parts))
+
+
+def subwords_of(encoder: WordEncoder, texts: list[bytes]) -> list[bytes]:
+    """The subword ids of texts, A-Z in lower case and words joined by one space."""
+    ids = _Ids(encoder, texts)
+    for words, text_of, _ in word_groups(texts):
+        ids.add(words, text_of)
+    return ids.all()
 
 
 def _encoded(rows: DataFrame, frequent: FrequentWords, vocabulary: Vocabulary) -> DataFrame:
@@ -109,19 +147,26 @@ def _encoded(rows: DataFrame, frequent: FrequentWords, vocabulary: Vocabulary) -
     narrow = np.dtype("<u2" if vocabulary.size() < 1 << 16 else "<u4")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = vocabulary.encoder()
+        encoder = WordEncoder(vocabulary, narrow)
+        of_end = int(frequent.counts_of(END)[0])
         for batch in batches:
-            parts, ids = [], []
-            for text in bytes_of(batch):
-                parts.append(frequent.split(text)[:3])
-                joined = b" ".join(text.lower().split()).decode()
-                ids.append(np.frombuffer(encoder.ids(joined), "<u4").astype(narrow).tobytes())
-            columns = list(zip(*parts, strict=True)) or [[], [], []]
-            types = [pa.float64(), pa.int64(), pa.int64()]
+            texts = bytes_of(batch)
+            ids = _Ids(encoder, texts)
+            part = np.full(len(texts), np.log10(of_end + 1.0))
+            known = np.full(len(texts), int(of_end > 0))
+            n_tokens = np.ones(len(texts), np.int64)
+            for words, text_of, _ in word_groups(texts):
+                owner = text_of[words.owner]
+                distinct, _, inverse = words.distinct
+                counts = frequent.counts_of(distinct)
+                logs, counts = np.log10(counts + 1.0)[inverse], counts[inverse]
+                n_tokens += np.bincount(owner, minlength=len(texts))
+                known += np.bincount(owner, counts > 0, len(texts)).astype(np.int64)
+                part += np.bincount(owner, logs, len(texts))
+                ids.add(words, text_of)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(3)),
-                 *[pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                 pa.array(ids, pa.binary())],
+                [*(batch.column(i) for i in range(3)), pa.array(part), pa.array(known), pa.array(n_tokens),
+                 pa.array(ids.all(), pa.binary())],
                 names=schema.names,
             )
 
@@ -129,20 +174,36 @@ def _encoded(rows: DataFrame, frequent: FrequentWords, vocabulary: Vocabulary) -
     return staged_batches(encoded, "subwords", **{"spark.sql.parquet.compression.codec": "zstd"})
 
 
+def _distinct(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs of a word and its owner, and how often each is there."""
+    order = np.argsort(hashes)
+    order = order[np.argsort(owner[order], kind="stable")]
+    hashes, owner = hashes[order], owner[order]
+    new = np.append(True, (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1]))[: len(hashes)]
+    starts = np.flatnonzero(new)
+    return hashes[starts], owner[starts], np.diff(np.append(starts, len(hashes)))
+
+
 def _rare_parts(rows: DataFrame, frequent: FrequentWords, counts: DataFrame, distinct: bool) -> DataFrame:
     """key, part and known of the words that are not frequent, per document that has any."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rest = [frequent.split(text)[3:] for text in bytes_of(batch)]
-            owner = np.repeat(np.arange(len(rest)), [len(h) for h, _ in rest])
-            hashes = np.concatenate([*[h for h, _ in rest], np.empty(0, np.uint64)])
-            n = np.concatenate([*[n for _, n in rest], np.empty(0, np.int64)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(owner)), _signed(hashes), pa.array(n)],
-                names=["key", "hash", "n"],
-            )
-
-    rare = map_batches(rows.select("key", "text"), emit, "key bigint, hash bigint, n int")
+            for words, text_of, number in word_groups(bytes_of(batch)):
+                chosen = np.flatnonzero(frequent.counts_of(words.hashes) == 0)
+                hashes, owner, n = _distinct(words.hashes[chosen], words.owner[chosen])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(text_of[owner])), pa.array(number[owner].astype(np.int32)),
+                     _signed(hashes), pa.array(n.astype(np.int32))],
+                    names=["key", "piece", "hash", "n"],
+                )
+            if not frequent.counts_of(END)[0]:
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(np.full(batch.num_rows, -1, np.int32)),
+                     _signed(END.repeat(batch.num_rows)), pa.array(np.ones(batch.num_rows, np.int32))],
+                    names=["key", "piece", "hash", "n"],
+                )
+
+    rare = map_batches(rows.select("key", "text"), emit, "key bigint, piece int, hash bigint, n int")
     rare = rare.distinct() if distinct else rare
     known = rare.join(counts, "hash").select("key", "n", (F.col("n") * F.log10(F.col("c") + 1)).alias("part"))
     per_document = known.groupBy("key").agg(
@@ -152,7 +213,7 @@ def _rare_parts(rows: DataFrame, frequent: FrequentWords, counts: DataFrame, dis
 
 
 def with_end(ids: bytes, narrow: np.dtype, end: int) -> np.ndarray:
-    return np.append(np.frombuffer(ids, narrow), end).astype(np.int64)
+    return np.append(np.frombuffer(ids, narrow), np.array([end], narrow if end < 1 << 16 else np.int64))
 
 
 @dataclass(frozen=True)
@@ -167,15 +228,35 @@ class LanguageModel:
         """A text's subwords and its end, the last id of all."""
         return with_end(ids, narrow, len(self.class_of) - 1)
 
-    def windows(self, block: list[np.ndarray]) -> Windows:
-        """The windows of texts given as subwords with their ends."""
-        return windows_of([self.class_of[text] for text in block], block, len(self.class_of))
+    @cached_property
+    def classes(self) -> np.ndarray:
+        """Classes of all subwords and of the start of a text."""
+        return np.append(self.class_of, CLASSES).astype(np.uint8)
+
+    def windows(self, block: list[np.ndarray], only: tuple[int, int] | None = None) -> Windows:
+        """The windows of texts given as subwords with their ends, or those of a round: see `windows_of`."""
+        return windows_of([], block, len(self.class_of), self.classes, only)
+
+    def shares_of(self, block: list[np.ndarray]) -> np.ndarray:
+        """Per text, natural log of the shares of all its subwords, its end too, within their classes."""
+        subwords, starts = _joined(block)
+        cells = _before(self.class_of, subwords, starts)
+        cells *= self.share.shape[1]
+        cells += subwords
+        return np.add.reduceat(self.share.ravel().take(cells), starts, dtype=np.float64)
+
 
-    def share_of(self, ids: bytes, narrow: np.dtype) -> float:
-        """Natural log of the shares of all subwords within their classes."""
-        subwords = self.subwords(ids, narrow)
-        before = np.concatenate([[CLASSES], self.class_of[subwords[:-1]]])
-        return float(self.share[before, subwords].sum(dtype=np.float64))
+def _joined(block: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The subwords of texts, none of them empty, one after the other, and where each text starts."""
+    return np.concatenate(block), np.cumsum([0, *(len(text) for text in block[:-1])])
+
+
+def _before(class_of: np.ndarray, subwords: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The class before each subword."""
+    before = np.empty(len(subwords), np.int64)
+    before[1:] = class_of[subwords[:-1]]
+    before[starts] = CLASSES
+    return before
 
 
 def subword_classes(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -211,30 +292,19 @@ def _summed(encoded: DataFrame, size: int, cells_of) -> np.ndarray:
     return found
 
 
-def _blocks(texts: list[np.ndarray]) -> Iterator[tuple[int, list[np.ndarray]]]:
+def _blocks(texts: list[np.ndarray], limit: int = BLOCK_IDS) -> Iterator[tuple[int, list[np.ndarray]]]:
     """Consecutive texts with a bounded number of subwords together, and where they start."""
     start, n = 0, 0
     for i, text in enumerate(texts):
         n += len(text)
-        if n >= BLOCK_IDS or i + 1 == len(texts):
+        if n >= limit or i + 1 == len(texts):
             yield start, texts[start : i + 1]
             start, n = i + 1, 0
 
 
 def windows_of_round(block: list[np.ndarray], round_no: int, rounds: int) -> Windows:
-    """The windows of one round: see `of_round`."""
-    return of_round(windows_of(block), block, round_no, rounds)
-
-
-def of_round(every: Windows, block: list[np.ndarray], round_no: int, rounds: int) -> Windows:
-    """The windows of one round: of each document every `rounds`-th, so that all rounds have them all.
-
-    They are numbered within their document, whatever else is in the block. Its length says
-    where the numbers start, as many documents have one window only.
-    """
-    lengths = np.array([len(text) for text in block], np.int64)
-    number = np.arange(len(every.owner)) - np.searchsorted(every.owner, every.owner)
-    return every.part(np.flatnonzero((number + lengths[every.owner]) % rounds == round_no))
+    """The windows of one round, of texts given as classes: see `windows_of`."""
+    return windows_of(block, only=(round_no, rounds))
 
 
 def _averaged(
@@ -251,7 +321,7 @@ def _averaged(
         for batch in batches:
             texts = [model.subwords(ids, narrow) for ids in batch.column(0).to_pylist()]
             for _, block in _blocks(texts):
-                trainer.learn(of_round(model.windows(block), block, round_no, rounds))
+                trainer.learn(model.windows(block, (round_no, rounds)))
         if trainer.seen:
             flat = trainer.weights.flat().reshape(-1, SIZE)
             met = np.flatnonzero(trainer.met)
@@ -288,11 +358,12 @@ def fit(encoded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Lan
 
     def pairs(texts: list[bytes]) -> np.ndarray:
         total = np.zeros((CLASSES + 1) * (n_ids + 1), np.int64)
-        for _, block in _blocks([with_end(ids, narrow, n_ids) for ids in texts]):
-            after = np.concatenate(block)
-            before = np.concatenate([[CLASSES], class_of[after[:-1]]])
-            before[np.cumsum([len(t) for t in block])[:-1]] = CLASSES
-            total += np.bincount(before * (n_ids + 1) + after, minlength=len(total))
+        for _, block in _blocks([with_end(ids, narrow, n_ids) for ids in texts], COUNTED_IDS):
+            after, starts = _joined(block)
+            cells = _before(class_of, after, starts)
+            cells *= n_ids + 1
+            cells += after
+            total += np.bincount(cells, minlength=len(total))
         return total
 
     # Bounded by the vocabulary: one number per class and subword.
@@ -314,15 +385,15 @@ def fit(encoded: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Lan
 def score_documents(encoded: DataFrame, model: LanguageModel, narrow: np.dtype) -> DataFrame:
     """key and score, the log10 probability of each document under the model."""
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = Weights.of_flat(model.weights)
+        scorer = Scorer(Weights.of_flat(model.weights), model.follow, model.classes, model.vectors)
         for batch in batches:
-            raw = batch.column(1).to_pylist()
-            texts = [model.subwords(ids, narrow) for ids in raw]
-            totals = np.array([model.share_of(ids, narrow) for ids in raw])
+            texts = [model.subwords(ids, narrow) for ids in batch.column(1).to_pylist()]
+            totals = np.zeros(len(texts))
             for start, block in _blocks(texts):
                 windows = model.windows(block)
-                found = log_probabilities(weights, model.follow, windows, model.vectors).sum(1, dtype=np.float64)
-                totals[start : start + len(block)] += np.bincount(windows.owner, found, len(block))
+                found = scorer.log_probabilities(windows).sum(1, dtype=np.float64)
+                totals[start : start + len(block)] = np.bincount(windows.owner, found, len(block))
+                totals[start : start + len(block)] += model.shares_of(block)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(totals / LN10)], names=["key", "score"]
             )
